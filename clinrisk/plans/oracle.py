@@ -187,3 +187,82 @@ STAR_SELECTS = {
 
 
 ORACLE: dict[str, str] = {k: with_star(v) for k, v in STAR_SELECTS.items()}
+
+_AGE = f"CAST(date_part('year', age({AS_OF_D}, {{dob}})) AS BIGINT)"
+_LOS = "CAST(extract(day FROM ({d} - {a})) AS BIGINT)"
+_LABS = [("Creatinine", "creatinine"), ("HbA1c", "hba1c"), ("WBC", "wbc"),
+         ("Hemoglobin", "hemoglobin"), ("Sodium", "sodium")]
+_READMIT = f"""CAST(CASE WHEN EXISTS (
+        SELECT 1 FROM admissions later
+        WHERE later.patient_id = {{pid}}
+          AND later.admission_date > {{dis}}
+          AND later.admission_date <= {{dis}} + INTERVAL {C.READMIT_DAYS} DAY) THEN 1 ELSE 0 END AS BIGINT)"""
+
+
+def _pivot_sql(alias: str) -> str:
+    return ",\n         ".join(f"max(CASE WHEN {alias}.test_name = '{t}' THEN {alias}.test_value END) AS {c}"
+                               for t, c in _LABS)
+
+
+FEATURE_CTES = f"""
+fan AS (
+  SELECT p.patient_id, p.date_of_birth, p.gender, p.blood_type,
+         a.admission_id, a.department, a.admission_type, a.discharge_status, a.admission_date, a.discharge_date,
+         v.heart_rate, v.systolic_bp, v.diastolic_bp, v.temperature, v.spo2, v.respiratory_rate,
+         d.diagnosis_id, m.medication_id, l.test_name, l.test_value
+  FROM patients p
+  JOIN admissions a ON a.patient_id = p.patient_id
+  LEFT JOIN vitals v ON v.patient_id = p.patient_id AND v.admission_id = a.admission_id
+  LEFT JOIN diagnoses d ON d.admission_id = a.admission_id
+  LEFT JOIN medications m ON m.admission_id = a.admission_id
+  LEFT JOIN lab_results l ON l.admission_id = a.admission_id
+  WHERE a.discharge_date IS NOT NULL
+),
+features AS (
+  SELECT f.patient_id,
+         {_AGE.format(dob='f.date_of_birth')} AS age,
+         f.gender, f.blood_type, f.admission_id, f.department, f.admission_type, f.discharge_status,
+         {_LOS.format(d='f.discharge_date', a='f.admission_date')} AS los_days,
+         f.heart_rate, f.systolic_bp, f.diastolic_bp, f.temperature, f.spo2, f.respiratory_rate,
+         count(DISTINCT f.diagnosis_id) AS diagnosis_count,
+         count(DISTINCT f.medication_id) AS medication_count,
+         {_pivot_sql('f')},
+         count(f.test_name) AS abnormal_labs,
+         {_READMIT.format(pid='f.patient_id', dis='f.discharge_date')} AS readmitted_30d,
+         CAST(CASE WHEN f.discharge_status = 'Transferred' THEN 1 ELSE 0 END AS BIGINT) AS deteriorated,
+         CAST(CASE WHEN f.discharge_status = 'Deceased' THEN 1 ELSE 0 END AS BIGINT) AS mortality
+  FROM fan f
+  GROUP BY f.patient_id, f.date_of_birth, f.gender, f.blood_type, f.admission_id, f.department,
+           f.admission_type, f.discharge_status, f.admission_date, f.discharge_date,
+           f.heart_rate, f.systolic_bp, f.diastolic_bp, f.temperature, f.spo2, f.respiratory_rate
+)"""
+
+
+def with_features(body: str) -> str:
+    return f"WITH {star_ctes()},{FEATURE_CTES}\n{body}"
+
+
+ORACLE["feature_frame"] = with_features("SELECT * FROM features")
+ORACLE["readmitted_30d"] = with_star(f"""
+SELECT a.admission_id, a.patient_id,
+       {_READMIT.format(pid='a.patient_id', dis='a.discharge_date')} AS readmitted_30d
+FROM admissions a WHERE a.discharge_date IS NOT NULL""")
+ORACLE["lab_pivot"] = with_star(f"""
+SELECT l.admission_id, {_pivot_sql('l')} FROM lab_results l GROUP BY l.admission_id""")
+ORACLE["distinct_counts"] = with_star("""
+SELECT a.admission_id, count(DISTINCT d.diagnosis_id) AS diagnosis_count,
+       count(DISTINCT m.medication_id) AS medication_count
+FROM admissions a
+LEFT JOIN diagnoses d ON d.admission_id = a.admission_id
+LEFT JOIN medications m ON m.admission_id = a.admission_id
+WHERE a.discharge_date IS NOT NULL
+GROUP BY a.admission_id""")
+ORACLE["age_years"] = with_star(f"""
+SELECT patient_id, date_of_birth, {_AGE.format(dob='date_of_birth')} AS age FROM patients""")
+ORACLE["length_of_stay"] = with_star(f"""
+SELECT admission_id, admission_date, discharge_date,
+       {_LOS.format(d='discharge_date', a='admission_date')} AS los_days FROM admissions""")
+ORACLE["abnormal_lab_count"] = with_star("""
+SELECT admission_id, count(test_name) AS n_lab_names,
+       CAST(count(*) FILTER (WHERE is_abnormal) AS BIGINT) AS abnormal_lab_count
+FROM lab_results GROUP BY admission_id""")

@@ -57,3 +57,43 @@ def q_vitals(s: Star) -> DataFrame:
 @query("labs_fact")
 def q_labs(s: Star) -> DataFrame:
     return s.labs
+
+
+# --- F: feature query -------------------------------------------------------
+from clinrisk.operators import features as FT  # noqa: E402
+
+
+@query("feature_frame")
+def q_feature_frame(s: Star) -> DataFrame:
+    """Flagship: one row per discharged admission (and distinct vitals reading)."""
+    return FT.feature_frame(s)
+
+
+@query("readmitted_30d")
+def q_readmitted(s: Star) -> DataFrame:
+    return FT.readmission_flags(s.admissions)
+
+
+@query("lab_pivot")
+def q_lab_pivot(s: Star) -> DataFrame:
+    return FT.lab_pivot(s)
+
+
+@query("distinct_counts")
+def q_distinct_counts(s: Star) -> DataFrame:
+    return FT.distinct_counts(s)
+
+
+@query("age_years")
+def q_age_years(s: Star) -> DataFrame:
+    return FT.patient_ages(s)
+
+
+@query("length_of_stay")
+def q_length_of_stay(s: Star) -> DataFrame:
+    return FT.lengths_of_stay(s)
+
+
+@query("abnormal_lab_count")
+def q_abnormal_lab_count(s: Star) -> DataFrame:
+    return FT.abnormal_lab_counts(s)
