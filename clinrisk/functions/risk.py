@@ -20,4 +20,19 @@ def sql_tier(expr: str) -> str:
 
 
 def clip01(c: Column) -> Column:
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), c))
+    """Clamp to [0, 1]; NULL stays NULL (``greatest`` alone would turn it into 0)."""
+    return F.when(c.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), c)))
+
+
+def sql_clip01(expr: str) -> str:
+    return f"(CASE WHEN ({expr}) IS NOT NULL THEN least(CAST(1.0 AS DOUBLE), greatest(CAST(0.0 AS DOUBLE), {expr})) END)"
+
+
+def round_dec(c: Column, places: int) -> Column:
+    """Round through ``decimal(18,10)`` (HALF_UP on the decimal value), so a
+    double that prints as a tie rounds the same way in every engine."""
+    return F.round(c.cast("decimal(18,10)"), places).cast("double")
+
+
+def sql_round_dec(expr: str, places: int) -> str:
+    return f"CAST(round(CAST({expr} AS DECIMAL(18, 10)), {places}) AS DOUBLE)"

@@ -32,7 +32,7 @@ def _bucketed(df: DataFrame, lead: Column, buckets: int | None) -> DataFrame:
     if n <= 1:
         return staged.withColumn(_BUCKET, F.lit(0.0))
     probs = [i / n for i in range(1, n)]
-    qs = staged.approxQuantile(_LEAD, probs, 1.0 / (4 * n))
+    qs = staged.select(_LEAD).approxQuantile(_LEAD, probs, 1.0 / (4 * n))
     splits = sorted({q for q in qs if q is not None})
     bucketizer = Bucketizer(splits=[float("-inf"), *splits, float("inf")],
                             inputCol=_LEAD, outputCol=_BUCKET, handleInvalid="keep")
@@ -51,7 +51,7 @@ def prefix_sum(df: DataFrame, order_cols: list[str], value: Column, out_col: str
                inclusive: bool = True, start: int = 0, buckets: int | None = None) -> DataFrame:
     """Running total of ``value`` in ``order_cols`` order (integral values)."""
     staged = _bucketed(df.withColumn("__v", value.cast("bigint")), F.col(order_cols[0]), buckets)
-    totals = staged.groupBy(_BUCKET).agg(F.sum("__v").alias("t")).collect()
+    totals = staged.select(_BUCKET, "__v").groupBy(_BUCKET).agg(F.sum("__v").alias("t")).collect()
     offsets = _offsets([(r[_BUCKET], r["t"] or 0) for r in totals], start)
     offset_map = F.create_map(*[x for b, o in offsets.items() for x in (F.lit(b), F.lit(o))]) \
         if offsets else F.create_map().cast("map<double,bigint>")
@@ -66,7 +66,7 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, start: int = 1,
               buckets: int | None = None) -> DataFrame:
     """Add ``id_col`` = position of the row in ``order_cols`` order, from ``start``."""
     staged = _bucketed(df, F.col(order_cols[0]), buckets)
-    counts = staged.groupBy(_BUCKET).count().collect()
+    counts = staged.select(_BUCKET).groupBy(_BUCKET).count().collect()
     offsets = _offsets([(r[_BUCKET], r["count"]) for r in counts], start - 1)
     offset_map = F.create_map(*[x for b, o in offsets.items() for x in (F.lit(b), F.lit(o))]) \
         if offsets else F.create_map().cast("map<double,bigint>")

@@ -81,9 +81,9 @@ def name_lookup(patients: DataFrame) -> DataFrame:
 def admissions_base(enc: DataFrame, patients: DataFrame) -> DataFrame:
     """Encounters with admission ids (row order) and the looked-up patient id.
     Every per-admission fact table is a projection of this frame."""
-    keyed = enc.withColumn("full_name", title_case(F.col("name")))
-    joined = keyed.join(name_lookup(patients), "full_name", "left")
-    return dense_ids(joined, ["enc_id"], "admission_id")
+    numbered = dense_ids(enc, ["enc_id"], "admission_id")
+    keyed = numbered.withColumn("full_name", title_case(F.col("name")))
+    return keyed.join(name_lookup(patients), "full_name", "left")
 
 
 def admissions_fact(base: DataFrame) -> DataFrame:

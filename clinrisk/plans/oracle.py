@@ -266,3 +266,296 @@ ORACLE["abnormal_lab_count"] = with_star("""
 SELECT admission_id, count(test_name) AS n_lab_names,
        CAST(count(*) FILTER (WHERE is_abnormal) AS BIGINT) AS abnormal_lab_count
 FROM lab_results GROUP BY admission_id""")
+
+# --- Scoring-stage relations -----------------------------------------------------
+from clinrisk.functions.risk import sql_clip01, sql_round_dec  # noqa: E402
+from clinrisk.operators import quality as _Q  # noqa: E402
+from clinrisk.operators.features import VITAL_MEASURES as _VM  # noqa: E402
+from clinrisk.operators.scoring import RULE_VERSION as _RV  # noqa: E402
+
+_ROW_ORDER = "admission_id, " + ", ".join(f"{m} NULLS FIRST" for m in _VM)
+_SPLIT = f"({sql_uniform('split', 'admission_id', 0)} < 0.2)"
+_TARGETS = list(C.TARGETS.items())
+
+
+def _tiered(r: str) -> str:
+    return f"{sql_round_dec(f'p_{r}', 4)} AS {r}_risk"
+
+
+SCORE_CTES = f"""
+feat AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY {_ROW_ORDER}) AS BIGINT) AS feature_row_id FROM features
+),
+rule_probs AS (
+  SELECT feature_row_id, patient_id, admission_id,
+         {sql_clip01('heart_rate / nullif(systolic_bp, CAST(0.0 AS DOUBLE))')} AS p_readmission,
+         {sql_clip01('(temperature - CAST(36.0 AS DOUBLE)) / CAST(3.0 AS DOUBLE)')} AS p_deterioration,
+         {sql_clip01('(CAST(100.0 AS DOUBLE) - spo2) / CAST(10.0 AS DOUBLE)')} AS p_mortality
+  FROM feat
+),
+risk_scores AS (
+  SELECT feature_row_id AS score_id, patient_id, admission_id, {AS_OF_T} AS scored_at,
+         '{_RV}' AS model_version,
+         {_tiered('readmission')}, {_tiered('deterioration')}, {_tiered('mortality')},
+         {sql_tier('p_readmission')} AS readmission_tier,
+         {sql_tier('p_deterioration')} AS deterioration_tier,
+         {sql_tier('p_mortality')} AS mortality_tier,
+         '{C.EMPTY_TOP_FEATURES}' AS top_features, CAST(NULL AS VARCHAR) AS ai_explanation
+  FROM rule_probs
+),
+alert_candidates AS (
+  SELECT score_id, patient_id, admission_id, 1 AS type_ord, 'Readmission' AS alert_type,
+         readmission_tier AS tier, readmission_risk AS risk FROM risk_scores
+  UNION ALL
+  SELECT score_id, patient_id, admission_id, 2, 'Deterioration', deterioration_tier, deterioration_risk FROM risk_scores
+  UNION ALL
+  SELECT score_id, patient_id, admission_id, 3, 'Mortality', mortality_tier, mortality_risk FROM risk_scores
+),
+lab_alert_counts AS (
+  SELECT admission_id, count(*) FILTER (WHERE is_abnormal) AS n, max(patient_id) AS patient_id
+  FROM lab_results WHERE admission_id IS NOT NULL GROUP BY admission_id
+),
+alert_rows AS (
+  SELECT admission_id, type_ord, score_id, patient_id, alert_type,
+         CASE WHEN alert_type = 'Mortality' AND tier = 'High' THEN 'Critical' ELSE tier END AS severity,
+         alert_type || ' risk ' || tier || ' (' || CAST(risk AS VARCHAR) || ')' AS message
+  FROM alert_candidates WHERE tier IN ('Medium', 'High')
+  UNION ALL
+  SELECT admission_id, 4, CAST(NULL AS BIGINT), patient_id, 'Abnormal Lab',
+         CASE WHEN n >= 4 THEN 'Critical' WHEN n = 3 THEN 'High' WHEN n = 2 THEN 'Medium' ELSE 'Low' END,
+         CAST(n AS VARCHAR) || ' abnormal lab result(s)'
+  FROM lab_alert_counts WHERE n > 0
+),
+alerts AS (
+  SELECT CAST(row_number() OVER (ORDER BY admission_id, type_ord, score_id NULLS FIRST) AS BIGINT) AS alert_id,
+         patient_id, score_id, alert_type, severity, message, false AS is_acknowledged,
+         CAST(NULL AS VARCHAR) AS acknowledged_by, {AS_OF_T} AS created_at
+  FROM alert_rows
+),
+latest_vitals AS (
+  SELECT DISTINCT ON (patient_id) * FROM vitals WHERE patient_id IS NOT NULL
+  ORDER BY patient_id, recorded_at DESC NULLS FIRST, vital_id DESC
+),
+latest_risk AS (
+  SELECT DISTINCT ON (patient_id) * FROM risk_scores WHERE patient_id IS NOT NULL
+  ORDER BY patient_id, scored_at DESC NULLS FIRST, score_id DESC
+),
+encoded AS (
+  SELECT * REPLACE (
+    {", ".join(f"CAST(dense_rank() OVER (ORDER BY coalesce({c}, 'Unknown')) - 1 AS BIGINT) AS {c}"
+               for c in C.CATEGORICAL_FEATURES)})
+  FROM feat
+),
+derived AS (
+  SELECT *, systolic_bp - diastolic_bp AS pulse_pressure,
+         heart_rate / nullif(systolic_bp, CAST(0.0 AS DOUBLE)) AS shock_index,
+         CAST(coalesce(age > 65, false) AS BIGINT) AS age_risk
+  FROM encoded
+),
+eval_rows AS (
+  {" UNION ALL ".join(
+      f"SELECT '{n}' AS target, f.{lbl} AS label, r.{n}_risk AS score, "
+      f"CAST(r.{n}_risk >= 0.5 AS INTEGER) AS prediction "
+      f"FROM risk_scores r JOIN feat f ON f.feature_row_id = r.score_id "
+      f"WHERE {_SPLIT.replace('admission_id', 'r.admission_id')}" for n, lbl in _TARGETS)}
+),
+pend AS (
+  SELECT r.score_id, r.patient_id, r.admission_id, r.readmission_risk, r.deterioration_risk, r.mortality_risk,
+         r.readmission_tier, r.deterioration_tier, r.mortality_tier, p.gender,
+         {_AGE.format(dob='p.date_of_birth')} AS age, a.department, a.admission_type,
+         {_LOS.format(d='a.discharge_date', a='a.admission_date')} AS los_days,
+         v.heart_rate, v.systolic_bp, v.spo2, v.temperature, d.diagnosis_name
+  FROM risk_scores r
+  JOIN patients p ON r.patient_id = p.patient_id
+  JOIN admissions a ON r.admission_id = a.admission_id
+  LEFT JOIN vitals v ON r.patient_id = v.patient_id AND r.admission_id = v.admission_id
+  LEFT JOIN diagnoses d ON r.admission_id = d.admission_id
+  WHERE r.ai_explanation IS NULL
+    AND (r.readmission_tier IN ('Medium', 'High') OR r.deterioration_tier IN ('Medium', 'High'))
+)"""
+
+
+def with_scores(body: str) -> str:
+    return f"WITH {star_ctes()},{FEATURE_CTES},{SCORE_CTES}\n{body}"
+
+
+def _nl() -> str:
+    return "chr(10)"
+
+
+def _pyf(expr: str) -> str:
+    return f"coalesce(CAST({expr} AS VARCHAR), 'nan')"
+
+
+def _pyt(expr: str) -> str:
+    return f"coalesce(CAST({expr} AS VARCHAR), 'None')"
+
+
+def _score_txt(t: str, r: str) -> str:
+    return f"{_pyt(t)} || ' (' || {_pyf(sql_round_dec(r, 2))} || ')'"
+
+
+_PROMPT = (
+    "'In two or three plain sentences for the treating doctor, explain this patient''s risk and what to monitor.' || "
+    f"{_nl()} || 'Patient: ' || CAST(age AS VARCHAR) || ' years, ' || {_pyt('gender')} || "
+    f"'; diagnosis ' || {_pyt('diagnosis_name')} || '; department ' || {_pyt('department')} || "
+    f"'; admission ' || {_pyt('admission_type')} || '; stay ' || CAST(los_days AS VARCHAR) || ' days.' || {_nl()} || "
+    f"'Vitals: heart rate ' || {_pyf('heart_rate')} || ' bpm, systolic BP ' || {_pyf('systolic_bp')} || "
+    f"' mmHg, SpO2 ' || {_pyf('spo2')} || '%, temperature ' || {_pyf('temperature')} || ' C.' || {_nl()} || "
+    f"'Risk: readmission ' || {_score_txt('readmission_tier', 'readmission_risk')} || "
+    f"', deterioration ' || {_score_txt('deterioration_tier', 'deterioration_risk')} || "
+    f"', mortality ' || {_score_txt('mortality_tier', 'mortality_risk')} || '.'"
+)
+
+PROMPT_CTES = f""",
+prompts AS (
+  SELECT score_id, patient_id, admission_id, diagnosis_name,
+         CASE WHEN age IS NOT NULL AND los_days IS NOT NULL THEN {_PROMPT} END AS prompt,
+         CASE WHEN age IS NOT NULL AND los_days IS NOT NULL THEN 'ok' ELSE 'failed' END AS status
+  FROM pend
+),
+responses AS (
+  SELECT patient_id, admission_id, 1 AS seq,
+         'Summary for score ' || CAST(score_id AS VARCHAR) || ': ' || coalesce(diagnosis_name, 'no diagnosis') || '.'
+           AS explanation
+  FROM prompts WHERE status = 'ok'
+  UNION ALL
+  SELECT patient_id, admission_id, 2, 'Revised summary for score ' || CAST(score_id AS VARCHAR) || '.'
+  FROM prompts WHERE status = 'ok' AND {sql_uniform('revise', 'score_id', 0)} < 0.1
+),
+last_answer AS (
+  SELECT patient_id, admission_id, explanation FROM (
+    SELECT *, row_number() OVER (PARTITION BY patient_id, admission_id ORDER BY seq DESC, explanation DESC) AS k
+    FROM responses WHERE explanation IS NOT NULL) WHERE k = 1
+),
+merged AS (
+  SELECT r.* REPLACE (coalesce(l.explanation, r.ai_explanation) AS ai_explanation)
+  FROM risk_scores r LEFT JOIN last_answer l ON l.patient_id = r.patient_id AND l.admission_id = r.admission_id
+)"""
+
+
+def with_prompts(body: str) -> str:
+    return f"WITH {star_ctes()},{FEATURE_CTES},{SCORE_CTES}{PROMPT_CTES}\n{body}"
+
+
+_STAR_TABLES = ["patients", "admissions", "diagnoses", "vitals", "lab_results", "medications"]
+_CHECKED = _STAR_TABLES + ["risk_scores", "alerts"]
+
+ORACLE["feature_table"] = with_features("SELECT * FROM features")
+ORACLE["load_audit"] = with_star(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _STAR_TABLES))
+ORACLE["bmi"] = with_star("SELECT vital_id, weight_kg, height_cm, bmi FROM vitals")
+ORACLE["lab_abnormal"] = with_star(
+    "SELECT lab_id, test_value, reference_min, reference_max, is_abnormal FROM lab_results")
+ORACLE["dq_checks"] = with_scores(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{rule}' AS rule, CAST(count(*) FILTER (WHERE {pred}) AS BIGINT) AS violations "
+    f"FROM {t}" for t in _CHECKED for rule, pred in _Q.RULES[t]))
+ORACLE["dq_pk"] = with_scores(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{pk}' AS key_column, count(*) AS duplicate_keys, "
+    f"CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows "
+    f"FROM (SELECT {pk}, count(*) AS n FROM {t} GROUP BY {pk} HAVING count(*) > 1)"
+    for t in _CHECKED for pk in [_Q.PRIMARY_KEYS[t]]))
+ORACLE["dq_fk_orphans"] = with_scores(" UNION ALL ".join(
+    f"SELECT '{c}' AS table_name, '{col}' AS fk_column, '{p}' AS parent_table, count(*) AS orphan_rows "
+    f"FROM {c} x WHERE x.{col} IS NOT NULL AND NOT EXISTS "
+    f"(SELECT 1 FROM {p} y WHERE y.{_Q.PRIMARY_KEYS[p]} = x.{col})"
+    for c, col, p in _Q.FOREIGN_KEYS))
+ORACLE["alerts"] = with_scores("SELECT * FROM alerts")
+ORACLE["latest_vitals"] = with_scores("SELECT * FROM latest_vitals")
+ORACLE["latest_risk"] = with_scores("SELECT * FROM latest_risk")
+ORACLE["patient_risk_summary"] = with_scores("""
+SELECT p.patient_id, p.full_name, p.date_of_birth, p.gender, a.admission_id, a.department, a.admission_type,
+       a.discharge_status, v.heart_rate, v.systolic_bp, v.spo2, v.bmi, r.readmission_risk, r.deterioration_risk,
+       r.mortality_risk, r.readmission_tier, r.deterioration_tier, r.mortality_tier, r.top_features,
+       r.ai_explanation, r.scored_at
+FROM patients p
+LEFT JOIN admissions a ON p.patient_id = a.patient_id
+LEFT JOIN latest_vitals v ON p.patient_id = v.patient_id
+LEFT JOIN latest_risk r ON p.patient_id = r.patient_id""")
+ORACLE["label_encode"] = with_scores(
+    "SELECT feature_row_id, admission_id, " + ", ".join(C.CATEGORICAL_FEATURES) + " FROM encoded")
+ORACLE["derived_features"] = with_scores(
+    "SELECT feature_row_id, admission_id, " + ", ".join(C.FEATURE_COLUMNS) + " FROM derived")
+ORACLE["stratified_split"] = with_scores(
+    f"SELECT feature_row_id, admission_id, readmitted_30d, {_SPLIT} AS is_test FROM feat")
+ORACLE["impute_median"] = with_scores(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, median(CAST({c} AS DOUBLE)) AS median FROM derived WHERE NOT {_SPLIT}"
+    for c in C.FEATURE_COLUMNS))
+ORACLE["class_weights"] = with_scores(f"""
+SELECT target, label, n, CAST(sum(n) OVER (PARTITION BY target) AS DOUBLE) / (2.0 * n) AS weight
+FROM ({" UNION ALL ".join(
+    f"SELECT '{n}' AS target, {lbl} AS label, count(*) AS n FROM feat WHERE NOT {_SPLIT} GROUP BY {lbl}"
+    for n, lbl in _TARGETS)})""")
+ORACLE["roc_auc"] = with_scores("""
+, ranked AS (
+  SELECT target, label,
+         rank() OVER (PARTITION BY target ORDER BY score) + (count(*) OVER (PARTITION BY target, score) - 1) / 2.0 AS r
+  FROM eval_rows
+), sums AS (
+  SELECT target, count(*) FILTER (WHERE label = 1) AS n_pos, count(*) FILTER (WHERE label = 0) AS n_neg,
+         sum(r) FILTER (WHERE label = 1) AS rank_sum
+  FROM ranked GROUP BY target
+)
+SELECT target, n_pos, n_neg,
+       CASE WHEN n_pos > 0 AND n_neg > 0
+            THEN round((rank_sum - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg), 10) END AS auc
+FROM sums""".replace("\n, ranked AS", "SELECT * FROM (WITH ranked AS", 1) + ")")
+_CM = """cm AS (
+  SELECT target,
+         count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+         count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+         count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn
+  FROM eval_rows GROUP BY target
+), m AS (
+  SELECT target,
+         CASE WHEN tn + fn > 0 THEN CAST(tn AS DOUBLE) / (tn + fn) ELSE 0.0 END AS p0,
+         CASE WHEN tn + fp > 0 THEN CAST(tn AS DOUBLE) / (tn + fp) ELSE 0.0 END AS r0,
+         CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS p1,
+         CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS r1,
+         tn + fp AS s0, tp + fn AS s1, tn + fp + tp + fn AS n, tp + tn AS hits
+  FROM cm
+), f AS (
+  SELECT *, CASE WHEN p0 + r0 > 0 THEN 2.0 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0,
+            CASE WHEN p1 + r1 > 0 THEN 2.0 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1
+  FROM m
+)"""
+
+
+def _wavg(a: str, b: str) -> str:
+    return f"CASE WHEN n > 0 THEN ({a} * s0 + {b} * s1) / n ELSE 0.0 END"
+
+
+ORACLE["classification_report"] = with_scores(f"""
+SELECT * FROM (WITH {_CM}
+SELECT target, '0' AS label, round(p0, 10) AS precision, round(r0, 10) AS recall, round(f0, 10) AS f1_score,
+       CAST(s0 AS BIGINT) AS support FROM f
+UNION ALL SELECT target, '1', round(p1, 10), round(r1, 10), round(f1, 10), CAST(s1 AS BIGINT) FROM f
+UNION ALL SELECT target, 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+       round(CASE WHEN n > 0 THEN CAST(hits AS DOUBLE) / n ELSE 0.0 END, 10), CAST(n AS BIGINT) FROM f
+UNION ALL SELECT target, 'macro avg', round((p0 + p1) / 2, 10), round((r0 + r1) / 2, 10), round((f0 + f1) / 2, 10),
+       CAST(n AS BIGINT) FROM f
+UNION ALL SELECT target, 'weighted avg', round({_wavg('p0', 'p1')}, 10), round({_wavg('r0', 'r1')}, 10),
+       round({_wavg('f0', 'f1')}, 10), CAST(n AS BIGINT) FROM f)""")
+ORACLE["risk_tiers"] = with_scores("""
+SELECT score_id, admission_id, readmission_risk, deterioration_risk, mortality_risk,
+       readmission_tier, deterioration_tier, mortality_tier FROM risk_scores""")
+ORACLE["degenerate_target"] = with_scores(" UNION ALL ".join(
+    f"SELECT '{n}' AS target, count(*) AS n_rows, CAST(count(DISTINCT {lbl}) AS BIGINT) AS n_classes, "
+    f"count(DISTINCT {lbl}) < 2 AS is_degenerate, "
+    f"CASE WHEN count(DISTINCT {lbl}) < 2 THEN CAST(0.0 AS DOUBLE) END AS constant_risk FROM feat"
+    for n, lbl in _TARGETS))
+_QCOLS = ("patient_id, admission_id, readmission_risk, deterioration_risk, mortality_risk, readmission_tier, "
+          "deterioration_tier, mortality_tier, gender, age, department, admission_type, los_days, heart_rate, "
+          "systolic_bp, spo2, temperature, diagnosis_name")
+ORACLE["explain_queue"] = with_scores(f"""
+SELECT CAST(qpos AS BIGINT) AS score_id, {_QCOLS} FROM (
+  SELECT *, row_number() OVER (ORDER BY readmission_risk DESC, deterioration_risk DESC, score_id,
+                                        diagnosis_name NULLS FIRST) AS qpos
+  FROM pend) WHERE qpos <= 10""")
+ORACLE["explain_prompts"] = with_prompts("SELECT * FROM prompts")
+ORACLE["merge_explanations"] = with_prompts("SELECT * FROM merged")
+ORACLE["merge_audit"] = with_prompts("SELECT status, count(*) AS n FROM prompts GROUP BY status")
+ORACLE["explained_sample"] = with_prompts("""
+SELECT patient_id, readmission_tier, deterioration_tier, ai_explanation FROM merged
+WHERE ai_explanation IS NOT NULL ORDER BY score_id LIMIT 3""")

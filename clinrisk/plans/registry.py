@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clinrisk.operators.star import Star
+from clinrisk.plans.load import stored_star
 from clinrisk.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,7 +17,7 @@ def query(name: str):
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(Star(spark, sf_dir))
+            return fn(stored_star(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -69,6 +70,12 @@ def q_feature_frame(s: Star) -> DataFrame:
     return FT.feature_frame(s)
 
 
+@query("feature_table")
+def q_feature_table(s: Star) -> DataFrame:
+    """The feature frame as written by the scoring stage (read back)."""
+    return L.stored_features(s.spark, s.sf_dir).select(*FEATURE_OUT)
+
+
 @query("readmitted_30d")
 def q_readmitted(s: Star) -> DataFrame:
     return FT.readmission_flags(s.admissions)
@@ -97,3 +104,211 @@ def q_length_of_stay(s: Star) -> DataFrame:
 @query("abnormal_lab_count")
 def q_abnormal_lab_count(s: Star) -> DataFrame:
     return FT.abnormal_lab_counts(s)
+
+
+# --- A: sources and sinks -----------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from clinrisk import config as C  # noqa: E402
+from clinrisk.operators import alerts as AL  # noqa: E402
+from clinrisk.operators import evaluate as EV  # noqa: E402
+from clinrisk.operators import explain as EX  # noqa: E402
+from clinrisk.operators import model as M  # noqa: E402
+from clinrisk.operators import prepare as PR  # noqa: E402
+from clinrisk.operators import quality as Q  # noqa: E402
+from clinrisk.operators import scoring as SC  # noqa: E402
+from clinrisk.operators import views as V  # noqa: E402
+from clinrisk.plans import load as L  # noqa: E402
+
+FEATURE_OUT = ["patient_id", "age", "gender", "blood_type", "admission_id", "department", "admission_type",
+               "discharge_status", "los_days", *FT.VITAL_MEASURES, "diagnosis_count", "medication_count",
+               *[c for _, c in FT.LAB_PIVOT], "abnormal_labs", "readmitted_30d", "deteriorated", "mortality"]
+
+
+def _features(s: Star) -> DataFrame:
+    return L.stored_features(s.spark, s.sf_dir)
+
+
+def _scores(s: Star) -> DataFrame:
+    return L.stored_rule_scores(s.spark, s.sf_dir)
+
+
+@query("load_audit")
+def q_load_audit(s: Star) -> DataFrame:
+    return L.load_audit(s)
+
+
+# --- D: generated columns, constraints, alerts -----------------------------------
+
+@query("bmi")
+def q_bmi(s: Star) -> DataFrame:
+    return s.vitals.select("vital_id", "weight_kg", "height_cm", "bmi")
+
+
+@query("lab_abnormal")
+def q_lab_abnormal(s: Star) -> DataFrame:
+    return s.labs.select("lab_id", "test_value", "reference_min", "reference_max", "is_abnormal")
+
+
+def _checked_tables(s: Star) -> dict[str, DataFrame]:
+    return {**s.tables(), "risk_scores": _scores(s), "alerts": L.stored_alerts(s.spark, s.sf_dir)}
+
+
+@query("dq_checks")
+def q_dq_checks(s: Star) -> DataFrame:
+    return Q.rule_violations(_checked_tables(s))
+
+
+@query("dq_pk")
+def q_dq_pk(s: Star) -> DataFrame:
+    return Q.duplicate_keys(_checked_tables(s))
+
+
+@query("dq_fk_orphans")
+def q_dq_fk(s: Star) -> DataFrame:
+    return Q.orphan_rows(_checked_tables(s))
+
+
+@query("alerts")
+def q_alerts(s: Star) -> DataFrame:
+    return L.stored_alerts(s.spark, s.sf_dir)
+
+
+# --- E: views ----------------------------------------------------------------------
+
+@query("latest_vitals")
+def q_latest_vitals(s: Star) -> DataFrame:
+    return V.latest_vitals(s.vitals)
+
+
+@query("latest_risk")
+def q_latest_risk(s: Star) -> DataFrame:
+    return V.latest_risk(_scores(s))
+
+
+@query("patient_risk_summary")
+def q_patient_risk_summary(s: Star) -> DataFrame:
+    return V.patient_risk_summary(s.patients, s.admissions, s.vitals, _scores(s))
+
+
+# --- G/H: preparation, evaluation, models ---------------------------------------------
+
+@query("label_encode")
+def q_label_encode(s: Star) -> DataFrame:
+    return PR.label_encode(_features(s)).select("feature_row_id", "admission_id", *C.CATEGORICAL_FEATURES)
+
+
+@query("derived_features")
+def q_derived_features(s: Star) -> DataFrame:
+    return PR.derived_features(PR.label_encode(_features(s))).select(
+        "feature_row_id", "admission_id", *C.FEATURE_COLUMNS)
+
+
+@query("stratified_split")
+def q_stratified_split(s: Star) -> DataFrame:
+    return PR.stratified_split(_features(s)).select("feature_row_id", "admission_id", "readmitted_30d", "is_test")
+
+
+@query("impute_median")
+def q_impute_median(s: Star) -> DataFrame:
+    frame = PR.derived_features(PR.label_encode(_features(s)))
+    return PR.medians(PR.stratified_split(frame).where(~F.col("is_test")))
+
+
+@query("class_weights")
+def q_class_weights(s: Star) -> DataFrame:
+    return PR.class_weights(PR.stratified_split(_features(s)).where(~F.col("is_test")))
+
+
+def _rule_eval_rows(s: Star) -> DataFrame:
+    """(target, label, score, prediction) of the rule scores on held-out rows."""
+    joined = _scores(s).join(_features(s).select(
+        F.col("feature_row_id").alias("score_id"), *C.TARGETS.values()), "score_id")
+    test = joined.where(PR.split_flag())
+    parts = [test.select(F.lit(n).alias("target"), F.col(lbl).alias("label"),
+                         F.col(f"{n}_risk").alias("score"),
+                         (F.col(f"{n}_risk") >= 0.5).cast("int").alias("prediction"))
+             for n, lbl in C.TARGETS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("roc_auc")
+def q_roc_auc(s: Star) -> DataFrame:
+    return EV.roc_auc(_rule_eval_rows(s))
+
+
+@query("classification_report")
+def q_classification_report(s: Star) -> DataFrame:
+    return EV.classification_report(_rule_eval_rows(s))
+
+
+@query("risk_tiers")
+def q_risk_tiers(s: Star) -> DataFrame:
+    return _scores(s).select("score_id", "admission_id", "readmission_risk", "deterioration_risk",
+                             "mortality_risk", "readmission_tier", "deterioration_tier", "mortality_tier")
+
+
+@query("degenerate_target")
+def q_degenerate(s: Star) -> DataFrame:
+    return M.degenerate_targets(_features(s))
+
+
+def _models(s: Star):
+    return L.fitted_models(s.spark, s.sf_dir, C.QUERY_NUM_TREES)
+
+
+@query("risk_model")
+def q_risk_model(s: Star) -> DataFrame:
+    auc, _ = M.evaluation(_models(s), PR.model_frame(_features(s)))
+    return auc
+
+
+@query("risk_scores")
+def q_risk_scores(s: Star) -> DataFrame:
+    frame = PR.derived_features(PR.label_encode(_features(s)))
+    return M.risk_scores(_models(s), frame)
+
+
+@query("top_features")
+def q_top_features(s: Star) -> DataFrame:
+    frame = PR.derived_features(PR.label_encode(_features(s)))
+    return M.top_features(_models(s), frame)
+
+
+# --- I: explanation queue ------------------------------------------------------------
+
+def _pending(s: Star) -> DataFrame:
+    return EX.pending(_scores(s), s.patients, s.admissions, s.vitals, s.diagnoses)
+
+
+@query("explain_queue")
+def q_explain_queue(s: Star) -> DataFrame:
+    return EX.next_batch(_pending(s))
+
+
+@query("explain_prompts")
+def q_explain_prompts(s: Star) -> DataFrame:
+    return EX.prompts(_pending(s))
+
+
+def _merged(s: Star) -> DataFrame:
+    prompt_rows = EX.prompts(_pending(s))
+    return EX.merge_explanations(_scores(s), EX.simulated_responses(prompt_rows))
+
+
+@query("merge_explanations")
+def q_merge(s: Star) -> DataFrame:
+    return _merged(s)
+
+
+@query("merge_audit")
+def q_merge_audit(s: Star) -> DataFrame:
+    return EX.merge_audit(EX.prompts(_pending(s)))
+
+
+@query("explained_sample")
+def q_explained_sample(s: Star) -> DataFrame:
+    return EX.explained_sample(_merged(s))
