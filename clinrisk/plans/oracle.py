@@ -559,3 +559,7 @@ ORACLE["merge_audit"] = with_prompts("SELECT status, count(*) AS n FROM prompts
 ORACLE["explained_sample"] = with_prompts("""
 SELECT patient_id, readmission_tier, deterioration_tier, ai_explanation FROM merged
 WHERE ai_explanation IS NOT NULL ORDER BY score_id LIMIT 3""")
+
+ORACLE["csv_ingest"] = ORACLE["encounters"]
+ORACLE["append_guarded"] = ORACLE["patients_dim"]
+ORACLE["merge_explanations_stream"] = ORACLE["merge_explanations"]

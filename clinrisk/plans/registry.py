@@ -312,3 +312,36 @@ def q_merge_audit(s: Star) -> DataFrame:
 @query("explained_sample")
 def q_explained_sample(s: Star) -> DataFrame:
     return EX.explained_sample(_merged(s))
+
+
+# --- A: CSV ingest and guarded append; streaming merge ------------------------------
+from clinrisk.session import scratch_path  # noqa: E402
+from clinrisk.sources import csv_ingest as CSV  # noqa: E402
+from clinrisk.sources.sinks import append_guarded  # noqa: E402
+from clinrisk.streaming import explanations as STREAM  # noqa: E402
+
+
+@query("csv_ingest")
+def q_csv_ingest(s: Star) -> DataFrame:
+    """Encounters exported as a raw CSV (padded headers) and ingested back."""
+    path = scratch_path(s.spark, "encounters-csv")
+    CSV.write_raw_csv(s.encounters, path)
+    return CSV.read_raw_csv(s.spark, path)
+
+
+@query("append_guarded")
+def q_append_guarded(s: Star) -> DataFrame:
+    """Load patients into a table, then re-run the same load: the guarded
+    append skips every already-stored key, so the table is unchanged."""
+    path = scratch_path(s.spark, "patients-table")
+    append_guarded(s.patients, path, "patient_id")
+    append_guarded(s.patients, path, "patient_id", on_conflict="skip")
+    return s.spark.read.parquet(path)
+
+
+@query("merge_explanations_stream")
+def q_merge_stream(s: Star) -> DataFrame:
+    """I6 as a Structured Streaming job: answers arrive as files, one
+    micro-batch per file, each batch writes a new score-table version."""
+    prompt_rows = EX.prompts(_pending(s))
+    return STREAM.run_merge_stream(_scores(s), EX.simulated_responses(prompt_rows))
