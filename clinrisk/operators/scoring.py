@@ -20,7 +20,8 @@ from clinrisk.operators.star import as_of_ts
 
 RULE_VERSION = "rule_v1"
 #: Total order of feature rows (an admission can have several vitals readings).
-FEATURE_ROW_ORDER = ["admission_id"] + [F.col(m).asc_nulls_first() for m in VITAL_MEASURES]
+def feature_row_order() -> list:
+    return ["admission_id"] + [F.col(m).asc_nulls_first() for m in VITAL_MEASURES]
 RISKS = ["readmission", "deterioration", "mortality"]
 SCORE_COLUMNS = ["score_id", "patient_id", "admission_id", "scored_at", "model_version",
                  "readmission_risk", "deterioration_risk", "mortality_risk",
@@ -46,7 +47,7 @@ def score_table(probs: DataFrame, version: str, scored_at=None) -> DataFrame:
     if "feature_row_id" in probs.columns:
         numbered = probs.withColumn("score_id", F.col("feature_row_id"))
     else:
-        numbered = dense_ids(probs, FEATURE_ROW_ORDER, "score_id")
+        numbered = dense_ids(probs, feature_row_order(), "score_id")
     ts = as_of_ts() if scored_at is None else scored_at
     return numbered.select(
         "score_id", "patient_id", "admission_id", ts.alias("scored_at"), F.lit(version).alias("model_version"),

@@ -104,11 +104,11 @@ _STAGES: dict = {}
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clinrisk.operators.features import feature_frame
     from clinrisk.operators.ids import dense_ids
-    from clinrisk.operators.scoring import FEATURE_ROW_ORDER
+    from clinrisk.operators.scoring import feature_row_order
 
     def build():
         star = stored_star(spark, sf_dir)
-        frame = dense_ids(feature_frame(star, keep_extra=True), FEATURE_ROW_ORDER, "feature_row_id")
+        frame = dense_ids(feature_frame(star, keep_extra=True), feature_row_order(), "feature_row_id")
         return _write(frame, f"{star.root}/features")
     return _memo("features", spark, sf_dir, build)
 
