@@ -1,4 +1,4 @@
-"""Dense surrogate ids (1..n in a given order) and ordered prefix sums.
+"""Dense surrogate ids (1..n in a given order).
 
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY moves every row into a
 single task.  Instead the key range is cut at approximate quantiles into
@@ -25,51 +25,38 @@ _BUCKET = "__bucket"
 _LEAD = "__lead"
 
 
-def _bucketed(df: DataFrame, lead: Column, buckets: int | None) -> DataFrame:
+def _bucketed(df: DataFrame, lead: Column, buckets: int | None) -> tuple[DataFrame, int]:
     spark = df.sparkSession
     n = buckets or default_parallelism(spark)
     staged = df.withColumn(_LEAD, lead.cast("double"))
     if n <= 1:
-        return staged.withColumn(_BUCKET, F.lit(0.0))
+        return staged.withColumn(_BUCKET, F.lit(0.0)), 1
     probs = [i / n for i in range(1, n)]
     qs = staged.select(_LEAD).approxQuantile(_LEAD, probs, 1.0 / (4 * n))
     splits = sorted({q for q in qs if q is not None})
     bucketizer = Bucketizer(splits=[float("-inf"), *splits, float("inf")],
                             inputCol=_LEAD, outputCol=_BUCKET, handleInvalid="keep")
-    return bucketizer.transform(staged)
+    return bucketizer.transform(staged), len(splits) + 2
 
 
-def _offsets(counts: list, start: int) -> dict:
-    offsets, running = {}, start
-    for bucket, total in sorted(counts):
-        offsets[bucket] = running
-        running += total
+def _offsets(counts: list, start: int, n_buckets: int) -> list[int]:
+    """Start offset of every bucket 0..n-1 (empty buckets included)."""
+    per = dict(counts)
+    offsets, running = [], start
+    for b in range(n_buckets):
+        offsets.append(running)
+        running += per.get(float(b), 0)
     return offsets
 
 
-def prefix_sum(df: DataFrame, order_cols: list[str], value: Column, out_col: str,
-               inclusive: bool = True, start: int = 0, buckets: int | None = None) -> DataFrame:
-    """Running total of ``value`` in ``order_cols`` order (integral values)."""
-    staged = _bucketed(df.withColumn("__v", value.cast("bigint")), F.col(order_cols[0]), buckets)
-    totals = staged.select(_BUCKET, "__v").groupBy(_BUCKET).agg(F.sum("__v").alias("t")).collect()
-    offsets = _offsets([(r[_BUCKET], r["t"] or 0) for r in totals], start)
-    offset_map = F.create_map(*[x for b, o in offsets.items() for x in (F.lit(b), F.lit(o))]) \
-        if offsets else F.create_map().cast("map<double,bigint>")
-    frame = Window.partitionBy(_BUCKET).orderBy(*order_cols)
-    frame = frame.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    running = F.coalesce(F.sum("__v").over(frame), F.lit(0))
-    return (staged.withColumn(out_col, (F.element_at(offset_map, F.col(_BUCKET)) + running).cast("bigint"))
-            .drop(_BUCKET, _LEAD, "__v"))
-
-
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, start: int = 1,
               buckets: int | None = None) -> DataFrame:
     """Add ``id_col`` = position of the row in ``order_cols`` order, from ``start``."""
-    staged = _bucketed(df, F.col(order_cols[0]), buckets)
+    staged, n_buckets = _bucketed(df, F.col(order_cols[0]), buckets)
     counts = staged.select(_BUCKET).groupBy(_BUCKET).count().collect()
-    offsets = _offsets([(r[_BUCKET], r["count"]) for r in counts], start - 1)
-    offset_map = F.create_map(*[x for b, o in offsets.items() for x in (F.lit(b), F.lit(o))]) \
-        if offsets else F.create_map().cast("map<double,bigint>")
+    offsets = _offsets([(r[_BUCKET], r["count"]) for r in counts], start - 1, n_buckets)
+    # One offset per bucket: a constant-folded array literal, indexed in O(1).
+    offset_of = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]),
+                             F.col(_BUCKET).cast("int") + 1)
     numbered = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order_cols))
-    return (staged.withColumn(id_col, (F.element_at(offset_map, F.col(_BUCKET)) + numbered).cast("bigint"))
-            .drop(_BUCKET, _LEAD))
+    return staged.withColumn(id_col, (offset_of + numbered).cast("bigint")).drop(_BUCKET, _LEAD)

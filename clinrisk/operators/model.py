@@ -118,23 +118,25 @@ def top_features(rm: RiskModels, frame: DataFrame, target: str = "readmission",
     is a WindowGroupLimit."""
     model = rm.models.get(target)
     cols = rm.features
-    base = PR.impute(frame, rm.medians).select("patient_id", "admission_id", *cols)
+    rid = ["feature_row_id"] if "feature_row_id" in frame.columns else []
+    keys = [*rid, "patient_id", "admission_id"]
+    base = PR.impute(frame, rm.medians).select(*keys, *cols)
     if model is None:
-        return base.select("patient_id", "admission_id", F.lit("[]").alias("top_features"))
+        return base.select(*keys, F.lit("[]").alias("top_features"))
     p_col = f"prob_{target}"
     scored = model.transform(base).withColumn("p0", vector_to_array(F.col(p_col))[1]) \
         .drop("features", p_col, f"raw_{target}", f"pred_{target}")
     idx = F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("fi")
     occluded = scored.select("*", idx)
-    occluded = occluded.select("patient_id", "admission_id", "p0", "fi", *[
+    occluded = occluded.select(*keys, "p0", "fi", *[
         F.when(F.col("fi") == i, F.lit(rm.medians[c])).otherwise(F.col(c)).alias(c) for i, c in enumerate(cols)])
     rescored = model.transform(occluded).withColumn("p1", vector_to_array(F.col(p_col))[1])
     names = F.array(*[F.lit(c) for c in cols])
-    deltas = rescored.select("patient_id", "admission_id", F.element_at(names, F.col("fi") + 1).alias("feature"),
+    deltas = rescored.select(*keys, F.element_at(names, F.col("fi") + 1).alias("feature"),
                              F.round(F.col("p0") - F.col("p1"), 6).alias("delta"))
-    w = Window.partitionBy("patient_id", "admission_id").orderBy(F.abs("delta").desc(), F.col("feature"))
+    w = Window.partitionBy(*keys).orderBy(F.abs("delta").desc(), F.col("feature"))
     top = deltas.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
-    return (top.groupBy("patient_id", "admission_id")
+    return (top.groupBy(*keys)
             .agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("r", "feature", "delta"))),
                                        lambda s: F.struct(s["feature"].alias("feature"),
                                                           s["delta"].alias("delta")))).alias("top_features")))

@@ -20,6 +20,19 @@ RUNTIME_CONF = {
 }
 
 
+#: Settings for a large cluster (100 TB class).  Many initial shuffle
+#: partitions and AQE coalescing to a size target rather than to the core
+#: count; file splits sized so a task's input fits comfortably in memory.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "clinrisk",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the engine expects."""
