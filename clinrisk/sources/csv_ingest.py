@@ -28,13 +28,24 @@ def write_raw_csv(enc: DataFrame, path: str, pad_headers: bool = True) -> None:
     enc.select(*cols).write.option("header", True).mode("errorifexists").csv(path)
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, tolerant: bool = False):
+    """Ingest the raw CSV.  Strict (default): a malformed field fails the job.
+    Tolerant: returns ``(rows, rejects)`` -- fields that do not parse are
+    NULL in ``rows`` and every such row is also listed in ``rejects`` with
+    the names of its bad fields."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     raw = raw.toDF(*[c.strip() for c in raw.columns])
     types = {h: (c, t) for h, c, t in RAW_COLUMNS}
     missing = [h for h in [ID_HEADER, *types] if h not in raw.columns]
     if missing:
         raise ValueError(f"CSV lacks columns: {missing}")
-    out = [F.col(f"`{ID_HEADER}`").cast(T.LongType()).alias("enc_id")]
-    out += [F.col(f"`{h}`").cast(t).alias(c) for h, (c, t) in types.items()]
-    return raw.select(*out)
+    fields = [(ID_HEADER, "enc_id", T.LongType())] + [(h, c, t) for h, (c, t) in types.items()]
+    if not tolerant:
+        return raw.select(*[F.col(f"`{h}`").cast(t).alias(c) for h, c, t in fields])
+    parsed = raw.select(*[F.col(f"`{h}`").try_cast(t).alias(c) for h, c, t in fields],
+                        F.array_compact(F.array(*[
+                            F.when(F.col(f"`{h}`").isNotNull() & F.col(f"`{h}`").try_cast(t).isNull(), F.lit(c))
+                            for h, c, t in fields])).alias("bad_fields"))
+    rows = parsed.drop("bad_fields")
+    rejects = parsed.where(F.size("bad_fields") > 0).select("enc_id", "bad_fields")
+    return rows, rejects

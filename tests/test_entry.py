@@ -68,3 +68,15 @@ def test_models_score_every_row(spark):
     assert tiers.where("NOT ok").count() <= 2
     auc = {r.target: r.auc for r in q["risk_model"](spark, SMALL).collect()}
     assert auc["mortality"] is None and 0.0 <= auc["readmission"] <= 1.0
+
+
+PLAN_SKIP = {"risk_model", "risk_scores", "top_features", "merge_explanations_stream", "csv_ingest",
+             "append_guarded"}
+
+
+@pytest.mark.parametrize("key", sorted(k for k in entry.queries() if k not in PLAN_SKIP))
+def test_no_pairwise_products_in_plans(spark, key):
+    """No registered query may plan a cartesian product or nested-loop join."""
+    df = entry.queries()[key](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
