@@ -43,10 +43,12 @@ class StoredStar(S.Star):
         self.__dict__["medications"] = tables["medications"]
 
 
-def load_star(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredStar:
-    """Build and write the star schema for ``sf_dir``; return it read back."""
+def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
+              enc: DataFrame | None = None) -> StoredStar:
+    """Build and write the star schema for ``sf_dir`` (or for the given
+    encounter frame, e.g. an ingested CSV); return it read back."""
     root = root or scratch_path(spark, "star-" + hashlib.sha1(sf_dir.encode()).hexdigest()[:10])
-    lazy = S.Star(spark, sf_dir)
+    lazy = S.Star(spark, sf_dir, enc=enc)
     enc = lazy.encounters
     patients = _write(S.patients_dim(enc), f"{root}/patients")
     base = _write(S.admissions_base(enc, patients), f"{root}/base")
