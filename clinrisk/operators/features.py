@@ -30,35 +30,41 @@ def readmission_flags(admissions: DataFrame, days: int = C.READMIT_DAYS) -> Data
     """for each discharged admission, 1 if the same patient has an
     admission in (discharge, discharge + ``days`` days], else 0.
 
-    Sweep instead of a pairwise join: discharges and admissions of a patient
-    are cut into time buckets of ``days + 1`` calendar days, so any qualifying
-    admission lies in the discharge's bucket or the next one.  Inside a
-    (patient, bucket) window, ordered newest first with discharges before
-    admissions on equal timestamps (exclusive start), a running ``min`` over
-    the rows already passed gives the nearest later admission; the earliest
-    admission of the next bucket (one aggregated row per patient-bucket)
-    covers the rest.  Work per patient is a sort, never all pairs, and a
-    patient with a huge history is spread over many (patient, bucket)
-    windows instead of one task.
+    A sweep, never a pairwise join.  Events (discharges and admissions) are
+    keyed by (patient, calendar day):
+
+    * inside one (patient, day) window, ordered newest first with discharges
+      before admissions at equal timestamps (the start is exclusive), a
+      running ``min`` over the rows already passed gives the nearest later
+      admission of the same day;
+    * one row per (patient, day) carries the day's earliest admission; a
+      per-patient window over these day rows, newest first, gives the
+      earliest admission on any later day.
+
+    The first window holds one patient-day; the second holds one row per day
+    on which the patient has any event -- bounded by the length of the
+    history, not by the number of rows -- so a patient with a huge share of
+    the data is spread over many tasks and never expanded into pairs.
     """
-    width = days + 1
     adm = admissions.select("admission_id", "patient_id", "admission_date", "discharge_date")
     discharges = (adm.where(F.col("discharge_date").isNotNull())
                   .select("patient_id", "admission_id", F.col("discharge_date").alias("ts"),
                           F.lit(1).alias("k"), F.lit(None).cast("timestamp_ntz").alias("adm_ts")))
-    arrivals = adm.where(F.col("patient_id").isNotNull()).select("patient_id", F.lit(None).cast("bigint").alias("admission_id"),
-                          F.col("admission_date").alias("ts"), F.lit(0).alias("k"),
-                          F.col("admission_date").alias("adm_ts"))
-    bucket = F.floor(day_number(F.col("ts")) / width).cast("bigint")
-    events = discharges.unionByName(arrivals).withColumn("bucket", bucket)
-    passed = (Window.partitionBy("patient_id", "bucket")
+    arrivals = (adm.where(F.col("patient_id").isNotNull())
+                .select("patient_id", F.lit(None).cast("bigint").alias("admission_id"),
+                        F.col("admission_date").alias("ts"), F.lit(0).alias("k"),
+                        F.col("admission_date").alias("adm_ts")))
+    events = discharges.unionByName(arrivals).withColumn("day", day_number(F.col("ts")))
+    passed = (Window.partitionBy("patient_id", "day")
               .orderBy(F.col("ts").desc(), F.col("k").desc())
               .rowsBetween(Window.unboundedPreceding, -1))
     swept = (events.withColumn("next_here", F.min("adm_ts").over(passed))
              .where(F.col("k") == 1))
-    next_bucket = (arrivals.withColumn("bucket", bucket - 1)
-                   .groupBy("patient_id", "bucket").agg(F.min("adm_ts").alias("next_there")))
-    joined = swept.join(next_bucket, ["patient_id", "bucket"], "left")
+    per_day = events.groupBy("patient_id", "day").agg(F.min("adm_ts").alias("first_adm"))
+    later_days = (Window.partitionBy("patient_id").orderBy(F.col("day").desc())
+                  .rowsBetween(Window.unboundedPreceding, -1))
+    ahead = per_day.select("patient_id", "day", F.min("first_adm").over(later_days).alias("next_there"))
+    joined = swept.join(ahead, ["patient_id", "day"], "left")
     nearest = F.coalesce(F.col("next_here"), F.col("next_there"))
     limit = F.col("ts") + F.make_dt_interval(days=F.lit(days))
     flag = F.when(nearest.isNotNull() & (nearest <= limit), 1).otherwise(0).cast("bigint")

@@ -27,7 +27,9 @@ _LEAD = "__lead"
 
 def _bucketed(df: DataFrame, lead: Column, buckets: int | None) -> tuple[DataFrame, int]:
     spark = df.sparkSession
-    n = buckets or default_parallelism(spark)
+    # Several buckets per shuffle partition even out the hash placement of
+    # buckets onto tasks.
+    n = buckets or min(4 * default_parallelism(spark), 100_000)
     staged = df.withColumn(_LEAD, lead.cast("double"))
     if n <= 1:
         return staged.withColumn(_BUCKET, F.lit(0.0)), 1
