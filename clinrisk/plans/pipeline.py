@@ -19,7 +19,6 @@ from clinrisk import config as C
 from clinrisk.operators import explain as EX
 from clinrisk.operators import model as M
 from clinrisk.operators import prepare as PR
-from clinrisk.operators import star as S
 from clinrisk.operators.alerts import alerts
 from clinrisk.operators.features import feature_frame
 from clinrisk.operators.ids import dense_ids

@@ -110,13 +110,11 @@ def q_abnormal_lab_count(s: Star) -> DataFrame:
 from pyspark.sql import functions as F  # noqa: E402
 
 from clinrisk import config as C  # noqa: E402
-from clinrisk.operators import alerts as AL  # noqa: E402
 from clinrisk.operators import evaluate as EV  # noqa: E402
 from clinrisk.operators import explain as EX  # noqa: E402
 from clinrisk.operators import model as M  # noqa: E402
 from clinrisk.operators import prepare as PR  # noqa: E402
 from clinrisk.operators import quality as Q  # noqa: E402
-from clinrisk.operators import scoring as SC  # noqa: E402
 from clinrisk.operators import views as V  # noqa: E402
 from clinrisk.plans import load as L  # noqa: E402
 

@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from clinrisk.operators.features import feature_frame, readmission_flags
 
