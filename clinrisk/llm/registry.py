@@ -1,15 +1,11 @@
-"""The queries of this subpackage and their DuckDB SQL."""
+"""The queries of this subpackage and their DuckDB SQL (where SQL can express them)."""
 
 from __future__ import annotations
 
-from clinrisk.llm import op1_line_dedup, op9_license_scan
+from clinrisk.llm import op1_line_dedup, op6_packing, op7_mixing, op9_license_scan
 
-QUERIES = {
-    "op1_line_dedup": op1_line_dedup.op1_line_dedup,
-    "op9_license_scan": op9_license_scan.op9_license_scan,
-}
+_MODULES = (op1_line_dedup, op6_packing, op7_mixing, op9_license_scan)
+_NAMES = [m.__name__.rsplit(".", 1)[-1] for m in _MODULES]
 
-ORACLE = {
-    "op1_line_dedup": op1_line_dedup.ORACLE,
-    "op9_license_scan": op9_license_scan.ORACLE,
-}
+QUERIES = {name: getattr(m, name) for name, m in zip(_NAMES, _MODULES)}
+ORACLE = {name: m.ORACLE for name, m in zip(_NAMES, _MODULES) if hasattr(m, "ORACLE")}
