@@ -3,9 +3,15 @@ contracts, row keys, and stored intermediate tables."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import clinrisk
+
 from clinrisk.session import scratch_path
 
 #: White space of the contracts: \x20 and \x09-\x0D.
@@ -49,6 +55,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for those that
+    do not have it on their path.  Spark serves the file from the driver."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(clinrisk.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="clinrisk-ship-"), "clinrisk.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def slices(rows: int, spark: SparkSession, per_task: int) -> int:
     """Partitions for ``rows`` of a stored table: by size, at least the
     session's shuffle partitions."""

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from clinrisk.llm.common import table
+from clinrisk.llm.common import map_arrow, table
 
 CAPACITY = 1024
 END_ID = 0
@@ -142,7 +142,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_bpe_
                     yield bins.flush()
         bins.finish()
         yield bins.flush()
-    return docs.select(id_col, text_col).mapInArrow(worker, OUT)
+    return map_arrow(docs.select(id_col, text_col), worker, OUT)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
