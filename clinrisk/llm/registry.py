@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from clinrisk.llm import (op1_line_dedup, op3_quality_rules, op4_quality_cnn, op6_packing, op7_mixing, op8_ngram_jaccard,
-                          op9_license_scan, op10_language_gru)
+from clinrisk.llm import (op1_line_dedup, op2_subword_lattice, op3_quality_rules, op4_quality_cnn, op5_ann_adaptive,
+                          op6_packing, op7_mixing, op8_ngram_jaccard, op9_license_scan, op10_language_gru)
 
-_MODULES = (op1_line_dedup, op3_quality_rules, op4_quality_cnn, op6_packing, op7_mixing, op8_ngram_jaccard, op9_license_scan, op10_language_gru)
+_MODULES = (op1_line_dedup, op2_subword_lattice, op3_quality_rules, op4_quality_cnn, op5_ann_adaptive,
+            op6_packing, op7_mixing, op8_ngram_jaccard, op9_license_scan, op10_language_gru)
 _NAMES = [m.__name__.rsplit(".", 1)[-1] for m in _MODULES]
 
 QUERIES = {name: getattr(m, name) for name, m in zip(_NAMES, _MODULES)}
