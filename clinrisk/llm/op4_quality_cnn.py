@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from clinrisk.llm.bytechunks import Adam, pooled, smallest_by_hash, text_bytes, training_chunks
 from clinrisk.llm.common import id_crc, map_arrow, table
@@ -115,21 +116,21 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", per_class
 def score(docs: DataFrame, model: Params | float, id_col: str = "doc_id", text_col: str = "text",
           carry: bool = False) -> DataFrame:
     """(id, score) of every row; with ``carry`` the row itself as a struct too."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.struct("*").alias("row")] if carry else []))
-    extra = [rows.schema["row"]] if carry else []
+    rows = docs.select(F.col(id_col).alias("id"), F.struct("*").alias("row") if carry else F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
+            texts = batch.column(1).field(text_col) if carry else batch.column(1)
             if isinstance(model, float):
                 prob = np.full(n, model)
             else:
-                total, count = pooled(text_bytes(batch.column(1)), n, 1, LENGTH, STRIDE, lambda x: chunk_logits(model, x))
+                total, count = pooled(text_bytes(texts), n, 1, LENGTH, STRIDE, lambda x: chunk_logits(model, x))
                 prob = 1 / (1 + np.exp(-total[:, 0] / count))
-            columns = [batch.column(0), pa.array(prob), *([batch.column(2)] if extra else [])]
+            columns = [batch.column(0), pa.array(prob), *([batch.column(1)] if carry else [])]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "score", "row"][:len(columns)])
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    return map_arrow(rows, run, StructType([rows.schema["id"], StructField("score", DoubleType()), *extra]))
+    fields = [rows.schema["id"], StructField("score", DoubleType()), *([rows.schema["row"]] if carry else [])]
+    return map_arrow(rows, run, StructType(fields))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
