@@ -50,7 +50,9 @@ class Index:
         self.dim = sample.shape[1]
         self.rotation = np.linalg.qr(rng.normal(size=(self.dim, self.dim)))[0]
         x = unit(sample)
-        self.centroids = x[rng.choice(len(x), min(n_lists, len(x)), replace=False)]
+        # Distinct starts: equal centroids would part equal vectors by rounding alone.
+        distinct = x[np.unique(x.round(9), axis=0, return_index=True)[1]]
+        self.centroids = distinct[rng.choice(len(distinct), min(n_lists, len(distinct)), replace=False)]
         for _ in range(8):
             near = (x @ self.centroids.T).argmax(axis=1)
             sums = np.zeros_like(self.centroids)
