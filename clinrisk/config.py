@@ -23,8 +23,7 @@ AS_OF_SQL_TS = "TIMESTAMP '2002-01-01 00:00:00'"
 #: Seed mixed into every deterministic draw.
 SEED = 42
 
-#: Default forest size for query/bench runs (the original trains 200 trees).
-QUERY_NUM_TREES = 20
+#: Trees of a forest.
 FULL_NUM_TREES = 200
 MAX_DEPTH = 10
 

@@ -3,13 +3,12 @@
 The original builds the frame with one statement: patients JOIN admissions,
 LEFT JOIN vitals, diagnoses, medications and lab results (a many-to-many
 fan-out), GROUP BY 16 keys, COUNT(DISTINCT ...), a conditional-max pivot and
-a correlated EXISTS for 30-day readmission.  Here every child table is first
-reduced to one row per admission (or per distinct vitals reading) with
-map-side partial aggregation, the reduced frames are joined on
-``admission_id`` (they share one hash partitioning, so the admission side is
-shuffled once for all of them), and the fan-out-dependent ``abnormal_labs``
-count is recovered arithmetically.  Nothing ever materialises the product of
-the children.
+a correlated EXISTS for 30-day readmission.  Here the rows of all child
+tables are tagged, unioned and reduced to one row per admission by a single
+aggregation (partial on the map side); the patient's columns are joined while
+rows are narrow; one hash partitioning on ``admission_id`` then serves every
+further join; and the fan-out-dependent ``abnormal_labs`` count is recovered
+arithmetically.  Nothing ever materialises the product of the children.
 """
 
 from __future__ import annotations
@@ -54,7 +53,11 @@ def readmission_flags(admissions: DataFrame, days: int = C.READMIT_DAYS) -> Data
                 .select("patient_id", F.lit(None).cast("bigint").alias("admission_id"),
                         F.col("admission_date").alias("ts"), F.lit(0).alias("k"),
                         F.col("admission_date").alias("adm_ts")))
+    # NULL patients never match: their discharges skip the sweep (flag 0 by the outer join of the caller).
     events = discharges.unionByName(arrivals).withColumn("day", day_number(F.col("ts")))
+    nobody = events.where(F.col("patient_id").isNull() & (F.col("k") == 1))
+    # Both uses below read this one exchange.
+    events = events.where(F.col("patient_id").isNotNull()).repartition("patient_id", "day")
     passed = (Window.partitionBy("patient_id", "day")
               .orderBy(F.col("ts").desc(), F.col("k").desc())
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -68,26 +71,38 @@ def readmission_flags(admissions: DataFrame, days: int = C.READMIT_DAYS) -> Data
     nearest = F.coalesce(F.col("next_here"), F.col("next_there"))
     limit = F.col("ts") + F.make_dt_interval(days=F.lit(days))
     flag = F.when(nearest.isNotNull() & (nearest <= limit), 1).otherwise(0).cast("bigint")
-    return joined.select("admission_id", "patient_id", flag.alias("readmitted_30d"))
+    out = joined.select("admission_id", "patient_id", flag.alias("readmitted_30d"))
+    return out.unionByName(nobody.select("admission_id", "patient_id", F.lit(0).cast("bigint").alias("readmitted_30d")))
 
 
 def vitals_groups(vitals: DataFrame) -> DataFrame:
     """the 16-key GROUP BY keeps one output row per distinct vitals
-    reading of an admission; count the readings behind each."""
-    return (vitals.groupBy("patient_id", "admission_id", *VITAL_MEASURES)
-            .agg(F.count(F.lit(1)).alias("n_vital_rows")))
-
-
-def child_counts(df: DataFrame, id_col: str, prefix: str) -> DataFrame:
-    """F7 without fan-out: rows and distinct ids per admission."""
-    return (df.where(F.col("admission_id").isNotNull()).groupBy("admission_id")
-            .agg(F.count(F.lit(1)).alias(f"n_{prefix}_rows"),
-                 F.count_distinct(id_col).alias(f"{prefix}_count")))
+    reading of an admission; count the readings behind each.  Dealt out by
+    admission, so that the join on the admission needs no further exchange."""
+    return (vitals.where(F.col("patient_id").isNotNull() & F.col("admission_id").isNotNull()).repartition("admission_id")
+            .groupBy("patient_id", "admission_id", *VITAL_MEASURES).agg(F.count(F.lit(1)).alias("n_vital_rows")))
+
+
+def child_summary(diagnoses: DataFrame, medications: DataFrame, labs: DataFrame) -> DataFrame:
+    """F7/F8/F9b without fan-out: per admission the number of diagnoses and
+    medications (their ids are unique, so a plain count is the distinct
+    count), the conditional-max pivot of the five tests, the lab rows and the
+    true abnormal count; one aggregation over the tagged rows of all three."""
+    null = F.lit(None)
+    rows = (diagnoses.select("admission_id", F.lit("d").alias("kind"), null.cast("string").alias("test_name"),
+                             null.cast("double").alias("test_value"), null.cast("boolean").alias("is_abnormal"))
+            .union(medications.select("admission_id", F.lit("m"), null.cast("string"), null.cast("double"), null.cast("boolean")))
+            .union(labs.select("admission_id", F.lit("l"), "test_name", "test_value", "is_abnormal")))
+    pivots = [F.max(F.when(F.col("test_name") == test, F.col("test_value"))).alias(col) for test, col in LAB_PIVOT]
+    return (rows.where(F.col("admission_id").isNotNull()).groupBy("admission_id")
+            .agg(F.count_if(F.col("kind") == "d").alias("diagnosis_count"), F.count_if(F.col("kind") == "m").alias("medication_count"),
+                 *pivots, F.count("test_name").alias("n_lab_names"),
+                 F.count_if(F.col("is_abnormal")).cast("bigint").alias("abnormal_lab_count")))
 
 
 def lab_summary(labs: DataFrame) -> DataFrame:
-    """Conditional-max pivot of the five tests, lab-row count and true
-    abnormal count per admission, in one aggregation."""
+    """F8/F9b alone: conditional-max pivot of the five tests, lab-row count and
+    true abnormal count per admission, in one aggregation."""
     pivots = [F.max(F.when(F.col("test_name") == test, F.col("test_value"))).alias(col)
               for test, col in LAB_PIVOT]
     return (labs.where(F.col("admission_id").isNotNull()).groupBy("admission_id")
@@ -102,18 +117,16 @@ def feature_frame(s: Star, keep_extra: bool = False) -> DataFrame:
     pat = s.patients.select("patient_id", "date_of_birth", "gender", "blood_type")
     flags = readmission_flags(s.admissions).select("admission_id", "readmitted_30d")
 
-    # All admission-keyed joins first: one hash partitioning on admission_id serves them all.
-    j = (adm.join(child_counts(s.diagnoses, "diagnosis_id", "diagnosis"), "admission_id", "left")
-         .join(child_counts(s.medications, "medication_id", "medication"), "admission_id", "left")
-         .join(lab_summary(s.labs), "admission_id", "left")
+    # The patient's columns first, while rows are narrow; then one partitioning by admission serves all joins.
+    j = (adm.join(pat, "patient_id")
+         .join(child_summary(s.diagnoses, s.medications, s.labs), "admission_id", "left")
          .join(flags, "admission_id", "left")
-         .join(vitals_groups(s.vitals), ["patient_id", "admission_id"], "left")
-         .join(pat, "patient_id"))
+         .join(vitals_groups(s.vitals), ["patient_id", "admission_id"], "left"))
 
     fan = (F.coalesce(F.col("n_lab_names"), F.lit(0))
            * F.coalesce(F.col("n_vital_rows"), F.lit(1))
-           * F.greatest(F.coalesce(F.col("n_diagnosis_rows"), F.lit(0)), F.lit(1))
-           * F.greatest(F.coalesce(F.col("n_medication_rows"), F.lit(0)), F.lit(1)))
+           * F.greatest(F.coalesce(F.col("diagnosis_count"), F.lit(0)), F.lit(1))
+           * F.greatest(F.coalesce(F.col("medication_count"), F.lit(0)), F.lit(1)))
     status = F.col("discharge_status")
     cols = [
         F.col("patient_id"),
@@ -147,11 +160,9 @@ def lengths_of_stay(s: Star) -> DataFrame:
 
 def distinct_counts(s: Star) -> DataFrame:
     adm = s.admissions.where(F.col("discharge_date").isNotNull()).select("admission_id")
-    return (adm.join(child_counts(s.diagnoses, "diagnosis_id", "diagnosis"), "admission_id", "left")
-            .join(child_counts(s.medications, "medication_id", "medication"), "admission_id", "left")
-            .select("admission_id",
-                    F.coalesce(F.col("diagnosis_count"), F.lit(0)).cast("bigint").alias("diagnosis_count"),
-                    F.coalesce(F.col("medication_count"), F.lit(0)).cast("bigint").alias("medication_count")))
+    counts = child_summary(s.diagnoses, s.medications, s.labs.limit(0)).select("admission_id", "diagnosis_count", "medication_count")
+    return adm.join(counts, "admission_id", "left").select(
+        "admission_id", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("diagnosis_count", "medication_count")])
 
 
 def lab_pivot(s: Star) -> DataFrame:

@@ -1,64 +1,18 @@
-"""Dense surrogate ids (1..n in a given order).
-
-``row_number() OVER (ORDER BY k)`` with no PARTITION BY moves every row into a
-single task.  Instead the key range is cut at approximate quantiles into
-``b`` buckets (one distributed pass; ``b`` numbers reach the driver), rows are
-counted per bucket (map-side partial aggregation; ``b`` rows reach the
-driver), and each bucket is numbered by its own window, offset by the
-exclusive prefix of the bucket counts.  Bucket sizes are balanced by the
-quantiles, every step is deterministic, and the result does not depend on
-the input partitioning.
-
-The order columns must identify a row (unique), and the leading order column
-must be numeric; rows sharing the leading value land in one bucket.
-"""
+"""Dense surrogate ids (1..n in a given order)."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinrisk.session import default_parallelism
-
-_BUCKET = "__bucket"
-_LEAD = "__lead"
-
-
-def _bucketed(df: DataFrame, lead: Column, buckets: int | None) -> tuple[DataFrame, int]:
-    spark = df.sparkSession
-    # Several buckets per shuffle partition even out the hash placement of
-    # buckets onto tasks.
-    n = buckets or min(4 * default_parallelism(spark), 100_000)
-    staged = df.withColumn(_LEAD, lead.cast("double"))
-    if n <= 1:
-        return staged.withColumn(_BUCKET, F.lit(0.0)), 1
-    probs = [i / n for i in range(1, n)]
-    qs = staged.select(_LEAD).approxQuantile(_LEAD, probs, 1.0 / (4 * n))
-    splits = sorted({q for q in qs if q is not None})
-    bucketizer = Bucketizer(splits=[float("-inf"), *splits, float("inf")],
-                            inputCol=_LEAD, outputCol=_BUCKET, handleInvalid="keep")
-    return bucketizer.transform(staged), len(splits) + 2
-
-
-def _offsets(counts: list, start: int, n_buckets: int) -> list[int]:
-    """Start offset of every bucket 0..n-1 (empty buckets included)."""
-    per = dict(counts)
-    offsets, running = [], start
-    for b in range(n_buckets):
-        offsets.append(running)
-        running += per.get(float(b), 0)
-    return offsets
+from clinrisk.operators.prefix import prefix_sums
 
 
-def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, start: int = 1,
-              buckets: int | None = None) -> DataFrame:
-    """Add ``id_col`` = position of the row in ``order_cols`` order, from ``start``."""
-    staged, n_buckets = _bucketed(df, F.col(order_cols[0]), buckets)
-    counts = staged.select(_BUCKET).groupBy(_BUCKET).count().collect()
-    offsets = _offsets([(r[_BUCKET], r["count"]) for r in counts], start - 1, n_buckets)
-    # One offset per bucket: a constant-folded array literal, indexed in O(1).
-    offset_of = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]),
-                             F.col(_BUCKET).cast("int") + 1)
-    numbered = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order_cols))
-    return staged.withColumn(id_col, (offset_of + numbered).cast("bigint")).drop(_BUCKET, _LEAD)
+def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str, start: int | Column = 1,
+              once: bool = True) -> DataFrame:
+    """Add ``id_col`` = position of the row in ``order_cols`` order, from
+    ``start``: a running count (``prefix_sums``).  The order columns must
+    identify a row."""
+    first = F.lit(start) if isinstance(start, int) else start
+    numbered = prefix_sums(df, [], order_cols, {"__before": F.lit(1).cast("bigint")}, once=once)
+    return numbered.withColumn(id_col, (first + F.col("__before")).cast("bigint")).drop("__before")

@@ -1,101 +1,119 @@
 """Risk models: class-balanced random forests with MLlib.
 
-Per target: deterministic 80/20 split, median imputation fitted on the
-training rows, balanced class weights, a forest (``numTrees``, depth 10,
-sqrt feature subsets, bootstrap, seed 42), evaluation on the held-out rows,
-then every row -- training rows included -- is scored.  A target with a
-single class gets a constant 0 model (the original's fallback also yields
-probability 0 for the only class).  Training and scoring are distributed
-MLlib jobs; only the 23 medians and the fitted trees live on the driver.
+Per target: an exact stratified 80/20 split, median imputation fitted on the
+target's training rows, balanced class weights, a forest (``numTrees``, depth
+10, sqrt feature subsets, bootstrap, seed 42), evaluation on the held-out rows,
+then every row -- training rows included -- is scored.  A target whose
+training rows have a single class gets a constant 0 model (the original's
+fallback also yields probability 0 for the only class).  Training and scoring
+are distributed MLlib jobs; only the medians, the label codes, the class
+weights and the fitted trees live on the driver.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinrisk import config as C
 from clinrisk.operators import evaluate as EV
 from clinrisk.operators import prepare as PR
+from clinrisk.operators.prefix import stored
 from clinrisk.operators.scoring import RISKS, score_table
 
 
 @dataclass
 class RiskModels:
-    features: list[str]
-    medians: dict[str, float | None]
+    """Per target: its features, medians and fitted pipeline (None: constant 0);
+    the stored split and label codes that a later batch uses again."""
+    features: dict[str, list[str]]
+    medians: dict[str, dict[str, float | None]]
     models: dict[str, PipelineModel | None]
-    metrics: dict[str, dict] = field(default_factory=dict)
-
-
-def _assembler(cols: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-
-
-def fit(frame: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int = C.MAX_DEPTH,
-        seed: int = C.SEED) -> RiskModels:
-    """Train one forest per target on ``frame`` (``prepare.model_frame``)."""
-    split = PR.stratified_split(frame)
-    train = split.where(~F.col("is_test"))
-    med = {r["feature"]: r["median"] for r in PR.medians(train).collect()}
-    cols = [c for c in C.FEATURE_COLUMNS if med.get(c) is not None]
-    train_i = PR.impute(train, med)
-    classes = {r["target"]: r["k"] for r in frame.select(
-        *[F.count_distinct(col).alias(name) for name, col in C.TARGETS.items()]).selectExpr(
-        "stack(3, " + ", ".join(f"'{n}', `{n}`" for n in C.TARGETS) + ") AS (target, k)").collect()}
-    weights = {(r["target"], r["label"]): r["weight"] for r in PR.class_weights(train).collect()}
+    split: DataFrame
+    mapping: DataFrame
+
+
+def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int = C.MAX_DEPTH,
+        seed: int = C.SEED, max_train_rows: int | None = None) -> RiskModels:
+    """Train one forest per target on the feature table.  ``max_train_rows``
+    bounds the rows of one fit by a seeded sample (default: all rows)."""
+    mapping = stored(PR.label_mapping(features), "label-mapping")
+    frame = PR.model_frame(features, mapping)
+    split = stored(PR.stratified_split(frame), "split")
+    med: dict[str, dict[str, float | None]] = {n: {} for n in C.TARGETS}
+    for r in PR.medians(frame, split).collect():
+        med[r["target"]][r["feature"]] = r["median"]
+    weights = {(r["target"], r["label"]): (r["weight"], r["n"]) for r in PR.class_weights(split).collect()}
     models: dict[str, PipelineModel | None] = {}
+    cols = {n: [c for c in C.FEATURE_COLUMNS if med[n].get(c) is not None] for n in C.TARGETS}
     for name, label in C.TARGETS.items():
-        if classes[name] < 2:
+        if not {(name, 0), (name, 1)} <= set(weights):
             models[name] = None
             continue
-        w = F.when(F.col(label) == 1, weights.get((name, 1), 1.0)).otherwise(weights.get((name, 0), 1.0))
+        rows = PR.impute(PR.training_rows(frame, split, name), med[name])
+        n = weights[name, 0][1] + weights[name, 1][1]
+        if max_train_rows and n > max_train_rows:
+            rows = rows.sample(max_train_rows / n, seed=seed)
+        w = F.when(F.col(label) == 1, weights[name, 1][0]).otherwise(weights[name, 0][0])
         rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="w",
                                     numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                     featureSubsetStrategy="sqrt", bootstrap=True,
-                                    probabilityCol=f"prob_{name}", rawPredictionCol=f"raw_{name}",
-                                    predictionCol=f"pred_{name}")
-        models[name] = Pipeline(stages=[_assembler(cols), rf]).fit(train_i.withColumn("w", w))
-    return RiskModels(cols, med, models)
+                                    probabilityCol="prob", rawPredictionCol="raw", predictionCol="pred")
+        assembler = VectorAssembler(inputCols=cols[name], outputCol="features", handleInvalid="keep")
+        models[name] = Pipeline(stages=[assembler, rf]).fit(rows.withColumn("w", w))
+    return RiskModels(cols, med, models, split, mapping)
+
+
+def _positive(rm: RiskModels, target: str, frame: DataFrame, column: str) -> DataFrame:
+    """``frame`` (imputed for the target) with the positive class's
+    probability; 0 without a model or where a fit saw no positive row."""
+    model = rm.models[target]
+    if model is None or model.stages[-1].numClasses < 2:
+        return frame.withColumn(column, F.lit(0.0))
+    return (model.transform(frame).withColumn(column, vector_to_array(F.col("prob"))[1])
+            .drop("features", "prob", "raw", "pred"))
 
 
 def probabilities(rm: RiskModels, frame: DataFrame) -> DataFrame:
-    """H6/H9: positive-class probability of every target for every row."""
-    out = PR.impute(frame, rm.medians)
+    """H6/H9: positive-class probability of every target for every row.  The
+    targets' medians differ, so each imputes its own copy of the columns."""
+    out = frame
     for name in C.TARGETS:
-        model = rm.models[name]
-        if model is None:
-            out = out.withColumn(f"p_{name}", F.lit(0.0))
-            continue
-        out = model.transform(out).withColumn(f"p_{name}", vector_to_array(F.col(f"prob_{name}"))[1])
-        out = out.drop("features", f"prob_{name}", f"raw_{name}", f"pred_{name}")
+        held = [F.col(c).alias(f"__{c}") for c in C.FEATURE_COLUMNS]
+        out = _positive(rm, name, PR.impute(out.select("*", *held), rm.medians[name]), f"p_{name}")
+        out = out.withColumns({c: F.col(f"__{c}") for c in C.FEATURE_COLUMNS}).drop(*[f"__{c}" for c in C.FEATURE_COLUMNS])
     return out
 
 
-def risk_scores(rm: RiskModels, frame: DataFrame) -> DataFrame:
+def risk_scores(rm: RiskModels, frame: DataFrame, **run) -> DataFrame:
     """The score table written by the scoring stage."""
-    return score_table(probabilities(rm, frame), C.MODEL_VERSION)
+    return score_table(probabilities(rm, frame), C.MODEL_VERSION, **run)
+
+
+def evaluation_rows(rm: RiskModels, frame: DataFrame) -> DataFrame:
+    """(target, label, score, prediction) of every target's held-out rows.  The
+    score is the raw probability; a tie goes to class 0, the first of equals."""
+    probs = probabilities(rm, frame)
+    long = probs.select("feature_row_id", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("target"), F.col(f"p_{n}").alias("score")) for n in C.TARGETS])).alias("x"))
+    rows = long.select("feature_row_id", "x.target", "x.score").join(rm.split.where("is_test"), ["feature_row_id", "target"])
+    return rows.select("target", "label", "score", (F.col("score") > 0.5).cast("bigint").alias("prediction"))
 
 
 def evaluation(rm: RiskModels, frame: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """AUC and classification report of every target on the held-out rows."""
-    test = PR.stratified_split(frame).where(F.col("is_test"))
-    probs = probabilities(rm, test)
-    parts = [probs.select(F.lit(name).alias("target"), F.col(label).alias("label"),
-                          F.round(F.col(f"p_{name}"), 6).alias("score"),
-                          (F.col(f"p_{name}") >= 0.5).cast("int").alias("prediction"))
-             for name, label in C.TARGETS.items()]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return EV.roc_auc(rows), EV.classification_report(rows)
+    """AUC and classification report on the held-out rows; a target without a
+    model has no report."""
+    rows = stored(evaluation_rows(rm, frame), "evaluation")
+    trained = [n for n, m in rm.models.items() if m is not None]
+    return EV.roc_auc(rows), EV.classification_report(rows.where(F.col("target").isin(trained)))
 
 
 def degenerate_targets(frame: DataFrame) -> DataFrame:
@@ -109,42 +127,70 @@ def degenerate_targets(frame: DataFrame) -> DataFrame:
                       F.when(F.col("n_classes") < 2, F.lit(0.0)).alias("constant_risk"))
 
 
-def top_features(rm: RiskModels, frame: DataFrame, target: str = "readmission", k: int = 5) -> DataFrame:
-    """H12 (ours): occlusion attribution.  For each row and feature, the
-    feature is replaced by its training median and the row re-scored; the
-    ``k`` largest absolute changes become a JSON list of
-    ``{"feature", "delta"}``.  Not SHAP values.  Rows are expanded by the
-    feature count with a narrow ``explode`` (no join) and the top-k per row
-    is a WindowGroupLimit."""
-    model = rm.models.get(target)
-    cols = rm.features
-    rid = ["feature_row_id"] if "feature_row_id" in frame.columns else []
-    keys = [*rid, "patient_id", "admission_id"]
-    base = PR.impute(frame, rm.medians).select(*keys, *cols)
-    if model is None:
-        return base.select(*keys, F.lit("[]").alias("top_features"))
-    p_col = f"prob_{target}"
-    scored = model.transform(base).withColumn("p0", vector_to_array(F.col(p_col))[1]) \
-        .drop("features", p_col, f"raw_{target}", f"pred_{target}")
-    idx = F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("fi")
-    occluded = scored.select("*", idx)
-    occluded = occluded.select(*keys, "p0", "fi", *[
-        F.when(F.col("fi") == i, F.lit(rm.medians[c])).otherwise(F.col(c)).alias(c) for i, c in enumerate(cols)])
-    rescored = model.transform(occluded).withColumn("p1", vector_to_array(F.col(p_col))[1])
+def _largest(k: int):
+    """Reduces the consecutive occlusions of one row to its ``k`` largest, in
+    the task that made them: nothing is shuffled."""
+    def run(frames: Iterator) -> Iterator:
+        import json
+        import pandas as pd
+        held: list = []
+
+        def close(rows: list) -> dict:
+            best = sorted(rows, key=lambda r: (-abs(r.delta), r.feature))[:k]
+            return {"feature_row_id": rows[0].feature_row_id, "admission_id": rows[0].admission_id,
+                    "top": json.dumps([{"feature": r.feature, "delta": r.delta} for r in best])}
+        for frame in frames:
+            out = []
+            for r in frame.itertuples(index=False):
+                if held and held[0].feature_row_id != r.feature_row_id:
+                    out.append(close(held))
+                    held = []
+                held.append(r)
+            yield pd.DataFrame(out, columns=["feature_row_id", "admission_id", "top"])
+        yield pd.DataFrame([close(held)] if held else [], columns=["feature_row_id", "admission_id", "top"])
+    return run
+
+
+def target_features(rm: RiskModels, frame: DataFrame, target: str, k: int = 5) -> DataFrame:
+    """(feature_row_id, admission_id, top): for each row, the ``k`` features of
+    the target's model with the largest change of probability when the
+    feature is replaced by its training median (occlusion; not SHAP)."""
+    keys = ["feature_row_id", "admission_id"]
+    if rm.models.get(target) is None:
+        return frame.select(*keys, F.lit("[]").alias("top"))
+    cols = rm.features[target]
+    scored = _positive(rm, target, PR.impute(frame, rm.medians[target]).select(*keys, *cols), "p0")
+    each = scored.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("fi"))
+    each = each.select(*keys, "p0", "fi", *[
+        F.when(F.col("fi") == i, F.lit(float(rm.medians[target][c]))).otherwise(F.col(c)).alias(c) for i, c in enumerate(cols)])
+    again = _positive(rm, target, each, "p1")
     names = F.array(*[F.lit(c) for c in cols])
-    deltas = rescored.select(*keys, F.element_at(names, F.col("fi") + 1).alias("feature"),
-                             F.round(F.col("p0") - F.col("p1"), 6).alias("delta"))
-    w = Window.partitionBy(*keys).orderBy(F.abs("delta").desc(), F.col("feature"))
-    top = deltas.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
-    return (top.groupBy(*keys)
-            .agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("r", "feature", "delta"))),
-                                       lambda s: F.struct(s["feature"].alias("feature"),
-                                                          s["delta"].alias("delta")))).alias("top_features")))
+    deltas = again.select(*keys, F.element_at(names, F.col("fi") + 1).alias("feature"), F.round(F.col("p0") - F.col("p1"), 6).alias("delta"))
+    return deltas.mapInPandas(_largest(k), "feature_row_id bigint, admission_id bigint, top string")
+
+
+def top_features(rm: RiskModels, frame: DataFrame, k: int = 5) -> DataFrame:
+    """H12 (ours): (feature_row_id, admission_id, top_features), a JSON object
+    with one list per target.  The score table stores it."""
+    out = None
+    for name in C.TARGETS:
+        part = target_features(rm, frame, name, k).withColumnRenamed("top", name)
+        out = part if out is None else out.join(part.drop("admission_id"), "feature_row_id")
+    text = F.concat(F.lit("{"), *[x for i, n in enumerate(C.TARGETS) for x in
+                                  (F.lit(f'{", " if i else ""}"{n}": '), F.col(n))], F.lit("}"))
+    return out.select("feature_row_id", "admission_id", text.alias("top_features"))
+
+
+def with_top_features(scores: DataFrame, top: DataFrame) -> DataFrame:
+    """The score table with the stored lists (score_id is the feature row's id of this run)."""
+    lists = top.select(F.col("feature_row_id").alias("__row"), F.col("top_features").alias("__top"))
+    joined = scores.join(lists, F.col("feature_row_id") == F.col("__row"), "left")
+    return joined.withColumn("top_features", F.coalesce("__top", "top_features")).drop("__row", "__top")
 
 
 def describe(rm: RiskModels) -> str:
-    return json.dumps({"features": rm.features, "trained": {k: v is not None for k, v in rm.models.items()}})
+    return json.dumps({"trained": {k: v is not None for k, v in rm.models.items()}})
 
 
-__all__ = ["RiskModels", "fit", "probabilities", "risk_scores", "evaluation", "degenerate_targets",
-           "top_features", "RISKS"]
+__all__ = ["RiskModels", "fit", "probabilities", "risk_scores", "evaluation", "evaluation_rows", "degenerate_targets",
+           "target_features", "top_features", "with_top_features", "RISKS"]

@@ -2,28 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinrisk import config as C
 from clinrisk.functions.hashing import uniform
+from clinrisk.operators.prefix import prefix_sums
 
 #: Share of rows held out for evaluation.
 TEST_FRACTION = 0.2
-
-
-def label_encode(features: DataFrame, columns=C.CATEGORICAL_FEATURES) -> DataFrame:
-    """NULL -> 'Unknown', then code = rank of the value among the
-    column's sorted distinct values, from 0 (code-point order).  The
-    vocabulary is found with one distributed aggregation per column
-    (``StringIndexer``) and only the distinct values reach the driver."""
-    filled = features.fillna("Unknown", subset=list(columns))
-    indexer = StringIndexer(inputCols=list(columns), outputCols=[f"{c}__code" for c in columns],
-                            stringOrderType="alphabetAsc", handleInvalid="keep")
-    encoded = indexer.fit(filled).transform(filled)
+UNKNOWN = "Unknown"
+
+
+def label_mapping(features: DataFrame, columns=C.CATEGORICAL_FEATURES) -> DataFrame:
+    """(feature, value, code): code = rank of the value among the column's
+    sorted distinct values, from 0 (code-point order), NULL counting as
+    'Unknown'.  Stored with the models, so that later batches get the same
+    codes."""
+    pairs = features.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c), F.lit(UNKNOWN)).alias("value")) for c in columns])).alias("x"))
+    distinct = pairs.select("x.feature", "x.value").distinct()
+    code = F.row_number().over(Window.partitionBy("feature").orderBy("value")) - 1      # a few values per column
+    return distinct.withColumn("code", code.cast("bigint"))
+
+
+def label_encode(features: DataFrame, columns=C.CATEGORICAL_FEATURES, mapping: DataFrame | None = None) -> DataFrame:
+    """NULL -> 'Unknown', then the value's code of ``mapping`` (fitted
+    on ``features`` itself by default).  A value that the mapping lacks gets
+    the code of 'Unknown', or else the next free one."""
+    mapping = label_mapping(features, columns) if mapping is None else mapping
+    rows = mapping.collect()                                    # the vocabulary of four columns
+    encoded = features
     for c in columns:
-        encoded = encoded.withColumn(c, F.col(f"{c}__code").cast("bigint")).drop(f"{c}__code")
+        codes = {r["value"]: r["code"] for r in rows if r["feature"] == c}
+        other = codes.get(UNKNOWN, max(codes.values(), default=-1) + 1)
+        known = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv]) if codes else None
+        value = F.coalesce(F.col(c), F.lit(UNKNOWN))
+        code = F.coalesce(F.try_element_at(known, value), F.lit(other)) if codes else F.lit(other)
+        encoded = encoded.withColumn(c, code.cast("bigint"))
     return encoded
 
 
@@ -37,46 +53,69 @@ def derived_features(encoded: DataFrame) -> DataFrame:
     )
 
 
-def model_frame(features: DataFrame) -> DataFrame:
-    """Ids, labels and the 23 model features in model order."""
-    prepared = derived_features(label_encode(features))
+def model_frame(features: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
+    """Ids, labels and the 23 model features in model order, as doubles (a
+    median filled in later is never cut to an integer)."""
+    prepared = derived_features(label_encode(features, mapping=mapping))
     labels = list(C.TARGETS.values())
-    return prepared.select("patient_id", "admission_id", *labels, *C.FEATURE_COLUMNS)
-
-
-def split_flag(row_id: str = "admission_id") -> F.Column:
-    """H2: deterministic hold-out: a seeded draw per admission below 0.2.
-    Every class is sampled at the same rate, so class proportions are kept
-    (approximately) with no shuffle and no dependence on partitioning."""
-    return uniform("split", F.col(row_id), 0) < TEST_FRACTION
+    return prepared.select("feature_row_id", "patient_id", "admission_id", *labels,
+                           *[F.col(c).cast("double").alias(c) for c in C.FEATURE_COLUMNS])
+
+
+def stratified_split(frame: DataFrame, row_id: str = "feature_row_id") -> DataFrame:
+    """H2: (row id, target, label, is_test).  Per target and class exactly
+    ``floor(0.2 n + 0.5)`` of the ``n`` rows are held out: those first in the
+    order of a seeded draw of the row.  Ranks and class sizes are running
+    sums over range partitions, so a class may hold nearly all rows."""
+    u = uniform("split", F.col(row_id), 0)
+    long = frame.select(F.col(row_id), u.alias("u"), F.explode(F.array(*[
+        F.struct(F.lit(n).alias("target"), F.col(lbl).cast("bigint").alias("label")) for n, lbl in C.TARGETS.items()])).alias("x"))
+    long = long.select(row_id, "u", "x.target", "x.label").where("label IS NOT NULL")
+    ranked = prefix_sums(long, ["target", "label"], ["u", row_id], {"before": F.lit(1).cast("bigint")})
+    sizes = ranked.groupBy("target", "label").agg(F.floor(F.count(F.lit(1)) * TEST_FRACTION + 0.5).alias("n_test"))
+    return (ranked.join(F.broadcast(sizes), ["target", "label"])        # two classes of three targets
+            .select(row_id, "target", "label", (F.col("before") < F.col("n_test")).alias("is_test")))
+
+
+def training_rows(frame: DataFrame, split: DataFrame, target: str, row_id: str = "feature_row_id") -> DataFrame:
+    rows = split.where((F.col("target") == target) & ~F.col("is_test")).select(row_id)
+    return frame.join(rows, row_id, "left_semi")
+
+
+def medians(frame: DataFrame, split: DataFrame, columns=C.FEATURE_COLUMNS, row_id: str = "feature_row_id") -> DataFrame:
+    """H1: (target, feature, median): the exact median (interpolated) of every
+    feature over each target's training rows, NULL without values.
+
+    Values are counted first; the two middle values are found by running
+    counts over range partitions."""
+    train = split.where(~F.col("is_test")).groupBy(row_id).agg(F.collect_set("target").alias("targets"))
+    long = frame.join(train, row_id).select(F.explode("targets").alias("target"), *[F.col(c).cast("double").alias(c) for c in columns])
+    cells = long.select("target", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])).alias("x")).select("target", "x.feature", "x.value")
+    counts = cells.where("value IS NOT NULL").groupBy("target", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranked = prefix_sums(counts, ["target", "feature"], ["value"], {"before": F.col("n")})
+    total = ranked.groupBy("target", "feature").agg(F.sum("n").alias("total"))
+    at = ranked.join(F.broadcast(total), ["target", "feature"])         # 23 features of three targets
+    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+
+    def holds(k):
+        return (F.col("before") <= k) & (k < F.col("before") + F.col("n"))
+    middle = at.groupBy("target", "feature").agg(((F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2).alias("median"))
+    names = split.select("target").distinct().withColumn("feature", F.explode(F.array(*[F.lit(c) for c in columns])))
+    return names.join(middle, ["target", "feature"], "left")
 
 
-def stratified_split(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("is_test", split_flag())
-
-
-def medians(train: DataFrame, columns=C.FEATURE_COLUMNS) -> DataFrame:
-    """H1: exact median (interpolated, as numpy) of every feature over the
-    training rows, in one aggregation; (feature, median) rows."""
-    row = train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
-    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
-    return row.selectExpr(f"stack({len(columns)}, {stack}) AS (feature, median)")
+def impute(frame: DataFrame, med: dict[str, float | None]) -> DataFrame:
+    """Fill missing values with the training medians, as doubles; all-missing
+    columns are dropped by the caller (their median is NULL)."""
+    fills = {c: v for c, v in med.items() if v is not None}
+    return frame.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(v))) for c, v in fills.items()})
 
 
-def impute(frame: DataFrame, med: dict[str, float | None]) -> DataFrame:
-    """Fill missing values with the training medians; all-missing columns are
-    dropped by the caller (their median is NULL)."""
-    return frame.fillna({c: v for c, v in med.items() if v is not None})
-
-
-def class_weights(train: DataFrame) -> DataFrame:
-    """H3: balanced weights n / (2 * n_c) per target and class."""
-    parts = [train.select(F.lit(name).alias("target"), F.col(col).alias("label"))
-             for name, col in C.TARGETS.items()]
-    labels = parts[0]
-    for p in parts[1:]:
-        labels = labels.unionByName(p)
-    counts = labels.groupBy("target", "label").agg(F.count(F.lit(1)).alias("n"))
+def class_weights(split: DataFrame) -> DataFrame:
+    """H3: balanced weights n / (2 * n_c) per target and class, on the
+    target's training rows."""
+    counts = split.where(~F.col("is_test")).groupBy("target", "label").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy("target"))  # <= 2 rows per target
     return counts.select("target", "label", "n",
                          (total.cast("double") / (F.lit(2.0) * F.col("n"))).alias("weight"))

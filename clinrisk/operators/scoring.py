@@ -41,13 +41,14 @@ def rule_probabilities(features: DataFrame) -> DataFrame:
     )
 
 
-def score_table(probs: DataFrame, version: str, scored_at=None) -> DataFrame:
+def score_table(probs: DataFrame, version: str, scored_at=None, first_id: int = 1, keep_row: bool = False) -> DataFrame:
     """Tiers from the unrounded probability, stored risks rounded to
-    4 places, ids in admission order, empty top-features, no explanation."""
+    4 places, ids in feature-row order from ``first_id`` (a later run goes on
+    where the last one ended), empty top-features, no explanation."""
     if "feature_row_id" in probs.columns:
-        numbered = probs.withColumn("score_id", F.col("feature_row_id"))
+        numbered = probs.withColumn("score_id", F.col("feature_row_id") + F.lit(first_id - 1))
     else:
-        numbered = dense_ids(probs, feature_row_order(), "score_id")
+        numbered = dense_ids(probs, feature_row_order(), "score_id", start=first_id)
     ts = as_of_ts() if scored_at is None else scored_at
     return numbered.select(
         "score_id", "patient_id", "admission_id", ts.alias("scored_at"), F.lit(version).alias("model_version"),
@@ -55,8 +56,9 @@ def score_table(probs: DataFrame, version: str, scored_at=None) -> DataFrame:
         *[tier(F.col(f"p_{r}")).alias(f"{r}_tier") for r in RISKS],
         F.lit(C.EMPTY_TOP_FEATURES).alias("top_features"),
         F.lit(None).cast("string").alias("ai_explanation"),
+        *(["feature_row_id"] if keep_row else []),
     )
 
 
-def rule_scores(features: DataFrame) -> DataFrame:
-    return score_table(rule_probabilities(features), RULE_VERSION)
+def rule_scores(features: DataFrame, **run) -> DataFrame:
+    return score_table(rule_probabilities(features), RULE_VERSION, **run)

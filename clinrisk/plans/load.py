@@ -128,10 +128,9 @@ def stored_rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fitted_models(spark: SparkSession, sf_dir: str, num_trees: int):
     from clinrisk.operators import model as M
-    from clinrisk.operators.prepare import model_frame
 
     def build():
-        return M.fit(model_frame(stored_features(spark, sf_dir)), num_trees=num_trees)
+        return M.fit(stored_features(spark, sf_dir), num_trees=num_trees)
     return _memo(f"models-{num_trees}", spark, sf_dir, build)
 
 

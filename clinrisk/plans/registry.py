@@ -116,6 +116,7 @@ from clinrisk.operators import model as M  # noqa: E402
 from clinrisk.operators import prepare as PR  # noqa: E402
 from clinrisk.operators import quality as Q  # noqa: E402
 from clinrisk.operators import views as V  # noqa: E402
+from clinrisk.operators.scoring import RISKS, rule_probabilities  # noqa: E402
 from clinrisk.plans import load as L  # noqa: E402
 
 FEATURE_OUT = ["patient_id", "age", "gender", "blood_type", "admission_id", "department", "admission_type",
@@ -196,6 +197,12 @@ def q_label_encode(s: Star) -> DataFrame:
     return PR.label_encode(_features(s)).select("feature_row_id", "admission_id", *C.CATEGORICAL_FEATURES)
 
 
+@query("label_mapping")
+def q_label_mapping(s: Star) -> DataFrame:
+    """The stored codes of every category, 'Unknown' for NULL."""
+    return PR.label_mapping(_features(s))
+
+
 @query("derived_features")
 def q_derived_features(s: Star) -> DataFrame:
     return PR.derived_features(PR.label_encode(_features(s))).select(
@@ -204,33 +211,29 @@ def q_derived_features(s: Star) -> DataFrame:
 
 @query("stratified_split")
 def q_stratified_split(s: Star) -> DataFrame:
-    return PR.stratified_split(_features(s)).select("feature_row_id", "admission_id", "readmitted_30d", "is_test")
+    return PR.stratified_split(_features(s))
 
 
 @query("impute_median")
 def q_impute_median(s: Star) -> DataFrame:
-    frame = PR.derived_features(PR.label_encode(_features(s)))
-    return PR.medians(PR.stratified_split(frame).where(~F.col("is_test")))
+    frame = PR.model_frame(_features(s))
+    return PR.medians(frame, PR.stratified_split(frame))
 
 
 @query("class_weights")
 def q_class_weights(s: Star) -> DataFrame:
-    return PR.class_weights(PR.stratified_split(_features(s)).where(~F.col("is_test")))
+    return PR.class_weights(PR.stratified_split(_features(s)))
 
 
 def _rule_eval_rows(s: Star) -> DataFrame:
-    """(target, label, score, prediction) of the rule scores on held-out rows."""
-    joined = _scores(s).join(_features(s).select(
-        F.col("feature_row_id").alias("score_id"), *C.TARGETS.values()), "score_id")
-    test = joined.where(PR.split_flag())
-    parts = [test.select(F.lit(n).alias("target"), F.col(lbl).alias("label"),
-                         F.col(f"{n}_risk").alias("score"),
-                         (F.col(f"{n}_risk") >= 0.5).cast("int").alias("prediction"))
-             for n, lbl in C.TARGETS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(target, label, score, prediction) of the unrounded rule scores on every target's held-out rows."""
+    feats = _features(s)
+    probs = rule_probabilities(feats)
+    long = probs.select("feature_row_id", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("target"), F.col(f"p_{n}").alias("score")) for n in C.TARGETS])).alias("x"))
+    rows = long.select("feature_row_id", "x.target", "x.score").where("score IS NOT NULL")
+    rows = rows.join(PR.stratified_split(feats).where("is_test"), ["feature_row_id", "target"])
+    return rows.select("target", "label", "score", (F.col("score") > 0.5).cast("bigint").alias("prediction"))
 
 
 @query("roc_auc")
@@ -240,7 +243,9 @@ def q_roc_auc(s: Star) -> DataFrame:
 
 @query("classification_report")
 def q_classification_report(s: Star) -> DataFrame:
-    return EV.classification_report(_rule_eval_rows(s))
+    """A target with one class over all rows is not evaluated (its model is a constant)."""
+    real = M.degenerate_targets(_features(s)).where("NOT is_degenerate").select("target")
+    return EV.classification_report(_rule_eval_rows(s).join(F.broadcast(real), "target", "left_semi"))     # three targets
 
 
 @query("risk_tiers")
@@ -255,25 +260,53 @@ def q_degenerate(s: Star) -> DataFrame:
 
 
 def _models(s: Star):
-    return L.fitted_models(s.spark, s.sf_dir, C.QUERY_NUM_TREES)
+    return L.fitted_models(s.spark, s.sf_dir, C.FULL_NUM_TREES)
+
+
+def _model_frame(s: Star) -> DataFrame:
+    return PR.model_frame(_features(s), _models(s).mapping)
 
 
 @query("risk_model")
 def q_risk_model(s: Star) -> DataFrame:
-    auc, _ = M.evaluation(_models(s), PR.model_frame(_features(s)))
-    return auc
+    """H4-H8: the forests on their held-out rows: classes, and whether the AUC is in its range."""
+    auc, _ = M.evaluation(_models(s), _model_frame(s))
+    return auc.select("target", "n_pos", "n_neg", F.col("auc").isNull().alias("auc_is_null"),
+                      F.coalesce(F.col("auc").between(0, 1), F.lit(True)).alias("auc_in_range"))
 
 
 @query("risk_scores")
 def q_risk_scores(s: Star) -> DataFrame:
-    frame = PR.derived_features(PR.label_encode(_features(s)))
-    return M.risk_scores(_models(s), frame)
+    """The forests' score rows by their contract: ids, version,
+    constant target, ranges, and tiers that agree with the risks."""
+    scores = M.risk_scores(_models(s), _model_frame(s))
+
+    def agrees(r):
+        # Tiers come from the unrounded probability: at a rounded boundary either side is right.
+        risk, tier = F.col(f"{r}_risk"), F.col(f"{r}_tier")
+        return (F.when(risk > C.TIER_HIGH, tier == "High").when(risk == C.TIER_HIGH, tier.isin("High", "Medium"))
+                .when(risk > C.TIER_MEDIUM, tier == "Medium").when(risk == C.TIER_MEDIUM, tier.isin("Medium", "Low"))
+                .otherwise(tier == "Low"))
+    ok = {r: F.col(f"{r}_risk").between(0, 1) for r in RISKS}
+    return scores.select("score_id", "patient_id", "admission_id", "scored_at", "model_version", "mortality_risk",
+                         (ok["readmission"] & ok["deterioration"] & ok["mortality"]).alias("in_range"),
+                         (agrees("readmission") & agrees("deterioration") & agrees("mortality")).alias("tiers_agree"),
+                         F.col("ai_explanation").isNull().alias("unexplained"))
 
 
 @query("top_features")
 def q_top_features(s: Star) -> DataFrame:
-    frame = PR.derived_features(PR.label_encode(_features(s)))
-    return M.top_features(_models(s), frame)
+    """H12 by its contract: per score row and target, how many distinct known features its list names."""
+    top = M.top_features(_models(s), _model_frame(s))
+    lists = F.from_json("top_features", "map<string, array<struct<feature string, delta double>>>")
+    each = top.select("feature_row_id", "admission_id", F.explode(lists).alias("target", "held"))
+    names = F.array_distinct(F.transform("held", lambda x: x["feature"]))
+    known = F.array(*[F.lit(c) for c in C.FEATURE_COLUMNS])
+    falling = F.forall(F.sequence(F.lit(1), F.greatest(F.size("held") - 1, F.lit(1))),
+                       lambda i: F.coalesce(F.abs(F.get("held", i - 1)["delta"]) >= F.abs(F.get("held", i)["delta"]), F.lit(True)))
+    return each.select("feature_row_id", "admission_id", "target", F.size("held").cast("bigint").alias("n_features"),
+                       (F.size(F.array_except(names, known)) == 0).alias("known"),
+                       ((F.size(names) == F.size("held")) & falling).alias("distinct_and_ordered"))
 
 
 # --- I: explanation queue ------------------------------------------------------------

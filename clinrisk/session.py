@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join on more keys than its inputs are dealt by needs no new exchange.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -33,6 +35,11 @@ CLUSTER_CONF = {
 }
 
 
+def cluster_settings(master: str | None) -> dict[str, str]:
+    """``CLUSTER_CONF`` for a master that is not local."""
+    return {} if master is None or master.startswith("local") else dict(CLUSTER_CONF)
+
+
 def build_session(master: str | None = None, app: str = "clinrisk",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the engine expects."""
@@ -42,7 +49,7 @@ def build_session(master: str | None = None, app: str = "clinrisk",
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
+    for k, v in {**RUNTIME_CONF, **cluster_settings(master), **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -60,13 +67,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    The setting is read from the session.  Only when it is unset (a local test
-    session) is a private temporary folder created and registered.
+    The setting is read from the session.  Only when it is unset in a local
+    session (a test) is a private temporary folder created and registered; on
+    a cluster that would be another disk for every executor, so it raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="clinrisk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
