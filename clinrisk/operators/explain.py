@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinrisk.functions.dates import age_years, los_days
-from clinrisk.functions.hashing import uniform
 from clinrisk.functions.risk import round_dec
 from clinrisk.functions.text import py_float_text
 from clinrisk.operators.star import as_of_date
@@ -100,23 +99,6 @@ def prompts(pending_rows: DataFrame) -> DataFrame:
         F.when(ok, text).alias("prompt"), F.when(ok, "ok").otherwise("failed").alias("status"))
 
 
-def simulated_responses(prompt_rows: DataFrame) -> DataFrame:
-    """Stand-in for the external model's answers, derived from the prompts:
-    one answer per rendered prompt (sequence 1) and, for about one pair in
-    ten, a later revision (sequence 2) -- so the merge sees duplicate
-    updates for one patient-admission."""
-    ok = prompt_rows.where(F.col("status") == "ok")
-    first = ok.select("patient_id", "admission_id", F.lit(1).alias("seq"),
-                      F.concat(F.lit("Summary for score "), F.col("score_id").cast("string"),
-                               F.lit(": "), F.coalesce(F.col("diagnosis_name"), F.lit("no diagnosis")),
-                               F.lit(".")).alias("explanation"))
-    second = (ok.where(uniform("revise", F.col("score_id"), 0) < 0.1)
-              .select("patient_id", "admission_id", F.lit(2).alias("seq"),
-                      F.concat(F.lit("Revised summary for score "), F.col("score_id").cast("string"),
-                               F.lit(".")).alias("explanation")))
-    return first.unionByName(second)
-
-
 def merge_explanations(scores: DataFrame, responses: DataFrame) -> DataFrame:
     """Set ``ai_explanation`` on *every* score row of each
     (patient, admission) with an answer; among several answers for one pair

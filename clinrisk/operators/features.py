@@ -59,11 +59,14 @@ def readmission_flags(admissions: DataFrame, days: int = C.READMIT_DAYS) -> Data
     # Both uses below read this one exchange.
     events = events.where(F.col("patient_id").isNotNull()).repartition("patient_id", "day")
     passed = (Window.partitionBy("patient_id", "day")
-              .orderBy(F.col("ts").desc(), F.col("k").desc())
+              .orderBy(F.col("ts").desc(), F.col("k").desc(), "admission_id")
               .rowsBetween(Window.unboundedPreceding, -1))
     swept = (events.withColumn("next_here", F.min("adm_ts").over(passed))
              .where(F.col("k") == 1))
-    per_day = events.groupBy("patient_id", "day").agg(F.min("adm_ts").alias("first_adm"))
+    # The day's earliest admission, by a rank in the same columns, so that the exchange is shared.
+    first = Window.partitionBy("patient_id", "day").orderBy(F.col("adm_ts").asc_nulls_last(), "ts", "k", "admission_id")
+    per_day = (events.withColumn("n", F.row_number().over(first)).where("n = 1")
+               .select("patient_id", "day", F.col("adm_ts").alias("first_adm")))
     later_days = (Window.partitionBy("patient_id").orderBy(F.col("day").desc())
                   .rowsBetween(Window.unboundedPreceding, -1))
     ahead = per_day.select("patient_id", "day", F.min("first_adm").over(later_days).alias("next_there"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinrisk.session import default_parallelism, scratch_path
+from clinrisk.session import default_parallelism, remove_path, scratch_path
 
 _PART = "__part"
 
@@ -33,10 +33,16 @@ def prefix_sums(df: DataFrame, group: list[str], order: list[str | Column], sums
 
     Range partitioning samples its input, so the input is stored first unless
     it already is a stored table (``once=False``)."""
-    base = stored(df, "prefix-input") if once else df
-    n = default_parallelism(df.sparkSession)
+    spark = df.sparkSession
+    copy = scratch_path(spark, "prefix-input") if once else None
+    if copy:
+        df.write.parquet(copy)
+    base = spark.read.schema(df.schema).parquet(copy) if copy else df
+    n = default_parallelism(spark)
     ranged = base.repartitionByRange(n, *group, *order).withColumn(_PART, F.spark_partition_id())
     ranged = stored(ranged, "prefix-ranged")
+    if copy:
+        remove_path(spark, copy)
     totals = ranged.groupBy(*group, _PART).agg(*[F.sum(v).alias(f"__t_{k}") for k, v in sums.items()])
     earlier = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group, _PART, *[F.coalesce(F.sum(f"__t_{k}").over(earlier), F.lit(0)).alias(f"__o_{k}") for k in sums])

@@ -619,3 +619,66 @@ WHERE ai_explanation IS NOT NULL ORDER BY score_id LIMIT 3""")
 ORACLE["csv_ingest"] = ORACLE["encounters"]
 ORACLE["append_guarded"] = ORACLE["patients_dim"]
 ORACLE["merge_explanations_stream"] = ORACLE["merge_explanations"]
+
+# --- Several runs, answers out of order -----------------------------------------------
+ORACLE["score_runs"] = with_scores("""
+SELECT score_id, patient_id, admission_id, scored_at, run,
+       patient_id IS NOT NULL AND row_number() OVER (PARTITION BY patient_id ORDER BY run DESC, score_id DESC) = 1 AS is_latest
+FROM (SELECT score_id + n * (k - 1) AS score_id, patient_id, admission_id, scored_at + INTERVAL 30 DAY * (k - 1) AS scored_at, k AS run
+      FROM risk_scores, (SELECT count(*) AS n FROM risk_scores), (SELECT unnest([1, 2])::BIGINT AS k))""")
+ORACLE["explain_second_run"] = with_prompts("""
+SELECT score_id, patient_id, admission_id, diagnosis_name FROM pend p
+WHERE NOT EXISTS (SELECT 1 FROM prompts x WHERE x.status = 'ok' AND x.score_id % 2 = 0
+                  AND x.patient_id = p.patient_id AND x.admission_id = p.admission_id)""")
+ORACLE["merge_out_of_order"] = ORACLE["merge_explanations"]
+
+# --- Loads ---------------------------------------------------------------------------
+ORACLE["csv_ingest_raw"] = with_star("SELECT * REPLACE (row_number() OVER (ORDER BY enc_id) AS enc_id) FROM enc")
+ORACLE["append_guarded_all"] = with_scores(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) AS n_keys FROM {t}" for t in [*_STAR_TABLES, "risk_scores"]))
+ORACLE["defaults_applied"] = with_star(f"""
+SELECT vital_id, patient_id, CASE WHEN vital_id % 3 = 0 THEN {AS_OF_T} ELSE recorded_at END AS recorded_at FROM vitals""")
+
+# --- Several children; damage -------------------------------------------------------------
+ORACLE["feature_frame_fanout"] = with_star(f"""
+SELECT * FROM (WITH lines AS (
+  SELECT admission_id, patient_id, line, part, admission_id * 10 + line AS number
+  FROM adm_base JOIN (SELECT l_orderkey AS enc_id, l_linenumber::BIGINT AS line, min(l_partkey) AS part FROM lineitem GROUP BY ALL) USING (enc_id)
+),
+more_readings AS (
+  SELECT v.* REPLACE (number AS vital_id, 70.0 + part % 2 AS heart_rate)
+  FROM vitals v JOIN lines USING (admission_id) WHERE line <= 3
+),
+diagnoses AS (SELECT number AS diagnosis_id, admission_id FROM lines WHERE part % 3 <> 0),
+medications AS (SELECT number AS medication_id, admission_id FROM lines WHERE part % 4 <> 0),
+{FEATURE_CTES.strip().replace("FROM vitals WHERE", "FROM more_readings WHERE")}
+SELECT * FROM features)""")
+
+
+def _damage_sql(table: str, key: str) -> str:
+    """The damage of ``clinrisk.fixtures.DAMAGE`` in SQL."""
+    from clinrisk.fixtures import DAMAGE, DAMAGE_ROWS, ORPHAN_STEP
+
+    def hit(kind: str) -> str:
+        m, r = DAMAGE_ROWS[kind]
+        return f"{key} % {m} = {r}"
+    new = []
+    for c, what in DAMAGE[table]:
+        kind = "length" if isinstance(what, int) else what
+        bad = {"null": "NULL", "enum": "'none of these'", "length": f"repeat('x', {what})", "range": "1.5", "orphan": f"{c} + {ORPHAN_STEP}"}[kind]
+        new.append(f"CASE WHEN {hit(kind)} THEN {bad} ELSE {c} END AS {c}")
+    changed = f"SELECT * REPLACE ({', '.join(new)}) FROM {table}"
+    return (f"damaged_{table} AS ({changed} UNION ALL {changed} WHERE {hit('again')} "
+            f"UNION ALL SELECT * REPLACE (NULL AS {key}) FROM {table} WHERE {hit('no key')})")
+
+
+def _on_damaged(sql: str) -> str:
+    """The same check over the damaged copies."""
+    import re
+    sql = re.sub(r"\b(FROM|ANTI JOIN) (patients|admissions|diagnoses|vitals|lab_results|medications|risk_scores|alerts)\b", r"\1 damaged_\2", sql)
+    return with_scores(f"SELECT * FROM (WITH {', '.join(_damage_sql(t, k) for t, k in _KEYS)} {sql})")
+
+
+ORACLE["dq_checks_dirty"] = _on_damaged(_RULE_SQL)
+ORACLE["dq_pk_dirty"] = _on_damaged(_KEY_SQL)
+ORACLE["dq_fk_dirty"] = _on_damaged(_ORPHAN_SQL)

@@ -1,19 +1,23 @@
 """The three batch stages as one program: load, score, explain.
 
     python -m clinrisk load    --sf-dir DIR [--csv PATH] --out OUT
-    python -m clinrisk score   --sf-dir DIR --out OUT [--trees 200]
+    python -m clinrisk score   --out OUT [--trees 200] [--as-of 2002-01-31]
     python -m clinrisk explain --out OUT [--responses PATH]
 
-Each stage reads what the previous one wrote under ``OUT`` (default: a
-folder under ``spark.checkpoint.dir``) and writes parquet tables there.
+Each stage reads what the previous one wrote under ``OUT`` (default: a folder
+under ``spark.checkpoint.dir``).  Scoring appends a run to the score store,
+with ids and a time of its own; explaining adds answers to it.  Both can be
+repeated, and the next run sees what the last one left.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from clinrisk import config as C
 from clinrisk.operators import explain as EX
@@ -24,29 +28,26 @@ from clinrisk.operators.features import feature_frame
 from clinrisk.operators.ids import dense_ids
 from clinrisk.operators.scoring import feature_row_order
 from clinrisk.plans.load import StoredStar, load_audit, load_star
-from clinrisk.session import build_session, scratch_path
+from clinrisk.session import build_session, remove_scratch, shared_dir
 from clinrisk.sources.csv_ingest import read_raw_csv
+from clinrisk.sources.sinks import ScoreStore, append_guarded, with_defaults
 
 
 def run_load(spark: SparkSession, sf_dir: str, out: str, csv: str | None = None) -> StoredStar:
-    """Stage 1: encounters (driver tables, or a raw CSV) -> star schema."""
+    """Stage 1: encounters (driver tables, or a raw CSV) -> star schema.  The
+    three views of the admission base are appended under their keys' guard: a
+    second load of the same encounters adds nothing."""
     if csv:
         star = load_star(spark, sf_dir, out, enc=read_raw_csv(spark, csv))
     else:
         star = load_star(spark, sf_dir, out)
-    for name, df in star.tables().items():
-        if name in ("admissions", "diagnoses", "medications"):
-            df.write.mode("overwrite").parquet(f"{out}/{name}")
+    for name, key in (("admissions", "admission_id"), ("diagnoses", "diagnosis_id"), ("medications", "medication_id")):
+        append_guarded(star.tables()[name], f"{out}/{name}", key, "skip", table=name)
     for r in load_audit(star).collect():
         print(f"  {r.table_name}: {r.row_count} rows")
     return star
 
 
-def _w(df, path):
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _stored(spark: SparkSession, out: str) -> StoredStar:
     r = spark.read.parquet
     tables = {"patients": r(f"{out}/patients"), "base": r(f"{out}/base"), "admissions": r(f"{out}/admissions"),
@@ -55,50 +56,53 @@ def _stored(spark: SparkSession, out: str) -> StoredStar:
     return StoredStar(spark, out, out, tables)
 
 
-def run_score(spark: SparkSession, out: str, trees: int = C.FULL_NUM_TREES) -> None:
-    """Stage 2: feature frame -> three forests -> evaluation -> risk_scores (+ alerts)."""
-    star = _stored(spark, out)
-    feats = _w(dense_ids(feature_frame(star, keep_extra=True), feature_row_order(), "feature_row_id"),
-               f"{out}/features")
+def run_score(spark: SparkSession, out: str, trees: int = C.FULL_NUM_TREES, as_of: dt.date | None = None,
+              max_train_rows: int | None = None) -> int:
+    """Stage 2: feature frame -> three forests -> evaluation -> a new run of
+    the score store (with each row's top features) and its alerts."""
+    if as_of:
+        C.AS_OF = as_of
+    star, store = _stored(spark, out), ScoreStore(spark, f"{out}/scores")
+    first = store.next_score_id()
+    run = max(store.runs(), default=0) + 1
+    place = f"{out}/features/run={run}"
+    dense_ids(feature_frame(star, keep_extra=True), feature_row_order(), "feature_row_id").write.mode("overwrite").parquet(place)
+    feats = spark.read.parquet(place)
     print(f"  {feats.count()} feature rows")
-    rm = M.fit(PR.model_frame(feats), num_trees=trees)
-    auc, report = M.evaluation(rm, PR.model_frame(feats))
+    rm = M.fit(feats, num_trees=trees, max_train_rows=max_train_rows)
+    rm.mapping.write.mode("overwrite").parquet(f"{out}/label_mapping/run={run}")
+    frame = PR.model_frame(feats, rm.mapping)
+    auc, report = M.evaluation(rm, frame)
     for r in auc.collect():
         print(f"  {r.target}: AUC {'N/A' if r.auc is None else round(r.auc, 4)} "
               f"(positives {r.n_pos}, negatives {r.n_neg})")
     report.orderBy("target", "label").show(truncate=False)
-    frame = PR.derived_features(PR.label_encode(feats))
-    scores = _w(M.risk_scores(rm, frame), f"{out}/risk_scores")
-    _w(alerts(scores, star.labs), f"{out}/alerts")
-    print(f"  wrote {scores.count()} risk scores; {json.loads(M.describe(rm))['trained']}")
+    now = F.lit(C.AS_OF.isoformat() + " 00:00:00").cast("timestamp_ntz")
+    scores = M.risk_scores(rm, frame, scored_at=now, first_id=first, keep_row=True)
+    store.add_run(M.with_top_features(scores, M.top_features(rm, frame)).drop("feature_row_id"))
+    mine = store.current().where(F.col("run") == run).drop("run")
+    with_defaults(alerts(mine, star.labs), "alerts", now).write.mode("overwrite").parquet(f"{out}/alerts/run={run}")
+    print(f"  run {run}: wrote {mine.count()} risk scores; {json.loads(M.describe(rm))['trained']}")
+    return run
 
 
 def run_explain(spark: SparkSession, out: str, responses: str | None = None) -> None:
-    """Stage 3: queue + prompts; merge returned explanations into a new
-    score-table version."""
-    star = _stored(spark, out)
-    scores = spark.read.parquet(f"{out}/risk_scores")
-    pending = EX.pending(scores, star.patients, star.admissions, star.vitals, star.diagnoses)
+    """Stage 3: queue + prompts of the rows without an explanation; returned
+    text is added to the score store."""
+    star, store = _stored(spark, out), ScoreStore(spark, f"{out}/scores")
+    if responses:
+        store.add_answers(spark.read.parquet(responses))
+        print("  answers added")
+        EX.explained_sample(store.current()).show(truncate=80)
+    pending = EX.pending(store.current(), star.patients, star.admissions, star.vitals, star.diagnoses)
     if pending.isEmpty():
         print("  no rows need an explanation")
         return
-    prompts = EX.prompts(pending)
-    target = scratch_path(spark, "prompts") if out is None else f"{out}/prompts-{_stamp()}"
-    prompts.write.parquet(target)
+    target = f"{out}/prompts"
+    EX.prompts(pending).write.mode("overwrite").parquet(target)
     for r in EX.merge_audit(spark.read.parquet(target)).collect():
         print(f"  prompts {r.status}: {r.n}")
     EX.next_batch(pending).show(truncate=False)
-    if responses:
-        answers = spark.read.parquet(responses)
-        merged_path = f"{out}/risk_scores-{_stamp()}"
-        EX.merge_explanations(scores, answers).write.parquet(merged_path)
-        EX.explained_sample(spark.read.parquet(merged_path)).show(truncate=80)
-        print(f"  merged scores written to {merged_path}")
-
-
-def _stamp() -> str:
-    import time
-    return time.strftime("%Y%m%d%H%M%S")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -109,17 +113,22 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out")
     ap.add_argument("--trees", type=int, default=C.FULL_NUM_TREES)
     ap.add_argument("--responses")
+    ap.add_argument("--as-of", type=dt.date.fromisoformat)
+    ap.add_argument("--max-train-rows", type=int)
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
-    out = a.out or scratch_path(spark, "pipeline")
+    out = a.out or f"{shared_dir(spark)}/clinrisk-pipeline"
     print(f"{a.stage}: {out}")
+    if a.as_of:
+        C.AS_OF = a.as_of
     if a.stage == "load":
         run_load(spark, a.sf_dir, out, a.csv)
     elif a.stage == "score":
-        run_score(spark, out, a.trees)
+        run_score(spark, out, a.trees, a.as_of, a.max_train_rows)
     else:
         run_explain(spark, out, a.responses)
+    remove_scratch(spark)
     spark.stop()
 
 

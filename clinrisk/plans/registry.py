@@ -110,13 +110,14 @@ def q_abnormal_lab_count(s: Star) -> DataFrame:
 from pyspark.sql import functions as F  # noqa: E402
 
 from clinrisk import config as C  # noqa: E402
+from clinrisk import fixtures as FX  # noqa: E402
 from clinrisk.operators import evaluate as EV  # noqa: E402
 from clinrisk.operators import explain as EX  # noqa: E402
 from clinrisk.operators import model as M  # noqa: E402
 from clinrisk.operators import prepare as PR  # noqa: E402
 from clinrisk.operators import quality as Q  # noqa: E402
 from clinrisk.operators import views as V  # noqa: E402
-from clinrisk.operators.scoring import RISKS, rule_probabilities  # noqa: E402
+from clinrisk.operators.scoring import RISKS, rule_probabilities, rule_scores  # noqa: E402
 from clinrisk.plans import load as L  # noqa: E402
 
 FEATURE_OUT = ["patient_id", "age", "gender", "blood_type", "admission_id", "department", "admission_type",
@@ -327,7 +328,7 @@ def q_explain_prompts(s: Star) -> DataFrame:
 
 def _merged(s: Star) -> DataFrame:
     prompt_rows = EX.prompts(_pending(s))
-    return EX.merge_explanations(_scores(s), EX.simulated_responses(prompt_rows))
+    return EX.merge_explanations(_scores(s), FX.simulated_responses(prompt_rows))
 
 
 @query("merge_explanations")
@@ -345,13 +346,60 @@ def q_explained_sample(s: Star) -> DataFrame:
     return EX.explained_sample(_merged(s))
 
 
-# --- A: CSV ingest and guarded append; streaming merge ------------------------------
+# --- The score store over several runs ---------------------------------------------
 from clinrisk.session import scratch_path  # noqa: E402
 from clinrisk.sources import csv_ingest as CSV  # noqa: E402
-from clinrisk.sources.sinks import append_guarded  # noqa: E402
+from clinrisk.sources.sinks import ScoreStore, append_guarded, with_defaults  # noqa: E402
 from clinrisk.streaming import explanations as STREAM  # noqa: E402
 
 
+def _store(s: Star) -> ScoreStore:
+    store = ScoreStore(s.spark, scratch_path(s.spark, "score-store"))
+    store.add_run(_scores(s))
+    return store
+
+
+@query("score_runs")
+def q_score_runs(s: Star) -> DataFrame:
+    """Two scoring runs, 30 days apart; ids go on, and the later run is the latest."""
+    store = _store(s)
+    later = F.lit(C.AS_OF.isoformat() + " 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(30))
+    store.add_run(rule_scores(_features(s), scored_at=later, first_id=store.next_score_id()))
+    rows = store.current()
+    newest = V.latest_risk(rows).select("score_id", F.lit(True).alias("is_latest"))
+    return (rows.join(newest, "score_id", "left")
+            .select("score_id", "patient_id", "admission_id", "scored_at", F.col("run").cast("bigint").alias("run"),
+                    F.coalesce("is_latest", F.lit(False)).alias("is_latest")))
+
+
+@query("explain_second_run")
+def q_explain_second(s: Star) -> DataFrame:
+    """After answers for the even scores, the next queue holds the rest only."""
+    store = _store(s)
+    store.add_answers(FX.simulated_responses(EX.prompts(_pending(s)).where("score_id % 2 = 0")))
+    rest = EX.pending(store.current(), s.patients, s.admissions, s.vitals, s.diagnoses)
+    return rest.select("score_id", "patient_id", "admission_id", "diagnosis_name")
+
+
+@query("merge_out_of_order")
+def q_merge_out_of_order(s: Star) -> DataFrame:
+    """Revisions (sequence 2) arrive before the first answers; the highest sequence stays."""
+    store = _store(s)
+    answers = FX.simulated_responses(EX.prompts(_pending(s)))
+    store.add_answers(answers.where("seq = 2"))
+    store.add_answers(answers.where("seq = 1"))
+    return store.current().drop("run")
+
+
+@query("merge_explanations_stream")
+def q_merge_stream(s: Star) -> DataFrame:
+    """I6 as a Structured Streaming job: answers arrive as files; each
+    micro-batch is a small answer batch of the score store."""
+    return STREAM.run_merge_stream(_scores(s), FX.simulated_responses(EX.prompts(_pending(s))))
+
+
+# --- A: CSV ingest, guarded appends, defaults ------------------------------------------
+
 @query("csv_ingest")
 def q_csv_ingest(s: Star) -> DataFrame:
     """Encounters exported as a raw CSV (padded headers) and ingested back."""
@@ -360,19 +408,68 @@ def q_csv_ingest(s: Star) -> DataFrame:
     return CSV.read_raw_csv(s.spark, path)
 
 
+@query("csv_ingest_raw")
+def q_csv_ingest_raw(s: Star) -> DataFrame:
+    """The original's header, without an id: ids are row positions over the files."""
+    path = scratch_path(s.spark, "encounters-csv")
+    CSV.write_raw_csv(s.encounters, path, with_id=False)
+    return CSV.read_raw_csv(s.spark, path)
+
+
 @query("append_guarded")
 def q_append_guarded(s: Star) -> DataFrame:
     """Load patients into a table, then re-run the same load: the guarded
     append skips every already-stored key, so the table is unchanged."""
     path = scratch_path(s.spark, "patients-table")
-    append_guarded(s.patients, path, "patient_id")
-    append_guarded(s.patients, path, "patient_id", on_conflict="skip")
+    append_guarded(s.patients, path, "patient_id", table="patients")
+    append_guarded(s.patients, path, "patient_id", on_conflict="skip", table="patients")
     return s.spark.read.parquet(path)
 
 
-@query("merge_explanations_stream")
-def q_merge_stream(s: Star) -> DataFrame:
-    """I6 as a Structured Streaming job: answers arrive as files, one
-    micro-batch per file, each batch writes a new score-table version."""
-    prompt_rows = EX.prompts(_pending(s))
-    return STREAM.run_merge_stream(_scores(s), EX.simulated_responses(prompt_rows))
+@query("append_guarded_all")
+def q_append_guarded_all(s: Star) -> DataFrame:
+    """A3: the seven tables that the original fills, each loaded twice: rows and distinct keys."""
+    parts = []
+    for name, df in {**s.tables(), "risk_scores": _scores(s)}.items():
+        key, path = Q.PRIMARY_KEYS[name], scratch_path(s.spark, f"table-{name}")
+        append_guarded(df.where(F.pmod(key, F.lit(3)) == 0), path, key, table=name)
+        append_guarded(df, path, key, on_conflict="skip", table=name)
+        stored = s.spark.read.parquet(path)
+        parts.append(stored.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("n_keys"))
+                     .select(F.lit(name).alias("table_name"), "row_count", "n_keys"))
+    return Q._union(parts)
+
+
+@query("defaults_applied")
+def q_defaults(s: Star) -> DataFrame:
+    """NULLs in default columns are filled at the write; other values stay."""
+    odd = F.col("vital_id") % 3 == 0
+    holes = s.vitals.select("vital_id", "patient_id", F.when(~odd, F.col("recorded_at")).alias("recorded_at"))
+    return with_defaults(holes, "vitals")
+
+
+# --- Tables with several children and with damage -----------------------------------------
+
+@query("feature_frame_fanout")
+def q_feature_frame_fanout(s: Star) -> DataFrame:
+    """0 to 7 diagnoses and medications per admission, several vitals readings, some equal."""
+    return FT.feature_frame(FX.FannedStar(s))
+
+
+def _damaged_tables(s: Star) -> dict[str, DataFrame]:
+    return FX.damaged(_checked_tables(s), Q.PRIMARY_KEYS)
+
+
+@query("dq_checks_dirty")
+def q_dq_checks_dirty(s: Star) -> DataFrame:
+    return Q.rule_violations(_damaged_tables(s))
+
+
+@query("dq_pk_dirty")
+def q_dq_pk_dirty(s: Star) -> DataFrame:
+    return Q.duplicate_keys(_damaged_tables(s))
+
+
+@query("dq_fk_dirty")
+def q_dq_fk_dirty(s: Star) -> DataFrame:
+    return Q.orphan_rows(_damaged_tables(s))

@@ -85,9 +85,40 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/clinrisk/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused location under the shared folder."""
-    return f"{shared_dir(spark)}/clinrisk/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused location under the shared folder, in this
+    application's own part of it (``remove_scratch``)."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if it does not exist."""
+    fs, place = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(place) if f.isDirectory()) if fs.exists(place) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written under ``scratch_path``; for the end of a job."""
+    remove_path(spark, _scratch_root(spark))
 
 
 def default_parallelism(spark: SparkSession) -> int:

@@ -2,67 +2,41 @@
 
 The original loops over at-risk rows, calls a hosted model per row and runs
 an UPDATE per answer.  Here the answers arrive as files in a folder; a
-streaming query picks them up in micro-batches and each batch produces a
-new version of the score table: version ``v`` = merge(version ``v-1``,
-batch).  Versions are folders ``version=<n>`` under one root, written with
-overwrite, so a batch replayed after a failure rewrites the same version
-from the same inputs (idempotent); the source offsets live in the query's
-checkpoint folder under the shared ``spark.checkpoint.dir``.
+streaming query picks them up in micro-batches, and each batch becomes one
+small answer batch of the score store, which merges on read.  The batch's
+number is the query's own epoch, so a batch replayed after a failure replaces
+itself; the query's checkpoint lies beside the store it belongs to, so a
+restarted stream goes on with the next epoch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from clinrisk.operators.explain import merge_explanations
 from clinrisk.session import scratch_path
+from clinrisk.sources.sinks import ANSWER_SCHEMA, ScoreStore
 
-RESPONSE_SCHEMA = "patient_id bigint, admission_id bigint, seq int, explanation string"
 
-
-def version_path(root: str, version: int) -> str:
-    return f"{root}/version={version}"
-
-
-def latest_before(spark: SparkSession, root: str, version: int) -> DataFrame:
-    versions = spark.read.parquet(root)
-    prior = versions.where(F.col("version") < version).agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == prior).drop("version")
-
-
-def start_merge_stream(spark: SparkSession, responses_dir: str, root: str, checkpoint: str | None = None,
-                       files_per_batch: int | None = None):
-    """Start the stream; version 0 must already exist under ``root``.
-    Runs every available file then stops (``availableNow``)."""
-    reader = spark.readStream.schema(RESPONSE_SCHEMA)
+def start_merge_stream(store: ScoreStore, responses_dir: str, files_per_batch: int | None = None):
+    """Take every available file as answers, then stop (``availableNow``)."""
+    reader = store.spark.readStream.schema(ANSWER_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    answers = reader.parquet(responses_dir)
-
-    def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        version = epoch_id + 1
-        current = latest_before(batch.sparkSession, root, version)
-        merged = merge_explanations(current, batch)
-        merged.write.mode("overwrite").parquet(version_path(root, version))
 
-    return (answers.writeStream.foreachBatch(merge_batch)
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "explain-stream-ckpt"))
+    def add(batch: DataFrame, epoch: int) -> None:
+        store.add_answers(batch, "stream", epoch)
+    return (reader.parquet(responses_dir).writeStream.foreachBatch(add)
+            .option("checkpointLocation", f"{store.root}/stream-checkpoint")
             .trigger(availableNow=True).start())
 
 
 def run_merge_stream(scores: DataFrame, responses: DataFrame) -> DataFrame:
-    """Drive the stream over ``responses`` written as one file per sequence
-    number (earlier answers first) and return the last version."""
+    """Drive the stream over ``responses`` written as files, and return the
+    merged score table."""
     spark = scores.sparkSession
-    root = scratch_path(spark, "scores-versions")
+    store = ScoreStore(spark, scratch_path(spark, "score-store"))
+    store.add_run(scores)
     inbox = scratch_path(spark, "explain-inbox")
-    scores.write.parquet(version_path(root, 0))
-    seqs = sorted(r[0] for r in responses.select("seq").distinct().collect())
-    for s in seqs:
-        responses.where(F.col("seq") == s).coalesce(1).write.parquet(f"{inbox}/seq-{s:04d}")
-    stream_in = f"{inbox}/*"
-    q = start_merge_stream(spark, stream_in, root, files_per_batch=1)
-    q.awaitTermination()
-    last = spark.read.parquet(root).agg(F.max("version")).first()[0]
-    return spark.read.parquet(root).where(F.col("version") == last).drop("version")
+    responses.write.parquet(inbox)
+    start_merge_stream(store, inbox, files_per_batch=4).awaitTermination()
+    return store.current().select(*scores.columns)

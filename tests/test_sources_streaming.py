@@ -16,6 +16,36 @@ def _raw(spark, path, rows):
         .write.option("header", True).csv(path)
 
 
+HEADER = ",".join(f" {h} " for h, _, _ in CSV.RAW_COLUMNS)
+LINE = 'ann lee,40,Female,A+,Asthma,2001-01-02 00:00:00,{d},X,10.5,101,Urgent,2001-01-05 00:00:00,Aspirin,Normal'
+
+
+def _files(tmp_path, *files):
+    for i, lines in enumerate(files):
+        (tmp_path / f"part-{i:03}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    return str(tmp_path)
+
+
+def test_ids_are_row_positions_over_files(spark, tmp_path):
+    path = _files(tmp_path, [LINE.format(d=f"a{i}") for i in range(500)], [LINE.format(d=f"b{i}") for i in range(3)])
+    got = [(r.enc_id, r.doctor) for r in CSV.read_raw_csv(spark, path).orderBy("enc_id").collect()]
+    assert got == [(i + 1, f"a{i}") for i in range(500)] + [(501 + i, f"b{i}") for i in range(3)]
+
+
+def test_quotes_and_ragged_rows(spark, tmp_path):
+    path = _files(tmp_path, [LINE.format(d='"O""Neil, Pat"'), LINE.format(d="x").rsplit(",", 3)[0], LINE.format(d="y") + ",more,fields"])
+    rows, rejects = CSV.read_raw_csv(spark, path, tolerant=True)
+    assert [(r.enc_id, r.doctor, r.test_results) for r in rows.collect()] == [(1, 'O"Neil, Pat', "Normal")]
+    assert sorted((r.enc_id, r.bad_fields) for r in rejects.collect()) == [(2, ["(row)"]), (3, ["(row)"])]
+    with pytest.raises(Exception):
+        CSV.read_raw_csv(spark, path).collect()
+
+
+def test_line_breaks_in_quotes_when_asked(spark, tmp_path):
+    path = _files(tmp_path, [LINE.format(d='"two\nlines"'), LINE.format(d="z")])
+    assert [r.doctor for r in CSV.read_raw_csv(spark, path, multi_line=True).orderBy("enc_id").collect()] == ["two\nlines", "z"]
+
+
 def _row(i, age="40", admitted="2001-01-02T00:00:00", billing="10.5"):
     return (str(i), "ann lee", age, "Female", "A+", "Asthma", admitted, "Dr 1", "X", billing, "101",
             "Urgent", "2001-01-05T00:00:00", "Aspirin", "Normal")
