@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 21           # text hashed at once
+BLOCK_BYTES = 1 << 19           # text hashed at once
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 

@@ -56,11 +56,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_BATCH_BYTES, _DEFAULT_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+ARROW_BYTES = 8 << 20           # text in a worker at once, unless the session asks for something else
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, for those that
-    do not have it on their path.  Spark serves the file from the driver."""
+    do not have it on their path (Spark serves the file from the driver), and
+    keep Arrow batches small: rows may hold very long texts."""
+    if spark.conf.get(_BATCH_BYTES, _DEFAULT_BATCH_BYTES) == _DEFAULT_BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES, f"{ARROW_BYTES}b")
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -49,8 +49,8 @@ from clinrisk.llm.common import map_arrow, ship, stored, table
 
 SIZE = 4                        # words of a shingle, a power of two
 PERCENT = 85
-CHUNK_GRAMS = 1 << 21           # n-grams of one packed chunk
-FRAGMENT_GRAMS = 1 << 22        # n-grams that one fragment's task holds
+CHUNK_GRAMS = 1 << 20           # n-grams of one packed chunk
+FRAGMENT_GRAMS = 1 << 20        # n-grams that one fragment's task holds
 VERIFY_FRAGMENTS = 8
 PROFILE = 16                    # fragments of the bound in step 5
 SHORT_LIST, BLOCK = 32, 1024
