@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinrisk import config as C
 from clinrisk.sources.tables import read_table
 
 BLOOD_TYPES = ["A+", "A-", "B+", "B-", "AB+", "AB-", "O+", "O-"]
-CONDITIONS = ["Cancer", "Diabetes", "Hypertension", "Obesity", "Arthritis", "Asthma", "Migraine"]
-MEDICATIONS = ["Lipitor", "Ibuprofen", "Aspirin", "Paracetamol", "Penicillin", "Metformin"]
+#: The mapped values in their fixed order, and one that no lookup knows.
+CONDITIONS = [*C.DEPARTMENTS, "Migraine"]
+MEDICATIONS = [*C.DOSAGE, "Metformin"]
 
 #: Raw encounter schema: CSV header name -> (column, type).
 RAW_COLUMNS = [
