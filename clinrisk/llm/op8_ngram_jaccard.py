@@ -45,12 +45,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinrisk.llm.bytewords import mix, windows, word_hashes
-from clinrisk.llm.common import map_arrow, ship, stored, table
+from clinrisk.llm.common import bit, map_arrow, ship, stored, table
 
 SIZE = 4                        # words of a shingle, a power of two
 PERCENT = 85
 CHUNK_GRAMS = 1 << 20           # n-grams of one packed chunk
-FRAGMENT_GRAMS = 1 << 20        # n-grams that one fragment's task holds
+FRAGMENT_GRAMS = 1 << 21        # n-grams that one fragment's task holds
+MARK_BITS = 24                  # log2 of the bits of the map of class ids
 VERIFY_FRAGMENTS = 8
 PROFILE = 16                    # fragments of the bound in step 5
 SHORT_LIST, BLOCK = 32, 1024
@@ -219,22 +220,42 @@ def candidate_classes(docs: DataFrame, total_grams: int, id_col: str = "doc_id",
     return counts.groupBy("chunk").applyInArrow(_sum_chunk, "s1 bigint, s2 bigint").distinct()
 
 
-def class_grams(docs: DataFrame, reps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rep, n, grams) of the classes in ``reps`` (rep, s1, s2), from the texts."""
-    rows = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(reps, "rep")
-    rows = rows.select("rep", "s1", "s2", "text")
-    schema = f"rep {rows.schema['rep'].dataType.simpleString()}, n bigint, grams array<bigint>"
+def _marks(alive: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit map of the classes' ids by hash, and its length: 16 bits an id, at
+    most MARK_BITS (2 MB) for any number of ids."""
+    bits = 1 << min(MARK_BITS, max(13, (16 * alive.count()).bit_length()))
+    spot = F.pmod(F.xxhash64("rep"), F.lit(bits))
+    words = alive.select(spot.alias("spot")).groupBy(F.floor(F.col("spot") / 64).alias("word")).agg(F.bit_or(bit(F.col("spot") % 64)).alias("set"))
+    found = words.toArrow()
+    marks = np.zeros(bits // 64, np.int64)
+    marks[found.column("word").to_numpy()] = found.column("set").to_numpy()
+    return marks.view(_U), bits
+
+
+def class_grams(docs: DataFrame, alive: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(rep, n, grams) of the classes in ``alive`` (rep, s1, s2), from the
+    texts.  A bit map of bounded size drops most other documents in the scan;
+    the join on the id and the signature decides.  Texts are never shuffled."""
+    marks, bits = _marks(alive)
+    held = docs.sparkSession.sparkContext.broadcast(marks)
+    spot = F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(bits))
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("rep"), spot.alias("spot"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = held.value
         for batch in batches:
-            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
-            sets = [(i, g) for i, (g, key) in enumerate(zip(_sets(_texts(batch.column(3))), keys)) if len(g) and _signature(g) == key]
+            spots = batch.column(1).to_numpy()
+            some = np.flatnonzero((marks[spots >> 6] >> (spots & 63).astype(_U)) & _U(1))
+            part = batch.take(pa.array(some))
+            sets = [(i, g) for i, g in enumerate(_sets(_texts(part.column(2)))) if len(g)]
             grams = [g.view(np.int64) for _, g in sets]
             ends = np.cumsum([0, *(len(g) for g in grams)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*grams, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i for i, _ in sets], pa.int64())),
-                                              pa.array([len(g) for g in grams], pa.int64()), lists], names=["rep", "n", "grams"])
-    return map_arrow(rows, run, schema)
+            sigs = np.array([_signature(g) for _, g in sets], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array([i for i, _ in sets], pa.int64())), pa.array(sigs[:, 0]), pa.array(sigs[:, 1]),
+                                              pa.array([len(g) for g in grams], pa.int64()), lists], names=["rep", "s1", "s2", "n", "grams"])
+    made = map_arrow(rows, run, "rep bigint, s1 bigint, s2 bigint, n bigint, grams array<bigint>")
+    return made.join(alive, ["rep", "s1", "s2"], "left_semi").select("rep", "n", "grams")
 
 
 # --- Links --------------------------------------------------------------------
@@ -394,3 +415,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+ORACLE = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= {SIZE} THEN [array_to_string(ws[i:i + {SIZE - 1}], ' ') FOR i IN range(1, len(ws) - {SIZE - 2})]
+                                        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS grams FROM d),
+g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+          GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= {PERCENT} * (x.n + y.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, len(grams)::BIGINT AS n_shingles, (SELECT min(b) FROM reach WHERE a = doc_id) AS component_id FROM s
+"""
