@@ -6,7 +6,7 @@ import pytest
 import re
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from small import SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]

@@ -13,7 +13,7 @@ from clinrisk.plans import pipeline as P
 from clinrisk.session import path_exists, remove_scratch, scratch_path, shared_dir
 from clinrisk.sources.sinks import KeyCollision, ScoreStore, append_guarded, with_defaults
 from clinrisk.streaming.explanations import start_merge_stream
-from conftest import SMALL
+from small import SMALL
 
 
 def _pending(spark, out):

@@ -10,7 +10,7 @@ from clinrisk.fixtures import FannedStar
 from clinrisk.operators import features as FT
 from clinrisk.operators import quality as Q
 from clinrisk.plans.load import stored_star
-from conftest import SMALL
+from small import SMALL
 
 
 @pytest.mark.parametrize("key,column", [("dq_checks_dirty", "violations"), ("dq_pk_dirty", "duplicate_rows"), ("dq_fk_dirty", "orphan_rows")])
