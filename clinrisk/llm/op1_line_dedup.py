@@ -62,6 +62,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     runs = ranged.groupBy("h1", "h2", "id").agg(F.first("pos").alias("first_pos"))
     keys = (runs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keeper"))
             .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"))
+    # Both sides of the join are stored tables: a hash that a third of all lines share is split as a skewed join.
+    keys = stored(keys, "repeated-lines")
     dropped = occ.join(keys, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
     words = (dropped.groupBy("id", "th", F.floor(F.col("pos") / 64).cast("int").alias("word"))
              .agg(F.bit_or(bit(F.col("pos") % 64)).alias("gone")))
