@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import as_strided
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinrisk.llm.common import map_arrow
 
 BLOCK = 2048            # chunks that a network sees at once
+BROADCAST_VALUES = 10_000   # rows of a table of class sizes
 
 
 def chunk_view(data: bytes, length: int, stride: int) -> np.ndarray:
@@ -85,10 +86,14 @@ def training_chunks(docs: DataFrame, chosen: DataFrame, target: str, length: int
 
 def smallest_by_hash(rows: DataFrame, id_col: str, by: str, most: int) -> DataFrame:
     """At most ``most`` rows of each value of ``by``, those with the smallest
-    id hash (WindowGroupLimit keeps that many per map task)."""
-    order: Column = F.xxhash64(id_col)
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(order, id_col))
-    return rows.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
+    id hash.  Rows far beyond that are dropped before the shuffle: their hash
+    is past the part of the range that holds four times as many."""
+    u = F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    sizes = rows.groupBy(F.col(by).alias("value")).agg(F.count(F.lit(1)).alias("size"))
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_VALUES else sizes
+    near = rows.withColumn("u", u).join(sizes, F.col(by) == F.col("value")).where(F.col("u") * F.col("size") < 4 * most)
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("u", id_col))
+    return near.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank", "u", "value", "size")
 
 
 class Adam:
