@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from clinrisk.session import build_session
     ckpt = tempfile.mkdtemp(prefix="clinrisk-test-ckpt-")
-    s = build_session("local[4]", app="clinrisk-tests", shuffle_partitions=8,
+    s = build_session("local[4]", app="clinrisk-tests", shuffle_partitions=4,
                       extra={"spark.checkpoint.dir": ckpt})
     yield s
     s.stop()
