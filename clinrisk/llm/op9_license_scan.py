@@ -77,15 +77,18 @@ def template_grams(spark: SparkSession, base: dict[str, str] = BASE_PHRASES,
         rows += [(i, label, i < len(base), n, t, *w[t:t + K]) for t in range(n)]
     if len(rows) > MAX_BROADCAST_GRAMS:
         raise ValueError("more template grams than may be broadcast")
-    frame = spark.createDataFrame(rows, "template int, label string, is_base boolean, n_grams int, t int, "
-                                        "w0 string, w1 string, w2 string")
+    names = ("template", "label", "is_base", "n_grams", "t", "w0", "w1", "w2")
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    frame = spark.range(1).select(F.inline(F.array(*structs)))
     return frame.withColumn("gram", F.xxhash64("w0", "w1", "w2"))
 
 
 def gram_hits(docs: DataFrame, grams: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, template, label, is_base, n_grams, diagonal, t) of every gram of a text that is a template's."""
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), words(F.col(text_col)).alias("ws"))
-    at = texts.where(F.size("ws") >= K).select("id", "th", "ws", F.explode(F.sequence(F.lit(0), F.size("ws") - K)).alias("p"))
+    # No filter on the word count: it would be pushed below and split every text a second time.
+    places = F.when(F.size("ws") >= K, F.sequence(F.lit(0), F.size("ws") - K))
+    at = texts.select("id", "th", "ws", F.explode(places).alias("p"))
     w = [F.get("ws", F.col("p") + i) for i in range(K)]
     rolled = at.select("id", "th", "p", *[w[i].alias(f"v{i}") for i in range(K)]).withColumn("gram", F.xxhash64("v0", "v1", "v2"))
     same = (F.col("v0") == F.col("w0")) & (F.col("v1") == F.col("w1")) & (F.col("v2") == F.col("w2"))
