@@ -71,7 +71,7 @@ def stratified_split(frame: DataFrame, row_id: str = "feature_row_id") -> DataFr
     long = frame.select(F.col(row_id), u.alias("u"), F.explode(F.array(*[
         F.struct(F.lit(n).alias("target"), F.col(lbl).cast("bigint").alias("label")) for n, lbl in C.TARGETS.items()])).alias("x"))
     long = long.select(row_id, "u", "x.target", "x.label").where("label IS NOT NULL")
-    ranked = prefix_sums(long, ["target", "label"], ["u", row_id], {"before": F.lit(1).cast("bigint")})
+    ranked = prefix_sums(long, ["target", "label"], ["u", row_id], {"before": F.lit(1).cast("bigint")}, once=False)
     sizes = ranked.groupBy("target", "label").agg(F.floor(F.count(F.lit(1)) * TEST_FRACTION + 0.5).alias("n_test"))
     return (ranked.join(F.broadcast(sizes), ["target", "label"])        # two classes of three targets
             .select(row_id, "target", "label", (F.col("before") < F.col("n_test")).alias("is_test")))

@@ -81,7 +81,7 @@ def name_lookup(patients: DataFrame) -> DataFrame:
 def admissions_base(enc: DataFrame, patients: DataFrame) -> DataFrame:
     """Encounters with admission ids (row order) and the looked-up patient id.
     Every per-admission fact table is a projection of this frame."""
-    numbered = dense_ids(enc, ["enc_id"], "admission_id")
+    numbered = dense_ids(enc, ["enc_id"], "admission_id", once=False)
     keyed = numbered.withColumn("full_name", title_case(F.col("name")))
     return keyed.join(name_lookup(patients), "full_name", "left")
 
@@ -196,16 +196,17 @@ def labs_fact(base: DataFrame) -> DataFrame:
     expanded = (base.select("enc_id", "admission_id", "patient_id", "admission_date",
                             "medical_condition", abnormal.alias("abn"), F.explode(lab_templates()).alias("t"))
                 .where(t["only_for"].isNull() | (F.col("medical_condition") == t["only_for"])))
+    # Numbered before the draws: the rows are still a cheap projection of the base.
+    expanded = dense_ids(expanded.withColumn("ord", t["ord"]), ["admission_id", "ord"], "lab_id", once=False)
     lo = F.when(F.col("abn"), t["reference_max"]).otherwise(t["reference_min"])
     hi = F.when(F.col("abn"), t["reference_max"] * C.ABNORMAL_LAB_FACTOR).otherwise(t["reference_max"])
     u = uniform("lab:", F.concat(F.col("enc_id").cast("string"), F.lit(":"), t["test_name"]), 0)
-    drawn = expanded.select(
-        "admission_id", "patient_id", t["ord"].alias("ord"), t["test_name"].alias("test_name"),
+    numbered = expanded.select(
+        "lab_id", "admission_id", "patient_id", t["test_name"].alias("test_name"),
         F.round(lo + (hi - lo) * u, 2).alias("test_value"),
         t["unit"].alias("unit"), t["reference_min"].alias("reference_min"),
         t["reference_max"].alias("reference_max"),
         F.col("admission_date").alias("collected_at"))
-    numbered = dense_ids(drawn, ["admission_id", "ord"], "lab_id")
     return numbered.select(
         "lab_id", "patient_id", "admission_id", "test_name", "test_value", "unit",
         "reference_min", "reference_max",

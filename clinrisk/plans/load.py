@@ -49,7 +49,8 @@ def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
     encounter frame, e.g. an ingested CSV); return it read back."""
     root = root or scratch_path(spark, "star-" + hashlib.sha1(sf_dir.encode()).hexdigest()[:10])
     lazy = S.Star(spark, sf_dir, enc=enc)
-    enc = lazy.encounters
+    # Read three times below (names, and the ranges and rows of the admission ids).
+    enc = _write(lazy.encounters, f"{root}/encounters")
     patients = _write(S.patients_dim(enc), f"{root}/patients")
     base = _write(S.admissions_base(enc, patients), f"{root}/base")
     tables = {"patients": patients, "base": base}
