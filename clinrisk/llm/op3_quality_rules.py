@@ -4,9 +4,11 @@ The base statistics come from the text alone.  The method then looks across
 documents: every line is normalised (stripped, A-Z lower-cased, runs of white
 space made one blank, digits made 0) and hashed; per host (``source``) the
 distinct documents that hold a hash are counted, copies of one text counting
-once; a line that is in more than ``max(MIN_DOCS, MAX_SHARE x documents of the
-host)`` documents is removed; and a document that has less than ``MIN_LEFT`` of
-its words left is depleted and rejected.
+once; a line that is in more than ``min_docs`` documents of a host is removed,
+however large the host; and a document that has less than ``min_left`` of its
+words left is depleted and rejected.  ``max_share`` lets the limit rise with
+the host, to ``max(min_docs, max_share x documents of the host)``.  It is 0
+unless given; the query gives ``MAX_SHARE``, the rule that its SQL states.
 
 The texts are read once: a task turns them into statistics and line hashes (a
 few per cent of the text), which are stored; counting shuffles (host, hash,
@@ -33,7 +35,7 @@ from clinrisk.llm.bytewords import SPACE, windows, word_hashes
 from clinrisk.llm.common import map_arrow, stored, table
 
 MIN_DOCS = 10
-MAX_SHARE = 0.05
+MAX_SHARE = 0.05                # of the query's rule only
 MIN_LEFT = 0.3
 MIN_WORDS = 20
 WINDOW = 8
@@ -112,20 +114,22 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return map_arrow(rows, run, schema)
 
 
-def frequent_lines(stats: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+def frequent_lines(stats: DataFrame, min_docs: int = MIN_DOCS, max_share: float = 0.0) -> DataFrame:
     """(host, line) above the host's limit."""
     held = stats.select("host", "content", F.explode("lines").alias("line")).distinct()
     n_docs = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs)
+    if not max_share:
+        return n_docs.select(F.col("host").alias("h"), F.col("line").alias("l"))
     hosts = (stats.select("host", "content").distinct().groupBy(F.col("host").alias("h"))
              .agg(F.greatest(F.lit(float(min_docs)), F.lit(max_share) * F.count(F.lit(1))).alias("limit")))
     return (n_docs.join(hosts, F.col("host").eqNullSafe(F.col("h"))).where(F.col("n_docs") > F.col("limit"))
             .select(F.col("host").alias("h"), F.col("line").alias("l")))
 
 
-def judge(docs: DataFrame, min_left: float = MIN_LEFT, **columns) -> DataFrame:
+def judge(docs: DataFrame, min_left: float = MIN_LEFT, min_docs: int = MIN_DOCS, max_share: float = 0.0, **columns) -> DataFrame:
     """Per row: id, the statistics, ``n_removed`` words on removed lines, base_failed, kept."""
     stats = stored(text_statistics(docs, **columns), "line-statistics")
-    frequent = stored(frequent_lines(stats), "frequent-lines")
+    frequent = stored(frequent_lines(stats, min_docs, max_share), "frequent-lines")
     lines = stats.select("uid", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("x"))
     lines = lines.select("uid", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
     removed = (lines.join(frequent, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
@@ -137,7 +141,7 @@ def judge(docs: DataFrame, min_left: float = MIN_LEFT, **columns) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = judge(table(spark, sf_dir, "documents"))
+    out = judge(table(spark, sf_dir, "documents"), max_share=MAX_SHARE)
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
 

@@ -140,6 +140,15 @@ def test_copies_of_a_clean_text_are_no_boilerplate(docs):
     assert all(r.kept for r in rules.judge(df).collect())
 
 
+@pytest.mark.parametrize("size", [100, 500])
+def test_the_limit_does_not_rise_with_the_host(docs, size):
+    line = " ".join(name(20, j) for j in range(40))
+    df = docs(*[f"{line}\ntail w{i}" for i in range(11)], *[" ".join(name(i, j) for j in range(25)) for i in range(100, 100 + size)])
+    out = {r.id: r for r in rules.judge(df).collect()}
+    assert [out[i].n_removed for i in range(11)] == [40] * 11 and not any(out[i].kept for i in range(11))
+    assert all(out[i].kept for i in range(11, 11 + size))
+
+
 def test_rules_on_edge_rows(edge, empty):
     got = rules.judge(edge).collect()
     assert len(got) == edge.count()
