@@ -10,10 +10,12 @@ words left is depleted and rejected.  ``max_share`` lets the limit rise with
 the host, to ``max(min_docs, max_share x documents of the host)``.  It is 0
 unless given; the query gives ``MAX_SHARE``, the rule that its SQL states.
 
-The texts are read once: a task turns them into statistics and line hashes (a
-few per cent of the text), which are stored; counting shuffles (host, hash,
-text hash) without repeats, so one line on every page of a host that holds a
-third of the corpus is counted in parts first.
+A task turns the texts into statistics and line hashes (a few per cent of the
+text), which are stored; counting shuffles (host, hash, text hash) without
+repeats, so one line on every page of a host that holds a third of the corpus
+is counted in parts first.  One join by document then brings each text its
+frequent lines, and they are cut (``cut_lines``); ``n_removed`` and ``kept``
+are read off the cut text.  ``drop_frequent_lines`` and ``clean`` return texts.
 
 Defined cases: a null or empty text has no words and fails the base; a null
 host is a host; repeated rows are judged alike and count as one text; an empty
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinrisk.llm.bytewords import SPACE, windows, word_hashes
-from clinrisk.llm.common import map_arrow, stored, table
+from clinrisk.llm.common import map_arrow, n_words, ship, stored, table
 
 MIN_DOCS = 10
 MAX_SHARE = 0.05                # of the query's rule only
@@ -67,9 +69,18 @@ def repeated_words(counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.bincount(owner[np.cumsum(cover[:-1]) > 0], minlength=len(counts))
 
 
-def line_statistics(text: bytes) -> tuple[int, list[int], list[int]]:
+def line_hash(words: list[bytes]) -> int:
+    return xxhash.xxh3_64_intdigest(b" ".join(words).translate(_NORMAL)) - _SIGNED
+
+
+def without_lines(text: bytes, gone: set[int]) -> bytes:
+    """The text without the lines whose hash is in ``gone``."""
+    return b"\n".join(line for line in text.split(b"\n") if not (words := line.split()) or line_hash(words) not in gone)
+
+
+def line_statistics(text: bytes) -> tuple[int, list[int]]:
     """Lines with a word equal to an earlier line; the distinct normalised
-    lines' hashes, and the words on each."""
+    lines' hashes."""
     seen, repeats, found = set(), 0, {}
     for line in text.split(b"\n"):
         words = line.split()
@@ -78,17 +89,16 @@ def line_statistics(text: bytes) -> tuple[int, list[int], list[int]]:
         if line in seen:
             repeats += 1
         seen.add(line)
-        h = xxhash.xxh3_64_intdigest(b" ".join(words).translate(_NORMAL)) - _SIGNED
-        found[h] = found.get(h, 0) + len(words)
-    return repeats, list(found), list(found.values())
+        found.setdefault(line_hash(words))
+    return repeats, list(found)
 
 
 def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Per row: uid, id, host, the base statistics, the text's hash, and its distinct lines."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
+    """Per row: uid, id, host, th, the base statistics, the text's hash, and its distinct lines."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
     schema = (f"uid bigint, id {rows.schema['id'].dataType.simpleString()}, host {rows.schema['host'].dataType.simpleString()}, "
-              "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-              "content bigint, lines array<bigint>, line_words array<bigint>")
+              "th bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
+              "content bigint, lines array<bigint>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 33
@@ -101,14 +111,14 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             raw = [np.frombuffer(t, np.uint8) for t in texts]
             lines = [line_statistics(t) for t in texts]
             yield pa.RecordBatch.from_arrays([
-                pa.array(range(uid, uid + len(texts)), pa.int64()), batch.column(0), batch.column(1),
+                pa.array(range(uid, uid + len(texts)), pa.int64()), batch.column(0), batch.column(1), batch.column(3),
                 pa.array(np.concatenate([*n_words, np.zeros(0, np.int64)])),
                 pa.array([int(_IN_WORD[b].sum(dtype=np.int64)) for b in raw], pa.int64()),
                 pa.array([int(_SYMBOL[b].sum(dtype=np.int64)) for b in raw], pa.int64()),
                 pa.array([x[0] for x in lines], pa.int64()),
                 pa.array(np.concatenate([*repeats, np.zeros(0, np.int64)])),
                 pa.array([xxhash.xxh3_64_intdigest(t) - _SIGNED for t in texts], pa.int64()),
-                pa.array([x[1] for x in lines], pa.list_(pa.int64())), pa.array([x[2] for x in lines], pa.list_(pa.int64())),
+                pa.array([x[1] for x in lines], pa.list_(pa.int64())),
             ], names=[c.split()[0] for c in schema.split(", ")])
             uid += len(texts)
     return map_arrow(rows, run, schema)
@@ -126,20 +136,63 @@ def frequent_lines(stats: DataFrame, min_docs: int = MIN_DOCS, max_share: float
             .select(F.col("host").alias("h"), F.col("line").alias("l")))
 
 
-def judge(docs: DataFrame, min_left: float = MIN_LEFT, min_docs: int = MIN_DOCS, max_share: float = 0.0, **columns) -> DataFrame:
-    """Per row: id, the statistics, ``n_removed`` words on removed lines, base_failed, kept."""
-    stats = stored(text_statistics(docs, **columns), "line-statistics")
+_STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def cut_lines(docs: DataFrame, min_left: float = MIN_LEFT, min_docs: int = MIN_DOCS, max_share: float = 0.0,
+              id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """Per row: the row as a struct, the statistics, ``cut_text`` (null where no
+    line goes), ``n_removed`` words that went, base_failed, kept."""
+    ship(docs.sparkSession)
+    stats = stored(text_statistics(docs, id_col, text_col, host_col), "line-statistics")
     frequent = stored(frequent_lines(stats, min_docs, max_share), "frequent-lines")
-    lines = stats.select("uid", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("x"))
-    lines = lines.select("uid", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
-    removed = (lines.join(frequent, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
-               .groupBy("uid").agg(F.sum("words").alias("n_removed")))
-    out = stats.drop("lines", "line_words").join(removed, "uid", "left").na.fill(0, ["n_removed"])
+    # Rows of one (id, host, text) are alike: one stands for all.  Its uid must be the same in both reads.
+    least = stats.groupBy("id", "host", "th").agg(F.min("uid").alias("uid")).select("uid")
+    one = stats.join(stored(least, "line-rows"), "uid", "left_semi")
+    lines = one.select("uid", "host", F.explode("lines").alias("line"))
+    gone = (lines.join(frequent, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
+            .groupBy("uid").agg(F.collect_list("line").alias("gone")))
+    found = one.select("uid", "id", "host", "th", *_STATISTICS).join(gone, "uid", "left").drop("uid")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("rid"), F.col(host_col).alias("rhost"), F.xxhash64(text_col).alias("rth"))
+    out = rows.join(found.hint("shuffle_hash"), F.col("rid").eqNullSafe(F.col("id")) & F.col("rhost").eqNullSafe(F.col("host"))
+                    & (F.col("rth") == F.col("th")))
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else without_lines(t.encode(), set(g)).decode()
+                         for t, g in zip(texts.to_pylist(), gone.to_pylist())], pa.string())
+    # Only texts that lose a line go to a worker.
+    text = F.when(F.col("gone").isNotNull(), F.col("row")[text_col])
+    out = out.withColumn("cut_text", cut(text, F.col("gone")))
+    removed = F.when(F.col("cut_text").isNull(), 0).otherwise(F.col("n_words") - n_words(F.col("cut_text"))).cast("bigint")
+    out = out.select("row", "id", "host", *_STATISTICS, "cut_text", removed.alias("n_removed"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     depleted = F.col("n_words") - F.col("n_removed") < min_left * F.col("n_words")
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
+def judge(docs: DataFrame, **params) -> DataFrame:
+    """Per row: id, host, the statistics, n_removed, base_failed, kept."""
+    return cut_lines(docs, **params).drop("row", "cut_text")
+
+
+def _texts(cut: DataFrame, columns: list[str], text_col: str) -> DataFrame:
+    changed = F.col("cut_text").isNotNull()
+    fresh = {text_col: F.col("cut_text"), "n_chars": F.char_length("cut_text").cast("bigint")}
+    return cut.select(*[(F.when(changed, fresh[c]).otherwise(F.col("row")[c]) if c in fresh else F.col("row")[c]).alias(c) for c in columns])
+
+
+def drop_frequent_lines(docs: DataFrame, text_col: str = "text", **params) -> DataFrame:
+    """All documents with the frequent lines cut from the text and ``n_chars``
+    renewed, in the input's columns."""
+    return _texts(cut_lines(docs, text_col=text_col, **params), docs.columns, text_col)
+
+
+def clean(docs: DataFrame, text_col: str = "text", **params) -> DataFrame:
+    """The kept documents, with the frequent lines cut, in the input's columns."""
+    return _texts(cut_lines(docs, text_col=text_col, **params).where("kept"), docs.columns, text_col)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(table(spark, sf_dir, "documents"), max_share=MAX_SHARE)
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

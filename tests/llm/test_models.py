@@ -149,6 +149,25 @@ def test_the_limit_does_not_rise_with_the_host(docs, size):
     assert all(out[i].kept for i in range(11, 11 + size))
 
 
+def test_frequent_lines_are_cut_from_the_texts(docs, edge, empty):
+    line = " ".join(name(20, j) for j in range(10))
+    own = [" ".join(name(i, j) for j in range(25)) for i in range(100, 112)]
+    df = docs(*[f"{line.upper()} \n{x}\n\n{line}" for x in own], f"{line}\nend", own[0], None)
+    df = df.union(df.where("doc_id IN (0, 13)"))
+    cut = rules.drop_frequent_lines(df)
+    assert cut.columns == df.columns
+    rows = cut.collect()
+    assert sorted(r.doc_id for r in rows) == sorted([*range(15), 0, 13])
+    want = {**{i: x + "\n" for i, x in enumerate(own)}, 12: "end", 13: own[0], 14: None}
+    assert all(r.text == want[r.doc_id] and r.n_chars == (None if r.text is None else len(r.text)) for r in rows)
+    judged = {r.id: r for r in rules.judge(df).collect()}
+    assert [judged[i].n_removed for i in (0, 12, 13, 14)] == [20, 10, 0, 0]
+    kept = rules.clean(df).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted((r.doc_id, r.text) for r in rows if judged[r.doc_id].kept)
+    assert sorted(map(str, rules.drop_frequent_lines(edge).collect())) == sorted(map(str, edge.collect()))
+    assert rules.drop_frequent_lines(empty).count() == 0
+
+
 def test_rules_on_edge_rows(edge, empty):
     got = rules.judge(edge).collect()
     assert len(got) == edge.count()
