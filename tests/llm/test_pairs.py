@@ -139,6 +139,27 @@ def test_vectors_that_take_no_part_ties_and_blocks(spark, monkeypatch):
     assert [(r.query_id, r.vec_id) for r in few] == [(50, 51)]
 
 
+@pytest.mark.parametrize("times", [2, 6])
+def test_repeated_rows_take_no_places(spark, times):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in rng.normal(size=8)]) for i in range(60)]
+    asked = F.col("id") % 10 == 0
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+
+    def neighbours(rows):
+        got = {}
+        for r in ann.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), asked, k=20).collect():
+            got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+        return {q: [held[i] for i in sorted(held)] for q, held in got.items()}
+    got = neighbours(rows * times)
+    assert got == neighbours(rows)
+    # Ids with several vectors, nearly but not quite equal, take one place too.
+    near = neighbours([(i, [c + 1e-7 * j for c in v]) for j in range(times) for i, v in rows])
+    for held in (got, near):
+        assert all(len(set(h)) == len(h) == 20 for h in held.values())
+        assert sum(len(set(held[q]) & set(brute_nearest(ids, x, q, 20))) for q in held) >= 0.9 * 20 * 6
+
+
 # --- Pipeline -------------------------------------------------------------------------------
 
 def test_stages_follow_each_other(spark):
