@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join by vertical partitioning, as link components.
+"""N-gram Jaccard self-join by vertical partitioning: all links, and their components.
 
 Two documents link when their sets of word 4-grams have a Jaccard similarity of
 at least ``PERCENT`` per cent.  The global order of n-grams (rare first) is cut
@@ -15,17 +15,20 @@ partial counts are summed per pair.
 3. Exact document frequencies of what is left give the global order.  Two linked sets
    share an n-gram among the rarest ``n - ceil(0.85 n) + 1`` of each, so lists of
    classes by prefix n-gram hold every linked pair.
-4. Within a list no full pairing is needed for components: every class is
+4. Groups that hold every link are found first, and need no full pairing: every class is
    first paired with the list's most central class (mean log frequency of its n-grams), the
    pairs are verified by fragment (``verified``), and components are formed.
 5. Every list that still spans several components is then searched for
    links between them, all pairs, minus those that bounds exclude: sizes,
    shared n-grams, and the sum over fragments of the smaller partial count.
    Long lists are searched in blocks of ``BLOCK`` x ``BLOCK`` classes in numpy.  Pairs that pass are verified too.
+   No link leaves the groups of classes that are connected now.
+6. ``all_links``: within a group all pairs are joined, in blocks that hold each class's n-grams once:
+   partial overlaps of a block pair by fragments of ``FRAGMENT`` shared n-grams, summed per pair.  Every linked
+   pair of classes is listed with its counts.  The groups are the components of the links.
 
-Links inside one component that are implied by others are not all listed; no
-link between components is lost, so the components are exact.  Nothing but a
-few counts reaches the driver.
+``similarity_join`` returns the links and which row is of which class;
+``link_counts`` the links of every row.  Nothing but a few counts reaches the driver.
 
 Defined cases: documents without words (null, empty) have the empty set, 0
 shingles, and are their own component; with fewer than four words the whole
@@ -55,6 +58,8 @@ MARK_BITS = 24                  # log2 of the bits of the map of class ids
 VERIFY_FRAGMENTS = 8
 PROFILE = 16                    # fragments of the bound in step 5
 SHORT_LIST, BLOCK = 32, 1024
+BLOCK_GRAMS = 1 << 22           # n-grams of a block in step 6
+FRAGMENT = 4096                 # n-grams of a fragment in step 6
 
 _U = np.uint64
 _SEVERAL = 0xFFFF               # set number of an n-gram that a chunk holds in several sets
@@ -359,9 +364,8 @@ def _between_components(prefix: DataFrame, ranked: DataFrame, label: DataFrame,
     return short.union(found).distinct().join(done, ["a", "b"], "left_anti")
 
 
-def link_components(classes: DataFrame) -> DataFrame:
-    """(node, label) of every class that has a link.  ``classes``: (rep, n, grams)."""
-    ranked = stored(ranked_grams(classes), "ranked")
+def link_groups(ranked: DataFrame) -> DataFrame:
+    """(node, label) of every class that has a link; no link is between two labels."""
     held = ranked.select("rep", "n", "shared", "central", F.explode(
         F.slice("grams", F.lit(1), (F.col("shared") - _least_shared("n") + 1).cast("int"))).alias("gram"))
     prefix = stored(held, "prefix")
@@ -378,8 +382,54 @@ def link_components(classes: DataFrame) -> DataFrame:
     return label if more.isEmpty() else components(links.union(more))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, n_shingles, component_id) of every row."""
+def _link_block(group: pa.Table) -> pa.Table:
+    """All linked pairs of one block pair of a group: overlaps by fragment, summed."""
+    c = {k: group.column(k).to_numpy() for k in ("rep", "n", "salt", "i", "j")}
+    first = np.flatnonzero(c["salt"] == c["i"][0])
+    second = np.flatnonzero(c["salt"] == c["j"][0])
+    lists = group.column("grams").combine_chunks()
+    sizes, grams = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(grams, kind="stable")
+    grams, owner = grams[order], owner[order]
+    runs = np.flatnonzero(np.diff(grams, prepend=~grams[:1]))
+    lengths = np.diff(runs, append=len(grams))
+    several = lengths > 1                       # an n-gram of one class is in no overlap
+    owner, word = owner[np.repeat(several, lengths)], np.repeat(np.arange(several.sum()), lengths[several])
+    both = np.zeros((len(first), len(second)), np.int64)
+    for at in range(0, int(several.sum()), FRAGMENT):
+        lo, hi = np.searchsorted(word, (at, at + FRAGMENT))
+        held, who = np.unique(owner[lo:hi], return_inverse=True)
+        part = np.zeros((len(held), FRAGMENT), np.float32)       # counts under 2**24 are exact
+        part[who, word[lo:hi] - at] = 1
+        a, b = np.isin(first, held), np.isin(second, held)
+        left, right = part[np.searchsorted(held, first[a])], part[np.searchsorted(held, second[b])]
+        both[np.ix_(a, b)] += (left @ right.T).astype(np.int64)
+    total = c["n"][first][:, None] + c["n"][second][None, :]
+    linked = (100 + PERCENT) * both >= PERCENT * total
+    if c["i"][0] == c["j"][0]:
+        linked &= c["rep"][first][:, None] < c["rep"][second][None, :]
+    x, y = np.nonzero(linked)
+    a, b = c["rep"][first[x]], c["rep"][second[y]]
+    return pa.table([pa.array(v.astype(np.int64)) for v in (np.minimum(a, b), np.maximum(a, b), both[x, y], total[x, y] - both[x, y])],
+                    names=["a", "b", "shared", "total"])
+
+
+def all_links(ranked: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b, shared, total): every linked pair of classes, with the n-grams of both and of either."""
+    held = ranked.select("rep", "n", "grams").join(groups.withColumnRenamed("node", "rep"), "rep")
+    held = stored(held, "groups")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.size("grams")) / BLOCK_GRAMS)).alias("parts")
+    held = held.join(stored(held.groupBy("label").agg(parts), "group-parts"), "label")
+    held = (held.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("parts")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))))
+    held = held.select("label", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"), "salt", "rep", "n", "grams")
+    return held.groupBy("label", "i", "j").applyInArrow(_link_block, "a bigint, b bigint, shared bigint, total bigint")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every row's class and component, (id, th, n_shingles, rep, component_id);
+    the classes that can have a link, as ``ranked_grams``; their groups."""
     sets = stored(shingle_sets(docs, id_col, text_col), "sets")
     total = sets.agg(F.sum("n")).first()[0] or 0
     classes = (sets.where("s1 IS NOT NULL AND id IS NOT NULL").groupBy("s1", "s2")
@@ -387,12 +437,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(classes, "classes")
     alive = stored(classes.join(candidate_classes(docs, total, id_col, text_col), ["s1", "s2"]), "alive")
     grams = stored(class_grams(docs, alive, id_col, text_col).dropDuplicates(["rep"]), "class-grams")
-    label = link_components(grams)
-    member = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left")
-    member = stored(member.select(F.col("s1").alias("m1"), F.col("s2").alias("m2"), F.coalesce("label", "rep").alias("component")), "members")
+    ranked = stored(ranked_grams(grams), "ranked")
+    groups = link_groups(ranked)
+    member = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    member = stored(member.select(F.col("s1").alias("m1"), F.col("s2").alias("m2"), "rep", F.coalesce("label", "rep").alias("component")), "members")
     out = sets.join(member, (F.col("s1") == F.col("m1")) & (F.col("s2") == F.col("m2")), "left")
-    mine = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select("id", "th", F.col("n").alias("n_shingles"), mine.alias("component_id"))
+    mine = [F.when(F.col("id").isNotNull(), F.coalesce(c, "id")).alias(name) for c, name in (("rep", "rep"), ("component", "component_id"))]
+    return out.select("id", "th", F.col("n").alias("n_shingles"), *mine), ranked, groups
+
+
+def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every row's class and component, (id, th, n_shingles, rep, component_id),
+    and all links between classes, (a, b, shared, total) with a < b.  Rows of
+    one class have equal sets."""
+    rows, ranked, groups = _grouped(docs, id_col, text_col)
+    return rows, stored(all_links(ranked, groups), "links")
+
+
+def link_counts(docs: DataFrame, **columns) -> DataFrame:
+    """(id, th, n_shingles, n_links) of every row: the other ids it links to."""
+    rows, links = similarity_join(docs, **columns)
+    rows = stored(rows, "class-rows")
+    sizes = rows.where("rep IS NOT NULL AND n_shingles > 0").groupBy("rep").agg(F.countDistinct("id").alias("ids"))
+    sizes = stored(sizes, "class-sizes")
+    ends = links.select("a", "b").union(links.select("b", "a"))
+    other = (ends.join(sizes.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("ids").alias("linked")))
+    counts = sizes.join(other, "rep", "left").select(F.col("rep").alias("r"), (F.col("ids") - 1 + F.coalesce("linked", F.lit(0))).alias("n"))
+    out = rows.join(counts, (F.col("rep") == F.col("r")) & (F.col("n_shingles") > 0), "left")
+    return out.select("id", "th", "n_shingles", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, th, n_shingles, component_id) of every row; the links are not listed."""
+    return _grouped(docs, id_col, text_col)[0].drop("rep")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -413,7 +490,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = near_duplicates(table(spark, sf_dir, "documents"))
+    out, _ = similarity_join(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 

@@ -62,6 +62,25 @@ def test_components_of_a_large_group_and_chains(docs, monkeypatch):
     assert found(df) == brute_components([(r.doc_id, r.text) for r in df.collect()])
 
 
+@pytest.mark.parametrize("block, fragment", [(1024, 4096), (8, 64)])
+def test_every_link_is_listed_and_counted(docs, monkeypatch, block, fragment):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "FRAGMENT", fragment)
+    rng = random.Random(2)
+    base = [f"b{i}" for i in range(120)]
+    texts = [mutated(rng, base, rng.randrange(5)) for _ in range(40)]
+    texts += [texts[3], texts[3].upper(), "a b c d e", "a  b c d e", "a", "", None]
+    df = docs(*texts)
+    sets = {r.doc_id: shingles(r.text) for r in df.collect()}
+    near = {(i, j): (len(sets[i] & sets[j]), len(sets[i] | sets[j])) for i in sets for j in sets
+            if i != j and sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    rows, links = jaccard.similarity_join(df)
+    rep = {r.id: r.rep for r in rows.collect()}
+    want = sorted((i, j, *n) for (i, j), n in near.items() if i < j and rep[i] == i and rep[j] == j)
+    assert sorted(map(tuple, links.collect())) == want and len(want) > 40
+    assert {r.id: r.n_links for r in jaccard.link_counts(df).collect()} == {i: sum(x == i for x, _ in near) for i in sets}
+
+
 def test_small_fragments_and_chunks_change_nothing(documents, monkeypatch):
     want = brute_components([(r.doc_id, r.text) for r in documents.collect()])
     assert found(documents) == want
