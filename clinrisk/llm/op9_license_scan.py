@@ -4,14 +4,16 @@ The texts' rolling 3-gram hashes are joined to the 3-grams of a fixed, small
 set of license templates (a broadcast table of a few hundred rows; the count
 is checked).  A hit at text word ``p`` and template gram ``t`` votes for the
 diagonal ``p - t``.  Per (document, template, diagonal) the matched grams are
-a bit mask; neighbouring diagonals are merged (words were inserted or
+bit masks, one word for 64 grams, so a template may be a whole license;
+neighbouring diagonals are merged (words were inserted or
 dropped), and a merged span is verified by the share of the template's grams
 it holds.  The words of every gram are compared at the join, so a hash
 collision cannot vote.
 
 A base phrase stands at a place exactly if all of its grams lie on one
 diagonal: these are the ``base`` places.  The method adds labels for spans
-that hold at least ``min_share`` of a longer template.  ``score`` is the
+that hold at least ``min_share`` of a longer template: the query's fixed ones, or a caller's ``templates``
+(phrase to label; ``NOTICES`` holds standard paragraphs).  ``score`` is the
 largest share of a template found (1 where a base phrase stands, 0 without a
 verified span).
 
@@ -26,15 +28,17 @@ told apart by the text's hash; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinrisk.llm.common import ascii_lower, bit, table
+from clinrisk.llm.common import LOWER, UPPER, ascii_lower, bit, table
 
 K = 3
 MERGE_GAP = 4
 MIN_SHARE = 0.6
-MAX_TEMPLATE_GRAMS = 60        # one bit each
+MASK_BITS = 64
 MAX_BROADCAST_GRAMS = 10_000
 
 #: FIXED VALUES: phrases and labels of the base count.
@@ -58,7 +62,33 @@ TEMPLATES = {
     "all rights reserved": "all-rights-reserved",
 }
 
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this
+permission notice shall be included in all copies or substantial portions of the Software."""
+_MIT_WARRANTY = """The software is provided "as is", without warranty of any kind, express or implied, including but not limited
+to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or
+copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise,
+arising from, out of or in connection with the software or the use or other dealings in the software."""
+_BSD_WARRANTY = """This software is provided by the copyright holders and contributors "as is" and any express or implied
+warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose
+are disclaimed."""
+_GNU = "of the GNU {0} Public License"       # longer ones would hold most of each other's grams
+
+#: Standard notices and paragraphs of the licenses themselves, by label, for ``templates``.
+NOTICES = {
+    _MIT: "mit",
+    _MIT_WARRANTY: "mit",
+    _BSD_WARRANTY: "bsd",
+    _GNU.format("General"): "gpl",
+    _GNU.format("Lesser General"): "lgpl",
+    _GNU.format("Affero General"): "agpl",
+    "Creative Commons Attribution-ShareAlike": "cc-by-sa",
+}
+
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def words(text: Column) -> Column:
@@ -70,10 +100,10 @@ def template_grams(spark: SparkSession, base: dict[str, str] = BASE_PHRASES,
     """One row per template gram: template, label, is_base, n_grams, t, w0..w2, gram."""
     rows = []
     for i, (phrase, label) in enumerate([*base.items(), *more.items()]):
-        w = phrase.split(" ")
+        w = [x for x in re.split(_NOT_WORD, phrase.translate(_LOWER)) if x]
         n = len(w) - K + 1
-        if not 1 <= n <= MAX_TEMPLATE_GRAMS:
-            raise ValueError(f"a template has {K} to {MAX_TEMPLATE_GRAMS + K - 1} words: {phrase!r}")
+        if n < 1:
+            raise ValueError(f"a template has {K} words or more: {phrase!r}")
         rows += [(i, label, i < len(base), n, t, *w[t:t + K]) for t in range(n)]
     if len(rows) > MAX_BROADCAST_GRAMS:
         raise ValueError("more template grams than may be broadcast")
@@ -96,21 +126,23 @@ def gram_hits(docs: DataFrame, grams: DataFrame, id_col: str = "doc_id", text_co
             .select("id", "th", "template", "label", "is_base", "n_grams", (F.col("p") - F.col("t")).alias("diagonal"), "t"))
 
 
-def license_spans(docs: DataFrame, min_share: float = MIN_SHARE, merge_gap: int = MERGE_GAP,
+def license_spans(docs: DataFrame, templates: dict[str, str] = TEMPLATES, min_share: float = MIN_SHARE, merge_gap: int = MERGE_GAP,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Verified spans: id, th, template, label, is_base, start (word), share.
     Base phrases give one row per place, whole phrases only."""
-    hits = gram_hits(docs, template_grams(docs.sparkSession), id_col, text_col)
+    hits = gram_hits(docs, template_grams(docs.sparkSession, more=templates), id_col, text_col)
     what = ["id", "th", "template", "label", "is_base", "n_grams"]
-    votes = (hits.groupBy(*what, "diagonal")
-             .agg(F.bit_or(bit(F.col("t"))).alias("mask")))
+    # Rows of one diagonal and several mask words are peers of the window: they get the same band.
+    votes = (hits.groupBy(*what, "diagonal", F.floor(F.col("t") / MASK_BITS).alias("part"))
+             .agg(F.bit_or(bit(F.col("t") % MASK_BITS)).alias("mask")))
     one = Window.partitionBy("id", "th", "template").orderBy("diagonal")
     step = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(one), F.lit(merge_gap + 1))
     # Base phrases never merge: each of their diagonals is a place of its own.
-    opens = (F.col("is_base") | (step > merge_gap)).cast("int")
+    opens = (step > F.when(F.col("is_base"), 0).otherwise(merge_gap)).cast("int")
     bands = votes.withColumn("opens", opens).withColumn("band", F.sum("opens").over(one))
-    spans = bands.groupBy(*what, "band").agg(F.min("diagonal").alias("start"), F.bit_or("mask").alias("mask"))
-    spans = spans.withColumn("share", F.bit_count("mask") / F.col("n_grams"))
+    masks = bands.groupBy(*what, "band", "part").agg(F.min("diagonal").alias("start"), F.bit_or("mask").alias("mask"))
+    spans = masks.groupBy(*what, "band").agg(F.min("start").alias("start"), F.sum(F.bit_count("mask")).alias("held"))
+    spans = spans.withColumn("share", F.col("held") / F.col("n_grams"))
     good = F.when(F.col("is_base"), F.col("share") == 1.0).otherwise(F.col("share") >= min_share)
     return spans.where(good).select("id", "th", "template", "label", "is_base", "start", "share")
 

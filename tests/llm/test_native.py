@@ -168,6 +168,17 @@ def test_base_places_and_method_labels(docs):
     assert got[9].n_base == 1       # "licensex" is another word
 
 
+def test_templates_of_any_length(docs):
+    words = " ".join(f"t{i}" for i in range(300))
+    half = " ".join(f"t{i}" for i in range(150))
+    gnu = "This is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the FSF"
+    df = docs(f"x {words} y", half, " ".join(f"t{i}" for i in range(100, 290)), gnu, "nothing of the kind here", gnu.replace("General", "Lesser General"),
+              "licensed under a Creative Commons Attribution-ShareAlike 4.0", licenses._MIT, licenses._BSD_WARRANTY)
+    got = {r.id: (r.labels, r.score) for r in licenses.scan_licenses(df, templates={**licenses.NOTICES, words: "long"}).collect()}
+    assert got[0] == ("long", 1.0) and got[1] == ("", 0.0) and got[2] == ("long", 188 / 298)
+    assert [got[i][0] for i in range(3, 9)] == ["gpl", "", "lgpl", "cc-by-sa", "mit", "bsd"]
+
+
 def test_license_scan_on_edge_rows(edge, empty):
     got = licenses.scan_licenses(edge).collect()
     assert len(got) == edge.count()
