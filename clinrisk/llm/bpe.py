@@ -46,8 +46,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.names = _byte_names()
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.known: dict[str, bytes] = {}
         self.missed = 0
 
@@ -75,15 +75,16 @@ class Encoder:
 
     def _ids(self, runs: list[str]) -> list[bytes]:
         ids = list(map(self.known.get, runs))
-        new = {run for run, v in zip(runs, ids) if v is None}
-        if new:
-            found = self._learn(new)
+        if None in ids:
+            found = self._learn({run for run, v in zip(runs, ids) if v is None})
             ids = [found[run] if v is None else v for run, v in zip(runs, ids)]
         return ids
 
     def _windows(self, text: str) -> Iterator[list[str]]:
-        for part in self.special.split(text) if self.special else [text]:
-            if self.special and self.special.fullmatch(part):
+        """The runs of a text, some WINDOW characters at a time; a special token is a run."""
+        parts = self.at_special.split(text) if any(s in text for s in self.special) else [text]
+        for k, part in enumerate(parts):
+            if k % 2:
                 yield [part]
                 continue
             at = 0
@@ -94,26 +95,28 @@ class Encoder:
                 at = end
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        held: list[list[str]] = []          # runs of the texts not given out yet
+        held: list[str] = []            # runs of the texts not given out yet
+        ends: list[int] = []
         size = 0
 
         def flush() -> Iterator[bytes]:
-            ids = self._ids([run for runs in held for run in runs])
-            at = 0
-            for runs in held:
-                yield b"".join(ids[at:at + len(runs)])
-                at += len(runs)
+            ids, at = self._ids(held), 0
+            for end in ends:
+                yield b"".join(ids[at:end])
+                at = end
         for text in texts:
             if len(text) > WINDOW:          # alone, window by window
                 yield from flush()
-                held, size = [], 0
+                held, ends, size = [], [], 0
                 yield b"".join(b"".join(self._ids(runs)) for runs in self._windows(text))
                 continue
-            held.append([run for runs in self._windows(text) for run in runs])
+            for runs in self._windows(text):
+                held += runs
+            ends.append(len(held))
             size += len(text)
             if size >= WINDOW:
                 yield from flush()
-                held, size = [], 0
+                held, ends, size = [], [], 0
         yield from flush()
 
 
