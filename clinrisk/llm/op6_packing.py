@@ -13,10 +13,8 @@ that runs again gives the same rows.  Bins still open at the end are laid out
 back to back, cut at the capacity, and the last stretch is cut at powers of
 two, which need no padding.
 
-Ids are produced by ``tiktoken`` from the same vocabulary's rank file for
-texts in the Latin ranges, where both libraries' splitting patterns agree
-(three times the speed of ``tokenizers``), and by ``tokenizers`` for all other texts
-and for texts holding the special token's string.
+Ids are those of ``tokenizers`` (``bpe``: each distinct run of a worker's texts
+is encoded once), for texts of any length and any run of blanks.
 
 Defined cases: a null or empty text has the single id 0; a null ``doc_id`` is
 carried; repeated rows are packed each on its own; an empty table gives no
@@ -25,18 +23,15 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
-import base64
-import re
 import zlib
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from clinrisk.llm.bpe import encoder
 from clinrisk.llm.common import map_arrow, table
 
 CAPACITY = 1024
@@ -46,26 +41,6 @@ SMALL = 48            # shorter remainders stay whole
 OUT = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
        "sequence_id bigint, offset bigint")
 
-_LATIN = re.compile("[\x00-\x1b\x20-\x84\x86-ɏ]*")
-
-
-@lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """text -> ids of ``<vocabulary>.json`` without special tokens added."""
-    import tiktoken
-    from tokenizers import Tokenizer
-    slow = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-    with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(text: str) -> list[int]:
-        if _LATIN.fullmatch(text) and "<|" not in text:
-            return fast.encode_ordinary(text)
-        return slow.encode(text, add_special_tokens=False).ids
-    return encode
-
-
 def cut(n: int, capacity: int = CAPACITY, min_fill: float = MIN_FILL, small: int = SMALL) -> list[int]:
     """Lengths of the pieces of a document of ``n`` ids."""
     pieces = [capacity] * (n // capacity)
@@ -132,12 +107,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_bpe_
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: which ids of which document lie where in which sequence."""
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        bpe = encoder(vocabulary)
+        end = np.array([END_ID], f"<u{bpe.width}").tobytes()
         bins = Bins(TaskContext.get().partitionId(), capacity)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "")
-                bins.add(doc_id, np.array([*ids, END_ID], dtype="<u4"))
+            texts = (t.as_py() or "" for t in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), bpe.encode(texts)):
+                bins.add(doc_id, np.frombuffer(ids + end, f"<u{bpe.width}").astype("<u4"))
                 if len(bins.rows) >= 20_000:
                     yield bins.flush()
         bins.finish()
