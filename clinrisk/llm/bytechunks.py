@@ -60,10 +60,11 @@ def pooled(texts: Iterator[bytes], n: int, width: int, length: int, stride: int,
 
 def training_chunks(docs: DataFrame, chosen: DataFrame, target: str, length: int, per_doc: int, seed: int,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, list]:
-    """Seeded chunks of the ``chosen`` rows' texts and their targets.
+    """Seeded chunks of the ``chosen`` ids' texts and their targets.
 
-    ``chosen`` (id, target) is a bounded sample, so it is broadcast; at most
-    ``per_doc`` chunks of a text, from anywhere in it, reach the driver."""
+    ``chosen`` (id, target) is a bounded sample, each id once, so it is
+    broadcast.  Of rows that share an id the text of the smallest hash stands
+    for it, so at most ``per_doc`` chunks an id, from anywhere in the text, reach the driver."""
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list] = ([], [])
@@ -75,7 +76,9 @@ def training_chunks(docs: DataFrame, chosen: DataFrame, target: str, length: int
                     out[1].append(label)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], batch.schema.field(1).type)],
                                              names=["chunk", "target"])
-    picked = docs.join(F.broadcast(chosen.withColumnRenamed("id", id_col)), id_col).select(id_col, target, text_col)
+    one = F.min(F.struct(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")))
+    picked = (docs.select(F.col(id_col).alias("id"), text_col).join(F.broadcast(chosen), "id").groupBy("id", target).agg(one.alias("one"))
+              .select("id", target, "one.text"))
     kind = dict(chosen.dtypes)[target]
     rows = sorted((bytes(r[0]), r[1]) for r in map_arrow(picked, sample, f"chunk binary, target {kind}").collect())
     x = np.zeros((len(rows), length), np.uint8)
@@ -86,7 +89,7 @@ def training_chunks(docs: DataFrame, chosen: DataFrame, target: str, length: int
 
 def smallest_by_hash(rows: DataFrame, id_col: str, by: str, most: int) -> DataFrame:
     """At most ``most`` rows of each value of ``by``, those with the smallest
-    id hash.  Rows far beyond that are dropped before the shuffle: their hash
+    id hash.  An id stands once in ``rows``.  Rows far beyond that are dropped before the shuffle: their hash
     is past the part of the range that holds four times as many."""
     u = F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) / F.lit(float(1 << 32))
     sizes = rows.groupBy(F.col(by).alias("value")).agg(F.count(F.lit(1)).alias("size"))

@@ -13,8 +13,8 @@ document in the tasks of their scan partitions; only the fitted arrays (about
 prediction.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; a
-null ``lang`` is not learned from; without any training row every prediction
-is ``und``; repeated rows are scored alike; an empty table gives no rows.
+null ``lang`` or id is not learned from; of rows sharing an id one text and its first language
+are; without any training row every prediction is ``und``; repeated rows are scored alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -143,8 +143,9 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, per_doc: int = PER_DOC, id_
           text_col: str = "text", lang_col: str = "lang") -> tuple[Params | None, list[str]]:
     """The fitted arrays and the languages in the order of the outputs."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (id_crc(F.col(id_col)) % FOLDS != 0))
-    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("y"))
-    chosen = smallest_by_hash(known, "id", "y", per_lang).dropDuplicates(["id"])
+    # Each id once, with its first language in code point order: copies must not crowd a language's sample.
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.min(lang_col).alias("y"))
+    chosen = smallest_by_hash(known, "id", "y", per_lang)
     x, y = training_chunks(docs.select(id_col, text_col), chosen, "y", TRAIN_LENGTH, per_doc, SEED, id_col, text_col)
     langs = sorted(set(y))
     if not langs:

@@ -16,7 +16,7 @@ inputs of a score.
 Defined cases: a null or empty text is one chunk of padding and gets that
 score; without labelled rows, or with one class only, every score is the share
 of label 1 (0.5 without any); labels without a document and null labels are
-skipped; repeated rows are scored alike; an empty table gives no rows.
+skipped; of labels of one id the largest counts, of texts of one id one is learned from; repeated rows are scored alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
