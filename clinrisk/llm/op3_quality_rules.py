@@ -6,9 +6,7 @@ space made one blank, digits made 0) and hashed; per host (``source``) the
 distinct documents that hold a hash are counted, copies of one text counting
 once; a line that is in more than ``min_docs`` documents of a host is removed,
 however large the host; and a document that has less than ``min_left`` of its
-words left is depleted and rejected.  ``max_share`` lets the limit rise with
-the host, to ``max(min_docs, max_share x documents of the host)``.  It is 0
-unless given; the query gives ``MAX_SHARE``, the rule that its SQL states.
+words left is depleted and rejected.
 
 A task turns the texts into statistics and line hashes (a few per cent of the
 text), which are stored; counting shuffles (host, hash, text hash) without
@@ -37,7 +35,6 @@ from clinrisk.llm.bytewords import SPACE, windows, word_hashes
 from clinrisk.llm.common import map_arrow, n_words, ship, stored, table
 
 MIN_DOCS = 10
-MAX_SHARE = 0.05                # of the query's rule only
 MIN_LEFT = 0.3
 MIN_WORDS = 20
 WINDOW = 8
@@ -124,28 +121,23 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return map_arrow(rows, run, schema)
 
 
-def frequent_lines(stats: DataFrame, min_docs: int = MIN_DOCS, max_share: float = 0.0) -> DataFrame:
-    """(host, line) above the host's limit."""
+def frequent_lines(stats: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(host, line) in more than ``min_docs`` documents of the host."""
     held = stats.select("host", "content", F.explode("lines").alias("line")).distinct()
     n_docs = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs)
-    if not max_share:
-        return n_docs.select(F.col("host").alias("h"), F.col("line").alias("l"))
-    hosts = (stats.select("host", "content").distinct().groupBy(F.col("host").alias("h"))
-             .agg(F.greatest(F.lit(float(min_docs)), F.lit(max_share) * F.count(F.lit(1))).alias("limit")))
-    return (n_docs.join(hosts, F.col("host").eqNullSafe(F.col("h"))).where(F.col("n_docs") > F.col("limit"))
-            .select(F.col("host").alias("h"), F.col("line").alias("l")))
+    return n_docs.select(F.col("host").alias("h"), F.col("line").alias("l"))
 
 
 _STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def cut_lines(docs: DataFrame, min_left: float = MIN_LEFT, min_docs: int = MIN_DOCS, max_share: float = 0.0,
+def cut_lines(docs: DataFrame, min_left: float = MIN_LEFT, min_docs: int = MIN_DOCS,
               id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Per row: the row as a struct, the statistics, ``cut_text`` (null where no
     line goes), ``n_removed`` words that went, base_failed, kept."""
     ship(docs.sparkSession)
     stats = stored(text_statistics(docs, id_col, text_col, host_col), "line-statistics")
-    frequent = stored(frequent_lines(stats, min_docs, max_share), "frequent-lines")
+    frequent = stored(frequent_lines(stats, min_docs), "frequent-lines")
     # Rows of one (id, host, text) are alike: one stands for all.  Its uid must be the same in both reads.
     least = stats.groupBy("id", "host", "th").agg(F.min("uid").alias("uid")).select("uid")
     one = stats.join(stored(least, "line-rows"), "uid", "left_semi")
@@ -194,7 +186,7 @@ def clean(docs: DataFrame, text_col: str = "text", **params) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = judge(table(spark, sf_dir, "documents"), max_share=MAX_SHARE)
+    out = judge(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
 
@@ -211,9 +203,7 @@ n AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
              translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS key FROM l),
 u AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM n WHERE words > 0 GROUP BY rid),
-h AS (SELECT source, greatest({MIN_DOCS}, {MAX_SHARE} * count(DISTINCT text)) AS lim FROM d GROUP BY source),
-f AS (SELECT n.source, key FROM n JOIN h ON n.source IS NOT DISTINCT FROM h.source WHERE words > 0
-      GROUP BY n.source, key, lim HAVING count(DISTINCT text) > lim),
+f AS (SELECT source, key FROM n WHERE words > 0 GROUP BY source, key HAVING count(DISTINCT text) > {MIN_DOCS}),
 x AS (SELECT rid, sum(words) AS removed FROM n JOIN f ON n.source IS NOT DISTINCT FROM f.source AND n.key = f.key
       WHERE words > 0 GROUP BY rid),
 s AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(length(array_to_string(ws, '')), 0)::BIGINT AS word_chars,
