@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinrisk.llm.bytewords import mix, windows, word_hashes
-from clinrisk.llm.common import bit, map_arrow, ship, stored, table
+from clinrisk.llm.common import WORD_RE, bit, map_arrow, ship, stored, table
 
 SIZE = 4                        # words of a shingle, a power of two
 PERCENT = 85
@@ -139,7 +139,7 @@ def _pack(chunk: int, sets: list[np.ndarray], sigs: list[tuple[int, int]], bits:
     grams, owner = grams[starts], np.where(many, np.uint16(_SEVERAL), owner[starts])
     sig = np.array(sigs, np.int64)
     sizes = np.array([len(s) for s in sets], np.int64)
-    yield (-1 - chunk % 65536, chunk, sig.tobytes(), sizes.tobytes(), own.astype(np.int64).tobytes())
+    yield (-1 - (chunk * 0x9E3779B97F4A7C15 >> 20) % (1 << 40), chunk, sig.tobytes(), sizes.tobytes(), own.astype(np.int64).tobytes())
     fragment = (grams >> _U(64 - bits)).astype(np.int64)
     low = ((grams >> _U(32 - bits)) & _U(0xFFFFFFFF)).astype(np.uint32)
     edges = np.flatnonzero(np.diff(fragment, prepend=-1)).tolist() + [len(grams)]
@@ -473,20 +473,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without near duplicates: of each component the row of its
-    smallest id stays.  Rows without words or without an id all stay."""
+    """The documents without near duplicates: of each component one row stays, of its
+    smallest id and (where texts share that id) the smallest text hash.  Rows without words or without an id all stay."""
     found = stored(near_duplicates(docs), "near-duplicates")
-    best = (found.where("n_shingles > 0 AND id = component_id").groupBy("id").agg(F.min("th").alias("kept_th")))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("rid"), F.xxhash64("text").alias("rth"))
-    free = found.where("id IS NULL OR n_shingles = 0").select("id", F.col("th").alias("kept_th")).distinct()
-    keep = stored(best.union(free), "kept-rows")
-    out = rows.join(keep, F.col("rid").eqNullSafe(F.col("id")) & (F.col("rth") == F.col("kept_th")), "left_semi")
-    repeated = found.where("n_shingles > 0 AND id = component_id").groupBy("id", "th").count().where("count > 1")
-    if not repeated.isEmpty():
-        whole = F.length(F.trim(F.coalesce(F.col("row")["text"], F.lit("")))) == 0
-        out = (out.where(~whole & F.col("rid").isNotNull()).dropDuplicates(["rid", "rth"])
-               .unionByName(out.where(whole | F.col("rid").isNull())))
-    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    best = found.where("n_shingles > 0 AND id = component_id").groupBy("id", "th").agg(F.count(F.lit(1)).alias("copies"))
+    best = best.groupBy("id").agg(F.min(F.struct("th", "copies")).alias("kept")).select("id", F.col("kept.th").alias("th"), F.col("kept.copies").alias("copies"))
+    best = stored(best, "kept-rows")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"))
+    once = rows.join(best.where("copies = 1"), ["id", "th"], "left_semi").select("row")
+    # Only texts that stand more than once are dealt by their row key, to leave one of them.
+    again = rows.join(best.where("copies > 1"), ["id", "th"], "left_semi").dropDuplicates(["id", "th"]).select("row")
+    no_words = F.col("text").isNull() | ~F.col("text").rlike(WORD_RE)
+    free = docs.where(F.col("doc_id").isNull() | no_words).select(F.struct("*").alias("row"))
+    return once.union(again).union(free).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
