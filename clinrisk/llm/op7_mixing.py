@@ -9,14 +9,15 @@ is one small aggregate over the table of sources; two numbers come back.
 A source's target is then sampled: every document is taken ``target div
 source_size`` whole times, and the fractional repetition is a seeded sample:
 documents in the order of a seeded hash ``u`` until the source's remaining
-words are reached, the last one in part.  The cut is found without sorting a
+words are reached; the last one is taken whole or not at all, whichever ends
+nearer the target.  The cut is found without sorting a
 source in one task: word sums over 4,096 hash bins, then over 4,096 bins of
 the boundary bin (a third of all rows may be one source; 2**24 bins leave a
 handful of documents), and only that last bin is ordered.
 
 Only DataFrame functions run.  Defined cases: a null text has no words; a null
 source is a source (last in order); sources without words have target 0;
-documents sharing an id and text share a boundary alike; an empty table gives
+repeated rows (one id and text) stand or fall together at a boundary; an empty table gives
 no rows; other columns are carried.
 """
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinrisk.llm.common import WORD_RE, n_words, stored, table
+from clinrisk.llm.common import n_words, stored, table
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -35,16 +36,17 @@ _BIN_BITS = 12
 _U_BITS = 52
 
 
-def seeded_u(id_col: Column, seed: int = SEED) -> Column:
-    """52 seeded bits of the id."""
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(id_col.cast("string"), F.lit(""))))
+def seeded_u(id_col: Column, text_col: Column, seed: int = SEED) -> Column:
+    """52 seeded bits of the id and the text: an id that many rows share (null, say) is no hot spot of the hash."""
+    text = F.md5(F.coalesce(text_col, F.lit("")).cast("binary"))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(id_col.cast("string"), F.lit("")), text))
     return F.conv(F.substring(digest, 1, _U_BITS // 4), 16, 10).cast("bigint")
 
 
 def items(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, th, source, size, u) of every row."""
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(source_col).alias("source"),
-                       n_words(F.col(text_col)).alias("size"), seeded_u(F.col(id_col)).alias("u"))
+                       n_words(F.col(text_col)).alias("size"), seeded_u(F.col(id_col), F.col(text_col)).alias("u"))
 
 
 def weighted_sources(rows: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
@@ -90,8 +92,8 @@ def _boundary(sums: DataFrame, bin_col: str, need: str) -> DataFrame:
 
 def cuts(rows: DataFrame, sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Per source: source_size, target, whole (repetitions of every document),
-    ``edge`` (the boundary's documents as (u, id, th, extra words)) and
-    ``below``: documents with ``u`` under it are taken once more."""
+    and what is taken once more: documents with ``u`` under ``below``, and those
+    up to ``upto`` in the order (u, id, th)."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = sources.withColumn("whole", F.least(F.floor(rate), F.lit(max_epochs)).cast("bigint"))
     plan = plan.withColumn("extra", (F.round("target") - F.col("whole") * F.col("source_size")).cast("bigint"))
@@ -109,12 +111,12 @@ def cuts(rows: DataFrame, sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> D
     sums2 = inside1.groupBy("source", "b2").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
     edge2 = _boundary(sums2, "b2", "left").select(F.col("source").alias("s"), F.col("b2").alias("e2"), "left")
     last = sized.join(edge2, same("source", "s") & (F.col("b2") == F.col("e2")))
-    alike = last.groupBy("source", "u", "id", "th", "e2", "left").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("copies"))
+    alike = last.groupBy("source", "u", "id", "th", "e2", "left").agg(F.sum("size").alias("words"))
     running = F.sum("words").over(Window.partitionBy("source").orderBy("u", "id", "th")) - F.col("words")
-    extra = F.floor(F.greatest(F.lit(0), F.least(F.col("words"), F.col("left") - running)) / F.col("copies"))
-    edges = (alike.withColumn("more", extra.cast("bigint")).groupBy("source")
-             .agg(F.max("e2").alias("e2"), F.collect_list(F.struct("u", "id", "th", "more")).alias("edge"))
-             .select(F.col("source").alias("es"), "e2", "edge"))
+    # The boundary's document is in if at least half of its words are wanted.
+    taken = F.when(2 * (F.col("left") - running) >= F.col("words"), F.struct("u", "id", "th"))
+    edges = (alike.withColumn("in", taken).groupBy("source").agg(F.max("e2").alias("e2"), F.max("in").alias("upto"))
+             .select(F.col("source").alias("es"), "e2", "upto"))
     # Where a running sum meets the need exactly there is no inner boundary: the bin edges themselves cut.
     step1, step2 = 1 << (_U_BITS - _BIN_BITS), 1 << (_U_BITS - 2 * _BIN_BITS)
     all1 = (sums1.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("b1")))
@@ -123,18 +125,17 @@ def cuts(rows: DataFrame, sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> D
             .where("upto <= left").groupBy("source").agg(F.max("b2").alias("f2")).select(F.col("source").alias("s2"), "f2"))
     out = (plan.join(edges, same("s", "es"), "left").join(all1, same("s", "s1"), "left").join(all2, same("s", "s2"), "left"))
     below = F.greatest(F.col("e2") * step2, (F.col("f2") + 1) * step2, (F.col("f1") + 1) * step1, F.lit(0))
-    return out.select("s", "source_size", "target", "whole", "edge", below.cast("bigint").alias("below"))
+    return out.select("s", "source_size", "target", "whole", "upto", below.cast("bigint").alias("below"))
 
 
 def with_taken(rows: DataFrame, cut: DataFrame, n_sources: int) -> DataFrame:
     """``rows`` (columns id, th, source, size, u and any others under a struct)
     with source_size, target and taken."""
     cut = F.broadcast(cut) if n_sources <= BROADCAST_SOURCES else cut
-    mine = F.filter("edge", lambda e: (e["u"] == F.col("u")) & e["id"].eqNullSafe(F.col("id")) & (e["th"] == F.col("th")))
-    at_edge = F.coalesce(F.get(mine, 0)["more"], F.lit(0))
-    extra = F.when(F.col("u") < F.col("below"), F.col("size")).otherwise(at_edge)
+    upto = F.coalesce(F.struct("u", "id", "th") <= F.col("upto"), F.lit(False))
+    extra = F.when((F.col("u") < F.col("below")) | upto, F.col("size")).otherwise(0)
     joined = rows.join(cut, F.col("source").eqNullSafe(F.col("s")), "left")
-    return joined.withColumn("taken", (F.col("whole") * F.col("size") + extra).cast("bigint")).drop("s", "whole", "edge", "below")
+    return joined.withColumn("taken", (F.col("whole") * F.col("size") + extra).cast("bigint")).drop("s", "whole", "upto", "below")
 
 
 def allotment(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS, **columns) -> tuple[DataFrame, DataFrame, int]:
@@ -146,21 +147,16 @@ def allotment(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_E
 
 
 def mix(docs: DataFrame, **params) -> DataFrame:
-    """The mixed corpus in the input's columns: a row for every whole
-    repetition and one for a boundary document's part (its first words).
-    Documents that are not taken, and those without words, leave."""
+    """The mixed corpus in the input's columns: a row for every repetition of a
+    document, whole each time.  Documents that are not taken, and those without
+    words, leave."""
     _, cut, n = allotment(docs, **params)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), "source",
-                       n_words(F.col("text")).alias("size"), seeded_u(F.col("doc_id")).alias("u"))
+                       n_words(F.col("text")).alias("size"), seeded_u(F.col("doc_id"), F.col("text")).alias("u"))
     taken = with_taken(rows, cut, n).where("taken > 0")
-    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    out = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    part = F.least(F.col("size"), F.col("taken") - F.col("size") * (F.col("copy") - 1)).cast("int")
-    words = F.regexp_extract_all(F.col("row")["text"], F.lit(rf"[\x20\x09-\x0D]*{WORD_RE}"), F.lit(0))
-    text = F.when(part == F.col("size"), F.col("row")["text"]).otherwise(F.array_join(F.slice(words, 1, part), ""))
-    out = out.select("row", text.alias("text"))
-    fresh = {"text": F.col("text"), "n_chars": F.char_length("text").cast("bigint")}
-    return out.select(*[fresh.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+    copies = (F.col("taken") / F.col("size")).cast("int")
+    out = taken.select("row", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +166,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, ('0x' || substr(md5('{SEED}|' || doc_id), 1, 13))::BIGINT AS u,
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, ('0x' || substr(md5('{SEED}|' || doc_id || '|' || md5(coalesce(text, ''))), 1, 13))::BIGINT AS u,
                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, {MAX_EPOCHS} * sum(size)::BIGINT AS cap,
              [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight FROM d GROUP BY source),
@@ -185,5 +181,5 @@ x AS (SELECT d.*, source_size, target, whole, (round(target) - whole * source_si
              sum(size) OVER (PARTITION BY d.source ORDER BY u, doc_id ROWS UNBOUNDED PRECEDING) - size AS before
       FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target,
-       (whole * size + greatest(0, least(size, extra - before)))::BIGINT AS taken FROM x
+       (whole * size + CASE WHEN extra > before AND 2 * (extra - before) >= size THEN size ELSE 0 END)::BIGINT AS taken FROM x
 """
