@@ -1,8 +1,8 @@
 """License scans by diagonal voting.
 
-The texts' rolling 3-gram hashes are joined to the 3-grams of a fixed, small
-set of license templates (a broadcast table of a few hundred rows; the count
-is checked).  A hit at text word ``p`` and template gram ``t`` votes for the
+The texts' rolling 3-gram hashes are joined to the 3-grams of license templates
+(a broadcast table while they are ``MAX_BROADCAST_GRAMS`` at most, the query's few hundred among them; else both
+sides are shuffled).  A hit at text word ``p`` and template gram ``t`` votes for the
 diagonal ``p - t``.  Per (document, template, diagonal) the matched grams are
 bit masks, one word for 64 grams, so a template may be a whole license;
 neighbouring diagonals are merged (words were inserted or
@@ -12,8 +12,8 @@ collision cannot vote.
 
 A base phrase stands at a place exactly if all of its grams lie on one
 diagonal: these are the ``base`` places.  The method adds labels for spans
-that hold at least ``min_share`` of a longer template: the query's fixed ones, or a caller's ``templates``
-(phrase to label; ``NOTICES`` holds standard paragraphs).  ``score`` is the
+that hold at least ``min_share`` of a longer template: ``TEMPLATES`` (one-line notices) and ``NOTICES`` (standard paragraphs),
+or a caller's ``templates`` (phrase to label).  ``score`` is the
 largest share of a template found (1 where a base phrase stands, 0 without a
 verified span).
 
@@ -76,7 +76,7 @@ warranties, including, but not limited to, the implied warranties of merchantabi
 are disclaimed."""
 _GNU = "of the GNU {0} Public License"       # longer ones would hold most of each other's grams
 
-#: Standard notices and paragraphs of the licenses themselves, by label, for ``templates``.
+#: Standard notices and paragraphs of the licenses themselves, by label.
 NOTICES = {
     _MIT: "mit",
     _MIT_WARRANTY: "mit",
@@ -87,6 +87,8 @@ NOTICES = {
     "Creative Commons Attribution-ShareAlike": "cc-by-sa",
 }
 
+ALL_TEMPLATES = TEMPLATES | NOTICES
+
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = str.maketrans(UPPER, LOWER)
 
@@ -96,8 +98,9 @@ def words(text: Column) -> Column:
 
 
 def template_grams(spark: SparkSession, base: dict[str, str] = BASE_PHRASES,
-                   more: dict[str, str] = TEMPLATES) -> DataFrame:
+                   more: dict[str, str] | None = None) -> DataFrame:
     """One row per template gram: template, label, is_base, n_grams, t, w0..w2, gram."""
+    more = ALL_TEMPLATES if more is None else more
     rows = []
     for i, (phrase, label) in enumerate([*base.items(), *more.items()]):
         w = [x for x in re.split(_NOT_WORD, phrase.translate(_LOWER)) if x]
@@ -105,12 +108,13 @@ def template_grams(spark: SparkSession, base: dict[str, str] = BASE_PHRASES,
         if n < 1:
             raise ValueError(f"a template has {K} words or more: {phrase!r}")
         rows += [(i, label, i < len(base), n, t, *w[t:t + K]) for t in range(n)]
-    if len(rows) > MAX_BROADCAST_GRAMS:
-        raise ValueError("more template grams than may be broadcast")
     names = ("template", "label", "is_base", "n_grams", "t", "w0", "w1", "w2")
+    if len(rows) > MAX_BROADCAST_GRAMS:
+        frame = spark.createDataFrame(rows, "template int, label string, is_base boolean, n_grams int, t int, w0 string, w1 string, w2 string")
+        return frame.withColumn("gram", F.xxhash64("w0", "w1", "w2"))
     structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
     frame = spark.range(1).select(F.inline(F.array(*structs)))
-    return frame.withColumn("gram", F.xxhash64("w0", "w1", "w2"))
+    return F.broadcast(frame.withColumn("gram", F.xxhash64("w0", "w1", "w2")))
 
 
 def gram_hits(docs: DataFrame, grams: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,11 +126,11 @@ def gram_hits(docs: DataFrame, grams: DataFrame, id_col: str = "doc_id", text_co
     w = [F.get("ws", F.col("p") + i) for i in range(K)]
     rolled = at.select("id", "th", "p", *[w[i].alias(f"v{i}") for i in range(K)]).withColumn("gram", F.xxhash64("v0", "v1", "v2"))
     same = (F.col("v0") == F.col("w0")) & (F.col("v1") == F.col("w1")) & (F.col("v2") == F.col("w2"))
-    return (rolled.join(F.broadcast(grams), "gram").where(same)
+    return (rolled.join(grams, "gram").where(same)
             .select("id", "th", "template", "label", "is_base", "n_grams", (F.col("p") - F.col("t")).alias("diagonal"), "t"))
 
 
-def license_spans(docs: DataFrame, templates: dict[str, str] = TEMPLATES, min_share: float = MIN_SHARE, merge_gap: int = MERGE_GAP,
+def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, min_share: float = MIN_SHARE, merge_gap: int = MERGE_GAP,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Verified spans: id, th, template, label, is_base, start (word), share.
     Base phrases give one row per place, whole phrases only."""
@@ -171,8 +175,9 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    phrases = [*BASE_PHRASES.items(), *TEMPLATES.items()]
-    values = ", ".join(f"({i}, '{p}', '{l}', {str(i < len(BASE_PHRASES)).lower()})" for i, (p, l) in enumerate(phrases))
+    phrases = [*BASE_PHRASES.items(), *ALL_TEMPLATES.items()]
+    words_of = [" ".join(x for x in re.split(_NOT_WORD, p.translate(_LOWER)) if x) for p, _ in phrases]
+    values = ", ".join(f"({i}, '{w}', '{l}', {str(i < len(BASE_PHRASES)).lower()})" for i, (w, (_, l)) in enumerate(zip(words_of, phrases)))
     return rf"""
 WITH t AS (SELECT id AS template, string_split(phrase, ' ') AS tw, label, is_base
            FROM (VALUES {values}) v(id, phrase, label, is_base)),
@@ -183,14 +188,12 @@ d AS (SELECT row_number() OVER () AS rid, doc_id,
                          'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
 w AS (SELECT rid, unnest(ws) AS v0, generate_subscripts(ws, 1) - 1 AS p FROM d),
 r AS (SELECT rid, p, v0, lead(v0) OVER o AS v1, lead(v0, 2) OVER o AS v2 FROM w WINDOW o AS (PARTITION BY rid ORDER BY p)),
-v AS (SELECT rid, template, label, is_base, n_grams, p - t AS diagonal, bit_or(1::BIGINT << t::INT) AS mask
-      FROM r JOIN g ON v0 = w0 AND v1 = w1 AND v2 = w2 GROUP BY ALL),
-b AS (SELECT *, sum(CASE WHEN is_base OR gap > {MERGE_GAP} THEN 1 ELSE 0 END) OVER o AS band
-      FROM (SELECT *, coalesce(diagonal - lag(diagonal) OVER q, {MERGE_GAP + 1}) AS gap FROM v
-            WINDOW q AS (PARTITION BY rid, template ORDER BY diagonal))
-      WINDOW o AS (PARTITION BY rid, template ORDER BY diagonal)),
-s AS (SELECT rid, template, label, is_base, band, min(diagonal) AS start, bit_count(bit_or(mask)) / n_grams::DOUBLE AS share
-      FROM b GROUP BY rid, template, label, is_base, n_grams, band),
+v AS (SELECT DISTINCT rid, template, label, is_base, n_grams, p - t AS diagonal, t FROM r JOIN g ON v0 = w0 AND v1 = w1 AND v2 = w2),
+q AS (SELECT rid, template, diagonal, is_base, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal), {MERGE_GAP + 1}) AS gap
+      FROM (SELECT DISTINCT rid, template, diagonal, is_base FROM v)),
+b AS (SELECT rid, template, diagonal, sum(CASE WHEN is_base OR gap > {MERGE_GAP} THEN 1 ELSE 0 END) OVER (PARTITION BY rid, template ORDER BY diagonal) AS band FROM q),
+s AS (SELECT rid, template, label, is_base, band, min(diagonal) AS start, count(DISTINCT t) / n_grams::DOUBLE AS share
+      FROM v JOIN b USING (rid, template, diagonal) GROUP BY rid, template, label, is_base, n_grams, band),
 f AS (SELECT * FROM s WHERE share >= CASE WHEN is_base THEN 1.0 ELSE {MIN_SHARE} END)
 SELECT doc_id, len(ws)::BIGINT AS n_words, count(*) FILTER (is_base) AS n_base,
        min(start) FILTER (is_base) AS first_word, max(start) FILTER (is_base) AS last_word,
