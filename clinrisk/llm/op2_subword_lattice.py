@@ -280,6 +280,20 @@ def document_sums(docs: DataFrame, hot: dict[bytes, tuple[int, float]], id_col:
     return map_arrow(rows, run, schema)
 
 
+def hot_words(words: DataFrame, most: int | None = None) -> dict[bytes, tuple[int, float]]:
+    """(c, lp) of the most frequent words, ``most`` (HOT_WORDS) at most: a histogram of counts gives the count
+    from which on they are so few, and only those words reach the driver."""
+    most = HOT_WORDS if most is None else most
+    some = words.where("c > 0 AND length(word) <= 64").withColumn("step", F.floor(F.log2("c") * 16))
+    least, total = None, 0
+    for r in sorted(some.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r.step):     # some 1,000 steps at most
+        total += r.n
+        if total > most:
+            break
+        least = r.step
+    return {} if least is None else {bytes(r.word): (r.c, r.lp) for r in some.where(F.col("step") >= least).select("word", "c", "lp").collect()}
+
+
 def lattice_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     held_out = id_crc(F.col(id_col)) % FOLDS == HELD_OUT
@@ -289,7 +303,7 @@ def lattice_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words = stored(scored_words(counted, log_p, vocabulary), "word-scores")
     total = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     n, v = (total.n or 0) + ends, total.v + (ends > 0)
-    hot = {bytes(r.word): (r.c, r.lp) for r in words.where("c > 0 AND length(word) <= 64").orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()}
+    hot = hot_words(words)
     sums = stored(document_sums(docs, hot, id_col, text_col), "document-sums")
     cold = sums.select("uid", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("uid", F.col("x.words").alias("word"), F.col("x.counts").alias("k"))
     cold = cold.join(words, "word").groupBy("uid").agg(
