@@ -207,6 +207,94 @@ def test_back_propagation_through_time_matches_finite_differences():
         assert grads[name][at] == pytest.approx(numeric(lambda: gru.gradients(p, x, y)[1], p[name], at), rel=0.05, abs=2e-4)
 
 
+def naive_logit(p, data):
+    """The convolution window by window, pooled chunk by chunk."""
+    logits, at = [], 0
+    while True:
+        chunk = data[at:at + cnn.LENGTH].ljust(cnn.LENGTH, b"\0")
+        best = np.full(cnn.FILTERS, -np.inf)
+        for i in range(cnn.LENGTH - cnn.WIDTH + 1):
+            window = np.concatenate([p["embed"][c] for c in chunk[i:i + cnn.WIDTH]])
+            best = np.maximum(best, window @ p["filters"])
+        logits.append(float((np.maximum(best + p["bias"], 0) @ p["out"] + p["shift"])[0]))
+        if at + cnn.LENGTH >= len(data):
+            return np.mean(logits)
+        at += cnn.STRIDE
+
+
+def test_convolution_and_pooling_against_a_naive_version(docs):
+    rng = np.random.default_rng(4)
+    p = {"embed": rng.normal(0, 0.5, (256, cnn.EMBED)), "filters": rng.normal(0, 0.3, (cnn.WIDTH * cnn.EMBED, cnn.FILTERS)),
+         "bias": rng.normal(0, 0.1, cnn.FILTERS), "out": rng.normal(0, 0.3, (cnn.FILTERS, 1)), "shift": rng.normal(0, 1, 1)}
+    p = {k: v.astype(np.float32) for k, v in p.items()}
+    texts = ["", "a short text", "".join(map(chr, rng.integers(32, 127, 515))), "".join(map(chr, rng.integers(32, 127, 1700)))]
+    got = {r.id: r.score for r in cnn.score(docs(*texts), p).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-naive_logit(p, t.encode()))), rel=1e-4)
+
+
+def test_convolution_gradients_match_finite_differences():
+    rng = np.random.default_rng(5)
+    x = rng.integers(32, 60, (6, 40)).astype(np.uint8)
+    y, w = np.array([0, 1, 1, 0, 1, 0]), rng.uniform(0.5, 2, 6)
+    p = {"embed": rng.normal(0, 0.5, (256, cnn.EMBED)), "filters": rng.normal(0, 0.3, (cnn.WIDTH * cnn.EMBED, cnn.FILTERS)),
+         "bias": np.zeros(cnn.FILTERS), "out": rng.normal(0, 0.3, (cnn.FILTERS, 1)), "shift": np.zeros(1)}
+
+    def loss(p):
+        z = cnn.chunk_logits(p, x)[:, 0]
+        return float((w * (np.logaddexp(0, z) - y * z)).sum() / len(y))
+    grads = cnn._gradients(p, x, y, w)
+    for k, at in (("filters", (3, 2)), ("filters", (11, 7)), ("bias", (4,)), ("out", (5, 0)), ("shift", (0,)), ("embed", (40, 1))):
+        moved = {n: v.copy() for n, v in p.items()}
+        moved[k][at] += 1e-5
+        up = loss(moved)
+        moved[k][at] -= 2e-5
+        assert float(grads[k][at]) == pytest.approx((up - loss(moved)) / 2e-5, rel=2e-2, abs=2e-5)
+
+
+def naive_probs(p, data):
+    """Both recurrent units byte by byte over every chunk; the mean over all positions."""
+    h = gru.HIDDEN
+    sig = lambda v: 1 / (1 + np.exp(-v))
+
+    def walk(side, codes):
+        state, out = np.zeros(h), []
+        for c in codes:
+            x, r = p[f"in_{side}"][c].astype(float), state @ p[f"rec_{side}"].astype(float)
+            z, g = sig(x[:h] + r[:h]), sig(x[h:2 * h] + r[h:2 * h])
+            state = (1 - z) * np.tanh(x[2 * h:] + g * r[2 * h:]) + z * state
+            out.append(state)
+        return out
+    total, n, at = 0.0, 0, 0
+    while True:
+        chunk = data[at:at + gru.LENGTH].ljust(gru.LENGTH, b"\0")
+        for c, f, b in zip(chunk, walk("f", chunk), reversed(walk("b", chunk[::-1]))):
+            if c:
+                v = np.exp(f @ p["out_f"] + b @ p["out_b"] + p["shift"])
+                total, n = total + v / v.sum(), n + 1
+        if at + gru.LENGTH >= len(data):
+            return total / n
+        at += gru.STRIDE
+
+
+def test_recurrent_pass_against_a_naive_version(docs):
+    p = gru.initial(3)
+    texts = ["ab", "some words of a text", "ünïcode " * 40, "x" * 128, "y z " * 100]
+    got = {r.id: (r.lang_pred, r.score) for r in gru.identify(docs(*texts), p, ["aa", "bb", "cc"]).collect()}
+    for i, t in enumerate(texts):
+        want = naive_probs(p, t.encode())
+        assert got[i][0] == ["aa", "bb", "cc"][int(want.argmax())] and got[i][1] == pytest.approx(float(want.max()), rel=1e-4)
+
+
+def test_rows_sharing_an_id_do_not_crowd_out_a_language(docs):
+    df = docs(*["the same words again and again"] * 3000, ids=[7] * 3000, lang="en").union(
+        docs(*[f"der die das {i}" for i in range(60)], ids=range(100, 160), lang="de"))
+    model, langs = gru.train(df, per_lang=10)
+    assert langs == ["de", "en"]
+    chosen = df.sparkSession.createDataFrame([(7, "en")], "id bigint, y string")
+    assert len(bytechunks.training_chunks(df, chosen, "y", 48, 3, 1)[1]) == 1
+
+
 def test_networks_on_held_out_rows(spark):
     from pyspark.sql import functions as F
     sf = "/root/testdata/sf0.01"
@@ -262,16 +350,11 @@ def test_pieces_are_a_partition_of_the_documents_ids(documents):
     assert padding < 0.01 * sum(r.length for r in rows)
 
 
-def test_both_encoders_agree_in_the_latin_ranges():
-    encode = packing.encoder("byte_bpe_50k")
-    from tokenizers import Tokenizer
-    import public_tokenizers
-    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    rng = np.random.default_rng(6)
-    alphabet = [chr(c) for c in range(0x250)] + [" "] * 200 + list("abcdefghij") * 20
-    texts = ["".join(rng.choice(alphabet, 60)) for _ in range(1500)] + ["漢字 and kana かな", "a<|endoftext|>b", "\u0085  x"]
-    for text in texts:
-        assert encode(text) == slow.encode(text, add_special_tokens=False).ids
+def test_long_runs_of_blanks_are_packed(docs):
+    texts = [" " * 2_000_000, "\n" * 1_500_000, " \n\t" * 500_000 + "x", "x " * 5 + " " * 1_000_001 + "y"]
+    rows = packing.pack(docs(*texts)).collect()
+    assert {r.doc_id for r in rows} == {0, 1, 2, 3}
+    assert all(sum(r.length for r in rows if r.doc_id == i) == next(r.doc_tokens for r in rows if r.doc_id == i) for i in range(4))
 
 
 def test_cuts_fill_their_classes():

@@ -103,6 +103,19 @@ def test_near_duplicates_on_edge_rows(edge, empty):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 2, 3, 4, 6, 7, None, 8, 9], key=str)
 
 
+@pytest.mark.parametrize("extra", [[], [(9, "w1 w2 w3 w4 w5")] * 2])
+def test_rows_that_stay_do_not_depend_on_other_rows(docs, extra):
+    rows = [(5, "\n\t"), (5, "\n\t"), (6, None), (6, None), (None, "a b c d e"), (None, "a b c d e"), (7, "a b c d e"), (7, "a b c d e"), (8, "A b c d e"), *extra]
+    kept = jaccard.one_of_each(docs(*[t for _, t in rows], ids=[i for i, _ in rows])).collect()
+    assert sorted((r.doc_id or 0 for r in kept if r.doc_id != 9)) == [0, 0, 5, 5, 6, 6, 7]
+    assert sum(r.doc_id == 9 for r in kept) == bool(extra)
+
+
+def test_header_rows_are_dealt_over_many_groups():
+    routes = {next(jaccard._pack(p << 24, [np.arange(3, dtype=np.uint64)], [(1, 2)], 3))[0] for p in range(500)}
+    assert len(routes) == 500 and max(routes) < 0
+
+
 # --- Nearest neighbours -----------------------------------------------------------------
 
 def brute_nearest(ids, x, i, k=5):
@@ -202,8 +215,10 @@ def test_stages_follow_each_other(spark):
     want = {c for _, _, c in brute_components([(r.doc_id, r.text) for r in before.collect()])}
     assert sorted(r.doc_id for r in after.collect()) == sorted(want)
     before, after = seen["mixing"]
-    words = lambda df: sum(len(r.text.encode().split()) for r in df.collect())
-    assert words(after) == pytest.approx(words(before), abs=30)
+    rows = after.collect()
+    assert {r.text for r in rows} <= {r.text for r in before.collect()}         # whole texts only
+    words = lambda rows: sum(len(r.text.encode().split()) for r in rows)
+    assert words(rows) == pytest.approx(words(before.collect()), rel=0.1)
     before, after = seen["packing"]
     assert after.select("doc_id").distinct().count() == before.select("doc_id").distinct().count()
 
