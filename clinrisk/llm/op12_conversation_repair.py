@@ -13,7 +13,7 @@ table for later branches and bounds.  The first accepting path is the answer.
 
 A conversation may hold a third of all rows, so none is ever one group:
 
-1. ``numbered``: rows are numbered in (conversation, turn) order by running counts over range partitions.
+1. ``numbered``: rows, without their texts, are numbered in (conversation, turn) order by running counts over range partitions.
 2. ``segments``: a conversation is cut into stretches of ``SEGMENT`` rows.  Each is
    searched for every state that it may be entered in and left in (a conversation
    of one stretch: start to accepting).  A stretch but the last ends with a row's letter, so of two
@@ -207,22 +207,26 @@ def damaged(turns: DataFrame) -> DataFrame:
     return rows.select("conv", "turn", role.alias("role"), text.alias("text"), copies.alias("copy"))
 
 
+def marked(rows: DataFrame) -> DataFrame:
+    """The rows, stored, with a number ``rid`` of their own: all but the last step work on narrow rows, without the texts."""
+    return stored(rows.withColumn("rid", F.monotonically_increasing_id()), "turns")
+
+
 def numbered(rows: DataFrame) -> DataFrame:
-    """The rows with ``at`` (their number in (conversation, turn) order), ``cid`` (number of the conversation's first
-    row), ``n`` (its rows), ``initial`` and ``fault``."""
-    text_hash = F.xxhash64("text")
-    marked = rows.withColumn("th", text_hash).withColumn("mark", F.monotonically_increasing_id())
-    at = stored(prefix_sums(marked, [], ["conv", "turn", "role", "th", "mark", "copy"], {"at": F.lit(1).cast("bigint")}).drop("mark", "copy", "th"), "turns")
-    whole = at.groupBy(F.col("conv").alias("c")).agg(F.min("at").alias("cid"), F.count(F.lit(1)).alias("n"))
-    at = at.join(whole, F.col("conv").eqNullSafe(F.col("c"))).drop("c")
+    """Per row of ``marked``: rid, conv, turn, ``at`` (its number in (conversation, turn) order), ``cid`` (number of the
+    conversation's first row), ``n`` (its rows), ``initial`` and ``fault``."""
     end = F.rtrim(F.col("text"), F.lit(WS))
-    key = [F.xxhash64(F.lit(i), "cid", "role", "text").alias(f"k{i}") for i in (1, 2)]
-    seen = at.where(end != "").select("at", *key).groupBy("k1", "k2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    out = at.select("*", *key, end.alias("end")).join(seen, ["k1", "k2"], "left")
-    fault = (F.when(F.col("end") == "", BLANK).when(F.col("first") < F.col("at"), DUPLICATE)
-             .when(~F.substring("end", -1, 1).isin(".", "!", "?"), TRUNCATED).otherwise(OK))
     initial = F.when(F.col("role") == "", " ").otherwise(F.substring("role", 1, 1))
-    return out.select("cid", "conv", "at", "n", "turn", "role", "text", initial.alias("initial"), fault.alias("fault"))
+    key = [F.xxhash64(F.lit(i), F.col("conv").isNull(), "conv", "role", "text").alias(f"k{i}") for i in (1, 2)]
+    narrow = rows.select("rid", "conv", "turn", "role", F.xxhash64("text").alias("th"), initial.alias("initial"), (end == "").alias("blank"),
+                         F.substring(end, -1, 1).isin(".", "!", "?").alias("ended"), *key)
+    at = prefix_sums(narrow, [], ["conv", "turn", "role", "th", "rid"], {"at": F.lit(1).cast("bigint")}, once=False)
+    at = stored(at.drop("role", "th"), "turn-numbers")
+    whole = at.groupBy(F.col("conv").alias("c")).agg(F.min("at").alias("cid"), F.count(F.lit(1)).alias("n"))
+    seen = at.where(~F.col("blank")).groupBy("k1", "k2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    out = at.join(seen, ["k1", "k2"], "left").join(whole, F.col("conv").eqNullSafe(F.col("c")))
+    fault = F.when(F.col("blank"), BLANK).when(F.col("first") < F.col("at"), DUPLICATE).when(~F.col("ended"), TRUNCATED).otherwise(OK)
+    return out.select("rid", "cid", "conv", "at", "n", "turn", "initial", fault.alias("fault"))
 
 
 # --- Segments -------------------------------------------------------------------------
@@ -338,8 +342,8 @@ def repairs(rows: DataFrame, segment: int = SEGMENT, fan: int = FAN) -> DataFram
                       F.get("audits", pick).alias("audit"), F.get("costs", pick).cast("bigint").alias("cost"))
 
 
-def repaired_turns(rows: DataFrame, best: DataFrame) -> DataFrame:
-    """(cid, at, k, role, text): the rows of the repaired conversations, in the order of (at, k)."""
+def repaired_turns(turns: DataFrame, rows: DataFrame, best: DataFrame) -> DataFrame:
+    """(cid, at, k, role, text): the rows of the repaired conversations, in the order of (at, k), of the ``marked`` turns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, before, stays, role, behind = [], [], [], [], []
@@ -355,7 +359,7 @@ def repaired_turns(rows: DataFrame, best: DataFrame) -> DataFrame:
                                               pa.array(behind, roles)], names=["at", "before", "stays", "new_role", "behind"])
     each = map_arrow(best.select("start", "initials", "audit", "entry"), run,
                      "at bigint, before array<string>, stays boolean, new_role string, behind array<string>")
-    both = rows.select("cid", "at", "role", "text").join(each, "at")
+    both = turns.select("rid", "role", "text").join(rows.select("rid", "cid", "at").join(each, "at"), "rid")
 
     def inserted(c: str) -> Column:
         return F.transform(c, lambda r: F.struct(r.alias("role"), F.lit("").alias("text")))
@@ -391,13 +395,14 @@ def digests(turns: DataFrame) -> DataFrame:
 def repair_report(conversations: DataFrame, rows: DataFrame, segment: int = SEGMENT, fan: int = FAN) -> DataFrame:
     """Per conversation (null too) of ``conversations`` (conv_id): conv_id, gaps, the counts of faults and illegal steps, cost,
     audit, repaired_sha256, of the ``plain`` rows ``rows``."""
-    rows = stored(numbered(rows), "numbered")
+    turns = marked(rows)
+    rows = stored(numbered(turns), "numbered")
     best = stored(repairs(rows, segment, fan), "repairs")
     spans = rows.groupBy("cid", "conv").agg((F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")).alias("gaps"))
     counts = ("blank", "duplicate", "truncated", "illegal", "cost")
     audit = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seg", "audit"))), lambda s: s["audit"]), "")
     whole = best.groupBy("cid").agg(*[F.sum(c).alias(c) for c in counts], audit.alias("audit"))
-    found = spans.join(whole, "cid").join(digests(repaired_turns(rows, best)), "cid", "left")
+    found = spans.join(whole, "cid").join(digests(repaired_turns(turns, rows, best)), "cid", "left")
     ids = conversations.select("conv_id").distinct()
     out = ids.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
     numbers = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", *counts)]

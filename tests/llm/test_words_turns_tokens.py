@@ -209,7 +209,7 @@ def test_a_conversation_of_many_rows_is_cut_up(spark):
     rng = random.Random(5)
     rows = [(7, i, rng.choice(["user", "assistant", "system"]), rng.choice([f"t{i}.", "dup.", "", f"x{i}"])) for i in range(1500)]
     df = spark.createDataFrame(rows, TURNS)
-    found = repair.segments(stored(repair.numbered(repair.plain(df)), "t"))
+    found = repair.segments(stored(repair.numbered(repair.marked(repair.plain(df))), "t"))
     assert found.count() == 12 and found.selectExpr("max(length(initials))").first()[0] == 128
     assert report(df, repair.plain(df), 128, 4) == brute_report(rows, damage=False)
 
@@ -217,8 +217,9 @@ def test_a_conversation_of_many_rows_is_cut_up(spark):
 def test_repaired_rows_are_sound(spark):
     rows = conversations(4)
     df = spark.createDataFrame(rows, TURNS)
-    numbered = stored(repair.numbered(repair.damaged(df)), "t")
-    turns = repair.repaired_turns(numbered, stored(repair.repairs(numbered), "r")).collect()
+    marked = repair.marked(repair.damaged(df))
+    numbered = stored(repair.numbered(marked), "t")
+    turns = repair.repaired_turns(marked, numbered, stored(repair.repairs(numbered), "r")).collect()
     held = defaultdict(str)
     for r in sorted(turns, key=lambda r: (r.cid, r.at, r.k)):
         held[r.cid] += r.role[0]
