@@ -95,7 +95,8 @@ def load_audit(star: S.Star) -> DataFrame:
 # derived from it and written too; the forest models are fitted once per
 # application and folder.
 
-def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+def memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    """What ``build`` makes, once per application and folder."""
     key = (kind, spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         if key not in _STAGES:
@@ -115,7 +116,7 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         star = stored_star(spark, sf_dir)
         frame = dense_ids(feature_frame(star, keep_extra=True), feature_row_order(), "feature_row_id")
         return _write(frame, f"{star.root}/features")
-    return _memo("features", spark, sf_dir, build)
+    return memo("features", spark, sf_dir, build)
 
 
 def stored_rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +125,7 @@ def stored_rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         star = stored_star(spark, sf_dir)
         return _write(rule_scores(stored_features(spark, sf_dir)), f"{star.root}/rule_scores")
-    return _memo("rule_scores", spark, sf_dir, build)
+    return memo("rule_scores", spark, sf_dir, build)
 
 
 def fitted_models(spark: SparkSession, sf_dir: str, num_trees: int):
@@ -132,7 +133,7 @@ def fitted_models(spark: SparkSession, sf_dir: str, num_trees: int):
 
     def build():
         return M.fit(stored_features(spark, sf_dir), num_trees=num_trees)
-    return _memo(f"models-{num_trees}", spark, sf_dir, build)
+    return memo(f"models-{num_trees}", spark, sf_dir, build)
 
 
 def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,4 +142,4 @@ def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         star = stored_star(spark, sf_dir)
         return _write(alerts(stored_rule_scores(spark, sf_dir), star.labs), f"{star.root}/alerts")
-    return _memo("alerts", spark, sf_dir, build)
+    return memo("alerts", spark, sf_dir, build)

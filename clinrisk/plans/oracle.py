@@ -222,19 +222,20 @@ stays AS (
   SELECT * FROM admissions WHERE discharge_date IS NOT NULL AND patient_id IN (SELECT patient_id FROM patients)
 ),
 features AS (
-  SELECT s.admission_id, s.patient_id, s.admission_type, s.department, s.discharge_status,
-         {_LOS.format(d='s.discharge_date', a='s.admission_date')} AS los_days,
+  SELECT s.patient_id,
          (SELECT {_AGE.format(dob='x.date_of_birth')} FROM patients x WHERE x.patient_id = s.patient_id) AS age,
-         (SELECT x.blood_type FROM patients x WHERE x.patient_id = s.patient_id) AS blood_type,
          (SELECT x.gender FROM patients x WHERE x.patient_id = s.patient_id) AS gender,
+         (SELECT x.blood_type FROM patients x WHERE x.patient_id = s.patient_id) AS blood_type,
+         s.admission_id, s.department, s.admission_type, s.discharge_status,
+         {_LOS.format(d='s.discharge_date', a='s.admission_date')} AS los_days,
+         r.heart_rate, r.systolic_bp, r.diastolic_bp, r.temperature, r.spo2, r.respiratory_rate,
+         {_child('diagnoses')} AS diagnosis_count, {_child('medications')} AS medication_count,
          {", ".join(f"{_lab(t)} AS {c}" for t, c in _LABS)},
-         {_child('medications')} AS medication_count, {_child('diagnoses')} AS diagnosis_count,
          CAST((SELECT count(x.test_name) FROM lab_results x WHERE x.admission_id = s.admission_id) * coalesce(r.n, 1)
               * greatest({_child('diagnoses')}, 1) * greatest({_child('medications')}, 1) AS BIGINT) AS abnormal_labs,
-         r.respiratory_rate, r.spo2, r.temperature, r.diastolic_bp, r.systolic_bp, r.heart_rate,
-         CAST(s.discharge_status IS NOT DISTINCT FROM 'Deceased' AS BIGINT) AS mortality,
+         {_READMIT.format(pid='s.patient_id', dis='s.discharge_date')} AS readmitted_30d,
          CAST(s.discharge_status IS NOT DISTINCT FROM 'Transferred' AS BIGINT) AS deteriorated,
-         {_READMIT.format(pid='s.patient_id', dis='s.discharge_date')} AS readmitted_30d
+         CAST(s.discharge_status IS NOT DISTINCT FROM 'Deceased' AS BIGINT) AS mortality
   FROM stays s LEFT JOIN readings r ON r.admission_id = s.admission_id AND r.patient_id = s.patient_id
 )"""
 
@@ -368,12 +369,12 @@ eval_rows AS (
   JOIN split USING (feature_row_id, target) WHERE is_test
 ),
 at_risk AS (
-  SELECT DISTINCT score_id FROM (SELECT score_id, unnest([deterioration_tier, readmission_tier]) AS tier
+  SELECT DISTINCT score_id FROM (SELECT score_id, unnest([readmission_tier, deterioration_tier]) AS tier
                                  FROM risk_scores WHERE ai_explanation IS NULL)
-  WHERE tier <> 'Low'
+  WHERE tier IN ('Medium', 'High')
 ),
 reading_lists AS (
-  SELECT admission_id AS stay, patient_id AS who, list({{hr: heart_rate, sbp: systolic_bp, o2: spo2, temp: temperature}}) AS held
+  SELECT admission_id AS stay, patient_id AS who, list({{heart_rate: heart_rate, systolic_bp: systolic_bp, spo2: spo2, temperature: temperature}}) AS held
   FROM vitals GROUP BY ALL
 ),
 diagnosis_lists AS (
@@ -382,9 +383,9 @@ diagnosis_lists AS (
 pend AS (
   SELECT q.* EXCLUDE (stay_row, person, reading), person.gender AS gender,
          {_AGE.format(dob='person.date_of_birth')} AS age,
-         stay_row.admission_type AS admission_type, stay_row.department AS department,
+         stay_row.department AS department, stay_row.admission_type AS admission_type,
          {_LOS.format(d='stay_row.discharge_date', a='stay_row.admission_date')} AS los_days,
-         reading.temp AS temperature, reading.o2 AS spo2, reading.sbp AS systolic_bp, reading.hr AS heart_rate
+         reading.heart_rate AS heart_rate, reading.systolic_bp AS systolic_bp, reading.spo2 AS spo2, reading.temperature AS temperature
   FROM (
     SELECT r.* EXCLUDE (scored_at, model_version, top_features, ai_explanation),
            (SELECT x FROM patients x WHERE x.patient_id = r.patient_id) AS person,
@@ -471,37 +472,38 @@ ORACLE["lab_abnormal"] = with_star(
     "SELECT lab_id, test_value, reference_min, reference_max, is_abnormal FROM lab_results")
 
 
-def _rules(table: str, required: str = "", choices: dict[str, str] | None = None, lengths: dict[str, int] | None = None,
-           shares: str = "") -> str:
-    """One row per rule of a table, spelled from the schema's own words."""
+def _one_of(column: str, values: tuple[str, ...]) -> str:
+    return f"{column} NOT IN ({', '.join(repr(v) for v in values)})"
+
+
+def _rules(required: str = "", choices: dict[str, tuple[str, ...]] | None = None, lengths: dict[str, int] | None = None,
+           shares: str = "") -> list[tuple[str, str]]:
+    """(rule, what a violating row satisfies) of a table."""
     out = [(f"{c}_not_null", f"{c} IS NULL") for c in required.split()]
-    out += [(f"{c}_enum", f"{c} IS NOT NULL AND NOT list_contains(string_split('{v}', '|'), {c})") for c, v in (choices or {}).items()]
-    out += [(f"{c}_len", f"length({c}) > {n}") for c, n in (lengths or {}).items()]
     out += [(f"{c}_range", f"{c} < 0 OR {c} > 1") for c in shares.split()]
-    return " UNION ALL ".join(f"SELECT '{table}' AS table_name, '{rule}' AS rule, "
-                              f"(SELECT count(*) FROM {table} WHERE {bad}) AS violations" for rule, bad in out)
-
-
-_TIER_WORDS = "Low|Medium|High"
-_RULE_SQL = " UNION ALL ".join([
-    _rules("patients", "full_name date_of_birth", {"gender": "Male|Female|Other"},
-           {"full_name": 150, "gender": 10, "blood_type": 5, "contact_number": 20, "email": 150, "emergency_contact": 150}),
-    _rules("admissions", "patient_id admission_date",
-           {"admission_type": "Emergency|Elective|Outpatient", "discharge_status": "Recovered|Transferred|Deceased|LAMA|Ongoing"},
-           {"department": 100, "ward": 50, "admission_type": 50, "discharge_status": 50, "attending_doctor": 150}),
-    _rules("diagnoses", "admission_id patient_id diagnosis_name", {"diagnosis_type": "Primary|Secondary|Comorbidity"},
-           {"icd10_code": 10, "diagnosis_name": 200, "diagnosis_type": 20}),
-    _rules("vitals", "patient_id recorded_at"),
-    _rules("lab_results", "patient_id test_name test_value collected_at", None, {"test_name": 150, "unit": 30}),
-    _rules("medications", "patient_id drug_name", None,
-           {"drug_name": 150, "dosage": 50, "frequency": 50, "route": 50, "prescribed_by": 150}),
-    _rules("risk_scores", "patient_id",
-           {"readmission_tier": _TIER_WORDS, "deterioration_tier": _TIER_WORDS, "mortality_tier": _TIER_WORDS},
-           {"model_version": 20, "readmission_tier": 10, "deterioration_tier": 10, "mortality_tier": 10},
-           "readmission_risk deterioration_risk mortality_risk"),
-    _rules("alerts", "patient_id", {"alert_type": "Readmission|Deterioration|Mortality|Abnormal Lab", "severity": "Low|Medium|High|Critical"},
-           {"alert_type": 50, "severity": 10, "acknowledged_by": 150}),
-])
+    out += [(f"{c}_enum", _one_of(c, v)) for c, v in (choices or {}).items()]
+    return out + [(f"{c}_len", f"length({c}) > {n}") for c, n in (lengths or {}).items()]
+
+
+_TABLE_RULES = {
+    "patients": _rules("full_name date_of_birth", {"gender": C.GENDERS},
+                       {"full_name": 150, "gender": 10, "blood_type": 5, "contact_number": 20, "email": 150, "emergency_contact": 150}),
+    "admissions": _rules("patient_id admission_date", {"admission_type": C.ADMISSION_TYPES, "discharge_status": C.DISCHARGE_STATUSES},
+                         {"department": 100, "ward": 50, "admission_type": 50, "discharge_status": 50, "attending_doctor": 150}),
+    "diagnoses": _rules("admission_id patient_id diagnosis_name", {"diagnosis_type": C.DIAGNOSIS_TYPES},
+                        {"icd10_code": 10, "diagnosis_name": 200, "diagnosis_type": 20}),
+    "vitals": _rules("patient_id recorded_at"),
+    "lab_results": _rules("patient_id test_name test_value collected_at", None, {"test_name": 150, "unit": 30}),
+    "medications": _rules("patient_id drug_name", None, {"drug_name": 150, "dosage": 50, "frequency": 50, "route": 50, "prescribed_by": 150}),
+    "risk_scores": _rules("patient_id", {"readmission_tier": C.TIERS, "deterioration_tier": C.TIERS, "mortality_tier": C.TIERS},
+                          {"model_version": 20, "readmission_tier": 10, "deterioration_tier": 10, "mortality_tier": 10},
+                          "readmission_risk deterioration_risk mortality_risk"),
+    "alerts": _rules("patient_id", {"alert_type": C.ALERT_TYPES, "severity": C.SEVERITIES},
+                     {"alert_type": 50, "severity": 10, "acknowledged_by": 150}),
+}
+_RULE_SQL = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{rule}' AS rule, (SELECT count(*) FROM {table} WHERE {bad}) AS violations"
+    for table, rules in _TABLE_RULES.items() for rule, bad in rules)
 _KEYS = [("patients", "patient_id"), ("admissions", "admission_id"), ("diagnoses", "diagnosis_id"), ("vitals", "vital_id"),
          ("lab_results", "lab_id"), ("medications", "medication_id"), ("risk_scores", "score_id"), ("alerts", "alert_id")]
 _KEY_SQL = " UNION ALL ".join(
@@ -521,8 +523,8 @@ ORACLE["dq_fk_orphans"] = with_scores(_ORPHAN_SQL)
 ORACLE["alerts"] = with_scores("SELECT * FROM alerts")
 ORACLE["latest_vitals"] = with_scores("SELECT * FROM latest_vitals")
 ORACLE["latest_risk"] = with_scores("SELECT * FROM latest_risk")
-_SUMMARY_RISK = ["scored_at", "ai_explanation", "top_features", *[f"{r}_{k}" for k in ("tier", "risk")
-                 for r in ("mortality", "deterioration", "readmission")]]
+_SUMMARY_RISK = ["readmission_risk", "deterioration_risk", "mortality_risk", "readmission_tier", "deterioration_tier",
+                 "mortality_tier", "top_features", "ai_explanation", "scored_at"]
 ORACLE["patient_risk_summary"] = with_scores(f"""
 , visits AS (
   SELECT patient_id, unnest(list({{admission_id: admission_id, department: department, admission_type: admission_type,
@@ -532,8 +534,8 @@ ORACLE["patient_risk_summary"] = with_scores(f"""
 )
 SELECT patient_id, v.admission_id AS admission_id, v.department AS department, v.admission_type AS admission_type,
        v.discharge_status AS discharge_status,
-       {", ".join(f"(SELECT x.{c} FROM patients x WHERE x.patient_id = w.patient_id) AS {c}" for c in ("gender", "date_of_birth", "full_name"))},
-       {", ".join(f"(SELECT x.{c} FROM latest_vitals x WHERE x.patient_id = w.patient_id) AS {c}" for c in ("bmi", "spo2", "systolic_bp", "heart_rate"))},
+       {", ".join(f"(SELECT x.{c} FROM patients x WHERE x.patient_id = w.patient_id) AS {c}" for c in ("full_name", "date_of_birth", "gender"))},
+       {", ".join(f"(SELECT x.{c} FROM latest_vitals x WHERE x.patient_id = w.patient_id) AS {c}" for c in ("heart_rate", "systolic_bp", "spo2", "bmi"))},
        {", ".join(f"(SELECT x.{c} FROM latest_risk x WHERE x.patient_id = w.patient_id) AS {c}" for c in _SUMMARY_RISK)}
 FROM visits w WHERE patient_id IN (SELECT patient_id FROM patients)""".replace("\n, visits AS", "SELECT * FROM (WITH visits AS", 1) + ")")
 ORACLE["label_encode"] = with_scores(
@@ -682,3 +684,32 @@ def _on_damaged(sql: str) -> str:
 ORACLE["dq_checks_dirty"] = _on_damaged(_RULE_SQL)
 ORACLE["dq_pk_dirty"] = _on_damaged(_KEY_SQL)
 ORACLE["dq_fk_dirty"] = _on_damaged(_ORPHAN_SQL)
+
+
+# --- Constraints at the write ------------------------------------------------------------
+def _guarded_ctes() -> str:
+    """Per table: every damaged row with the names of what refuses it, and the rows that nothing refuses."""
+    parts = []
+    for t, k in _KEYS:
+        parents = [(p, dict(_KEYS)[p]) for p, children in _PARENTS.items() if t in children]
+        order = {"admissions": ["patient_id"], "alerts": ["patient_id", "score_id"]}.get(
+            t, ["admission_id", "patient_id"] if t == "diagnoses" else ["patient_id", "admission_id"])
+        of = {c: p for p, c in parents}
+        tests = [*_TABLE_RULES[t], ("key_null", f"{k} IS NULL"), ("key_repeated", f"{k} IS NOT NULL AND count(*) OVER (PARTITION BY {k}) > 1"),
+                 *[(f"fk_{c}", f"{c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM good_{of[c]})") for c in order if t != "patients"]]
+        named = ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in tests)
+        parts.append(f"judged_{t} AS (SELECT *, array_to_string(list_sort(list_filter([{named}], lambda x: x IS NOT NULL)), ',') AS reasons FROM damaged_{t}), "
+                     f"good_{t} AS (SELECT * FROM judged_{t} WHERE reasons = '')")
+    return ", ".join([*(_damage_sql(t, k) for t, k in _KEYS), *parts])
+
+
+def _guarded(columns: str, which: str) -> str:
+    return with_scores(f"SELECT * FROM (WITH {_guarded_ctes()} " + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {k} AS key_value{columns} FROM judged_{t} WHERE reasons {which} ''" for t, k in _KEYS) + ")")
+
+
+ORACLE["append_checked"] = _guarded("", "=")
+ORACLE["append_rejects"] = _guarded(", reasons", "<>")
+ORACLE["append_fk"] = with_star("""
+SELECT admission_id, patient_id, CAST(CASE WHEN patient_id % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS load
+FROM admissions WHERE patient_id IS NOT NULL""")

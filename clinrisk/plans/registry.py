@@ -114,6 +114,7 @@ from clinrisk import fixtures as FX  # noqa: E402
 from clinrisk.operators import evaluate as EV  # noqa: E402
 from clinrisk.operators import explain as EX  # noqa: E402
 from clinrisk.operators import model as M  # noqa: E402
+from clinrisk.operators import prefix as P  # noqa: E402
 from clinrisk.operators import prepare as PR  # noqa: E402
 from clinrisk.operators import quality as Q  # noqa: E402
 from clinrisk.operators import views as V  # noqa: E402
@@ -473,3 +474,51 @@ def q_dq_pk_dirty(s: Star) -> DataFrame:
 @query("dq_fk_dirty")
 def q_dq_fk_dirty(s: Star) -> DataFrame:
     return Q.orphan_rows(_damaged_tables(s))
+
+
+# --- Constraints at the write ----------------------------------------------------------
+from clinrisk.sources import guards as G  # noqa: E402
+
+
+def _guarded_load(s: Star) -> str:
+    """The damaged tables appended in the order of their keys, refused rows put aside; the folder."""
+    def build() -> str:
+        root = scratch_path(s.spark, "guarded")
+        for name, df in _damaged_tables(s).items():
+            G.append_checked(df, root, name, on_violation="quarantine")
+        return root
+    return L.memo("guarded", s.spark, s.sf_dir, build)
+
+
+@query("append_checked")
+def q_append_checked(s: Star) -> DataFrame:
+    """D3-D8 at the write: the rows of every table that its constraints admit."""
+    root = _guarded_load(s)
+    return Q._union([s.spark.read.parquet(f"{root}/{t}").select(F.lit(t).alias("table_name"), F.col(k).alias("key_value"))
+                     for t, k in Q.PRIMARY_KEYS.items()])
+
+
+@query("append_rejects")
+def q_append_rejects(s: Star) -> DataFrame:
+    """D3-D8 at the write: every refused row with all of its reasons."""
+    root = _guarded_load(s)
+    return Q._union([G.rejected_rows(s.spark, root, t).select(F.lit(t).alias("table_name"), F.col(k).alias("key_value"), "reasons")
+                     for t, k in Q.PRIMARY_KEYS.items()])
+
+
+@query("append_fk")
+def q_append_fk(s: Star) -> DataFrame:
+    """Admissions before half of their patients are there, and again after; which load took each."""
+    root = scratch_path(s.spark, "guarded-fk")
+    odd = F.col("patient_id") % 2 == 1
+    G.append_checked(s.patients.where(~odd), root, "patients")
+    taken = []
+    for load in (1, 2):
+        G.append_checked(s.admissions, root, "admissions", on_violation="quarantine", present="skip")
+        held = s.spark.read.parquet(f"{root}/admissions").select("admission_id", "patient_id")
+        before = taken[0] if taken else held.limit(0)
+        taken.append(held.join(before.select("admission_id"), "admission_id", "left_anti").withColumn("load", F.lit(load).cast("bigint")))
+        if load == 1:
+            taken[0] = P.stored(taken[0], "first-load")
+            G.append_checked(s.patients, root, "patients", present="skip")
+    return taken[0].union(taken[1])
