@@ -10,6 +10,9 @@ query reads them from this module.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 # ---------------------------------------------------------------------------
 # Run parameters (ours)
@@ -17,6 +20,7 @@ import datetime as _dt
 
 #: Reference date standing in for "now" (ages, created_at, scored_at).
 AS_OF = _dt.date(2002, 1, 1)
+_RUN_AS_OF: ContextVar[_dt.date | None] = ContextVar("as_of", default=None)
 AS_OF_SQL_DATE = "DATE '2002-01-01'"
 AS_OF_SQL_TS = "TIMESTAMP '2002-01-01 00:00:00'"
 
@@ -154,3 +158,18 @@ TARGETS = {"readmission": "readmitted_30d", "deterioration": "deteriorated", "mo
 
 #: Readmission window (days); the start is exclusive, the end inclusive.
 READMIT_DAYS = 30
+
+
+def as_of() -> _dt.date:
+    """The reference date of the run at hand."""
+    return _RUN_AS_OF.get() or AS_OF
+
+
+@contextmanager
+def run_as_of(date: _dt.date | None) -> Iterator[None]:
+    """Within the block, "now" is ``date``; other jobs of the process keep theirs."""
+    token = _RUN_AS_OF.set(date or _RUN_AS_OF.get())
+    try:
+        yield
+    finally:
+        _RUN_AS_OF.reset(token)

@@ -13,11 +13,12 @@ arithmetically.  Nothing ever materialises the product of the children.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinrisk import config as C
-from clinrisk.functions.dates import age_years, day_number, los_days
+from clinrisk.functions.dates import age_years, los_days
+from clinrisk.operators.prefix import prefix_scan
 from clinrisk.operators.star import Star, as_of_date
 
 VITAL_MEASURES = ["heart_rate", "systolic_bp", "diastolic_bp", "temperature", "spo2", "respiratory_rate"]
@@ -25,57 +26,27 @@ LAB_PIVOT = [("Creatinine", "creatinine"), ("HbA1c", "hba1c"), ("WBC", "wbc"),
              ("Hemoglobin", "hemoglobin"), ("Sodium", "sodium")]
 
 
-def readmission_flags(admissions: DataFrame, days: int = C.READMIT_DAYS) -> DataFrame:
+def readmission_flags(admissions: DataFrame, days: int = C.READMIT_DAYS, once: bool = False) -> DataFrame:
     """for each discharged admission, 1 if the same patient has an
     admission in (discharge, discharge + ``days`` days], else 0.
 
-    A sweep, never a pairwise join.  Events (discharges and admissions) are
-    keyed by (patient, calendar day):
-
-    * inside one (patient, day) window, ordered newest first with discharges
-      before admissions at equal timestamps (the start is exclusive), a
-      running ``min`` over the rows already passed gives the nearest later
-      admission of the same day;
-    * one row per (patient, day) carries the day's earliest admission; a
-      per-patient window over these day rows, newest first, gives the
-      earliest admission on any later day.
-
-    The first window holds one patient-day; the second holds one row per day
-    on which the patient has any event -- bounded by the length of the
-    history, not by the number of rows -- so a patient with a huge share of
-    the data is spread over many tasks and never expanded into pairs.
-    """
-    adm = admissions.select("admission_id", "patient_id", "admission_date", "discharge_date")
-    discharges = (adm.where(F.col("discharge_date").isNotNull())
-                  .select("patient_id", "admission_id", F.col("discharge_date").alias("ts"),
-                          F.lit(1).alias("k"), F.lit(None).cast("timestamp_ntz").alias("adm_ts")))
-    arrivals = (adm.where(F.col("patient_id").isNotNull())
-                .select("patient_id", F.lit(None).cast("bigint").alias("admission_id"),
-                        F.col("admission_date").alias("ts"), F.lit(0).alias("k"),
-                        F.col("admission_date").alias("adm_ts")))
-    # NULL patients never match: their discharges skip the sweep (flag 0 by the outer join of the caller).
-    events = discharges.unionByName(arrivals).withColumn("day", day_number(F.col("ts")))
-    nobody = events.where(F.col("patient_id").isNull() & (F.col("k") == 1))
-    # Both uses below read this one exchange.
-    events = events.where(F.col("patient_id").isNotNull()).repartition("patient_id", "day")
-    passed = (Window.partitionBy("patient_id", "day")
-              .orderBy(F.col("ts").desc(), F.col("k").desc(), "admission_id")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    swept = (events.withColumn("next_here", F.min("adm_ts").over(passed))
-             .where(F.col("k") == 1))
-    # The day's earliest admission, by a rank in the same columns, so that the exchange is shared.
-    first = Window.partitionBy("patient_id", "day").orderBy(F.col("adm_ts").asc_nulls_last(), "ts", "k", "admission_id")
-    per_day = (events.withColumn("n", F.row_number().over(first)).where("n = 1")
-               .select("patient_id", "day", F.col("adm_ts").alias("first_adm")))
-    later_days = (Window.partitionBy("patient_id").orderBy(F.col("day").desc())
-                  .rowsBetween(Window.unboundedPreceding, -1))
-    ahead = per_day.select("patient_id", "day", F.min("first_adm").over(later_days).alias("next_there"))
-    joined = swept.join(ahead, ["patient_id", "day"], "left")
-    nearest = F.coalesce(F.col("next_here"), F.col("next_there"))
-    limit = F.col("ts") + F.make_dt_interval(days=F.lit(days))
-    flag = F.when(nearest.isNotNull() & (nearest <= limit), 1).otherwise(0).cast("bigint")
-    out = joined.select("admission_id", "patient_id", flag.alias("readmitted_30d"))
-    return out.unionByName(nobody.select("admission_id", "patient_id", F.lit(0).cast("bigint").alias("readmitted_30d")))
+    A scan, never a pairwise join: a patient's discharges and admissions are
+    ordered newest first (at equal times discharges first, as the start is
+    exclusive), and the running minimum of the admissions passed is the next
+    one after the discharge.  The minimum is carried over range partitions
+    (``prefix_scan``), so even one day of one patient may hold most rows."""
+    null = F.lit(None)
+    sides = F.explode(F.array(
+        F.struct(F.col("discharge_date").alias("ts"), F.lit(1).alias("k"), F.col("admission_id").alias("of"), null.cast("timestamp_ntz").alias("arrival")),
+        F.struct(F.col("admission_date").alias("ts"), F.lit(0).alias("k"), null.cast("bigint").alias("of"), F.col("admission_date").alias("arrival"))))
+    events = admissions.select("patient_id", sides.alias("e")).select("patient_id", "e.*").where("ts IS NOT NULL")
+    # NULL patients never match: their discharges skip the scan.
+    nobody = events.where("patient_id IS NULL AND k = 1").select(F.col("of").alias("admission_id"), "patient_id", F.lit(0).cast("bigint").alias("readmitted_30d"))
+    order = [F.col("ts").desc(), F.col("k").desc(), F.col("of").asc()]
+    passed = prefix_scan(events.where("patient_id IS NOT NULL"), ["patient_id"], order, {"next": ("min", F.col("arrival"))}, once=once)
+    soon = F.col("next") <= F.col("ts") + F.make_dt_interval(days=F.lit(days))
+    flags = passed.where("k = 1").select(F.col("of").alias("admission_id"), "patient_id", F.when(soon, 1).otherwise(0).cast("bigint").alias("readmitted_30d"))
+    return flags.unionByName(nobody)
 
 
 def vitals_groups(vitals: DataFrame) -> DataFrame:
@@ -161,13 +132,31 @@ def lengths_of_stay(s: Star) -> DataFrame:
                                los_days(F.col("admission_date"), F.col("discharge_date")).alias("los_days"))
 
 
-def distinct_counts(s: Star) -> DataFrame:
+def _tagged(diagnoses: DataFrame, medications: DataFrame) -> DataFrame:
+    rows = diagnoses.select("admission_id", F.lit("d").alias("kind"), F.col("diagnosis_id").alias("id"))
+    return rows.union(medications.select("admission_id", F.lit("m"), "medication_id")).where("admission_id IS NOT NULL")
+
+
+def _with_counts(s: Star, counts: DataFrame) -> DataFrame:
     adm = s.admissions.where(F.col("discharge_date").isNotNull()).select("admission_id")
-    counts = child_summary(s.diagnoses, s.medications, s.labs.limit(0)).select("admission_id", "diagnosis_count", "medication_count")
     return adm.join(counts, "admission_id", "left").select(
         "admission_id", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("diagnosis_count", "medication_count")])
 
 
+def distinct_counts(s: Star) -> DataFrame:
+    """F7 where the keys are known to be unique: plain counts, one aggregation."""
+    return _with_counts(s, _tagged(s.diagnoses, s.medications).groupBy("admission_id").agg(
+        F.count_if(F.col("kind") == "d").alias("diagnosis_count"), F.count_if(F.col("kind") == "m").alias("medication_count")))
+
+
+def distinct_counts_direct(s: Star) -> DataFrame:
+    """F7 as it is written, two COUNT(DISTINCT) in one aggregate, trusting no
+    key: the children are tagged and unioned instead of joined, so the two
+    never multiply, and ids are made distinct before an admission's rows meet."""
+    each = [F.count_distinct(F.when(F.col("kind") == kind, F.col("id"))).alias(name) for kind, name in (("d", "diagnosis_count"), ("m", "medication_count"))]
+    return _with_counts(s, _tagged(s.diagnoses, s.medications).groupBy("admission_id").agg(*each))
+
+
 def lab_pivot(s: Star) -> DataFrame:
     return lab_summary(s.labs).select("admission_id", *[c for _, c in LAB_PIVOT])
 

@@ -42,12 +42,13 @@ class RiskModels:
 
 
 def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int = C.MAX_DEPTH,
-        seed: int = C.SEED, max_train_rows: int | None = None) -> RiskModels:
+        seed: int = C.SEED, max_train_rows: int | None = None, split: DataFrame | None = None) -> RiskModels:
     """Train one forest per target on the feature table.  ``max_train_rows``
-    bounds the rows of one fit by a seeded sample (default: all rows)."""
+    bounds the rows of one fit by a seeded sample (default: all rows);
+    ``split``: the stored split, if there is one."""
     mapping = stored(PR.label_mapping(features), "label-mapping")
     frame = PR.model_frame(features, mapping)
-    split = stored(PR.stratified_split(frame), "split")
+    split = stored(PR.stratified_split(frame), "split") if split is None else split
     med: dict[str, dict[str, float | None]] = {n: {} for n in C.TARGETS}
     for r in PR.medians(frame, split).collect():
         med[r["target"]][r["feature"]] = r["median"]

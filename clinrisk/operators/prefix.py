@@ -1,11 +1,11 @@
-"""Running sums over rows of any number, without a one-task window.
+"""Running sums, minima and maxima over rows of any number, without a one-task window.
 
 The rows are range-partitioned by (group, order), and written once with the
-number of their partition.  A second, small table holds the sums of every
-(group, partition); its running sums are the partitions' offsets, joined back
-to the rows, which are then summed inside their partition only.  A group that
+number of their partition.  A second, small table holds the totals of every
+(group, partition); its running totals are what is carried into a partition, joined back
+to the rows, which are then scanned inside their partition only.  A group that
 holds most rows spans many partitions; no literal, list or count goes through
-the driver.  Ids, ranks, medians and the area under a curve all come from here.
+the driver.  Ids, ranks, medians, the area under a curve and the next admission all come from here.
 """
 
 from __future__ import annotations
@@ -25,14 +25,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def prefix_sums(df: DataFrame, group: list[str], order: list[str | Column], sums: dict[str, Column],
+#: Associative kinds of a scan: the aggregate, and how two totals join.
+_KINDS = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
+
+
+def prefix_scan(df: DataFrame, group: list[str], order: list[str | Column], scans: dict[str, tuple[str, Column]],
                 once: bool = True) -> DataFrame:
-    """Adds, for every ``name: value`` in ``sums``, the sum of ``value`` over
-    the rows before this one in its group (0 for the first).  (group, order)
-    must identify a row for a defined result; group columns are never null.
+    """Adds, for every ``name: (kind, value)`` in ``scans``, the ``kind`` (sum,
+    min, max) of ``value`` over the rows before this one in its group: 0 or
+    NULL for the first.  (group, order) must identify a row for a defined
+    result; group columns are never null.
 
     Range partitioning samples its input, so the input is stored first unless
-    it already is a stored table (``once=False``)."""
+    it already is a projection of a stored table (``once=False``)."""
     spark = df.sparkSession
     copy = scratch_path(spark, "prefix-input") if once else None
     if copy:
@@ -43,11 +48,21 @@ def prefix_sums(df: DataFrame, group: list[str], order: list[str | Column], sums
     ranged = stored(ranged, "prefix-ranged")
     if copy:
         remove_path(spark, copy)
-    totals = ranged.groupBy(*group, _PART).agg(*[F.sum(v).alias(f"__t_{k}") for k, v in sums.items()])
+    totals = ranged.groupBy(*group, _PART).agg(*[_KINDS[kind][0](v).alias(f"__t_{k}") for k, (kind, v) in scans.items()])
     earlier = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group, _PART, *[F.coalesce(F.sum(f"__t_{k}").over(earlier), F.lit(0)).alias(f"__o_{k}") for k in sums])
+    carried = totals.select(*group, _PART, *[_KINDS[kind][0](f"__t_{k}").over(earlier).alias(f"__o_{k}") for k, (kind, _) in scans.items()])
     here = Window.partitionBy(*group, _PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = ranged.join(offsets, [*group, _PART])
-    for k, v in sums.items():
-        out = out.withColumn(k, F.col(f"__o_{k}") + F.coalesce(F.sum(v).over(here), F.lit(0)))
-    return out.drop(_PART, *[f"__o_{k}" for k in sums])
+    out = ranged.join(carried, [*group, _PART])
+    for k, (kind, v) in scans.items():
+        aggregate, join = _KINDS[kind]
+        before, inside = F.col(f"__o_{k}"), aggregate(v).over(here)
+        if kind == "sum":
+            before, inside = F.coalesce(before, F.lit(0)), F.coalesce(inside, F.lit(0))
+        out = out.withColumn(k, join(before, inside))
+    return out.drop(_PART, *[f"__o_{k}" for k in scans])
+
+
+def prefix_sums(df: DataFrame, group: list[str], order: list[str | Column], sums: dict[str, Column],
+                once: bool = True) -> DataFrame:
+    """``prefix_scan`` of sums."""
+    return prefix_scan(df, group, order, {k: ("sum", v) for k, v in sums.items()}, once)

@@ -29,11 +29,11 @@ from clinrisk.sources.encounters import encounters
 
 
 def as_of_date() -> Column:
-    return F.lit(C.AS_OF.isoformat()).cast("date")
+    return F.lit(C.as_of().isoformat()).cast("date")
 
 
 def as_of_ts() -> Column:
-    return F.lit(C.AS_OF.isoformat() + " 00:00:00").cast("timestamp_ntz")
+    return F.lit(C.as_of().isoformat() + " 00:00:00").cast("timestamp_ntz")
 
 
 def patients_dim(enc: DataFrame) -> DataFrame:

@@ -128,11 +128,21 @@ def stored_rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return memo("rule_scores", spark, sf_dir, build)
 
 
+def stored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2 of the stored features, once."""
+    from clinrisk.operators.prepare import stratified_split
+
+    def build():
+        star = stored_star(spark, sf_dir)
+        return _write(stratified_split(stored_features(spark, sf_dir)), f"{star.root}/split")
+    return memo("split", spark, sf_dir, build)
+
+
 def fitted_models(spark: SparkSession, sf_dir: str, num_trees: int):
     from clinrisk.operators import model as M
 
     def build():
-        return M.fit(stored_features(spark, sf_dir), num_trees=num_trees)
+        return M.fit(stored_features(spark, sf_dir), num_trees=num_trees, split=stored_split(spark, sf_dir))
     return memo(f"models-{num_trees}", spark, sf_dir, build)
 
 

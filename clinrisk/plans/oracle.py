@@ -713,3 +713,13 @@ ORACLE["append_rejects"] = _guarded(", reasons", "<>")
 ORACLE["append_fk"] = with_star("""
 SELECT admission_id, patient_id, CAST(CASE WHEN patient_id % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS load
 FROM admissions WHERE patient_id IS NOT NULL""")
+
+ORACLE["distinct_counts_direct"] = with_star("""
+SELECT * FROM (WITH lines AS (
+  SELECT admission_id, line, part, admission_id * 10 + line AS number
+  FROM adm_base JOIN (SELECT l_orderkey AS enc_id, l_linenumber::BIGINT AS line, min(l_partkey) AS part FROM lineitem GROUP BY ALL) USING (enc_id)
+)
+SELECT admission_id,
+       (SELECT count(DISTINCT number) FROM lines x WHERE x.admission_id = a.admission_id AND part % 3 <> 0) AS diagnosis_count,
+       (SELECT count(DISTINCT number) FROM lines x WHERE x.admission_id = a.admission_id AND part % 4 <> 0) AS medication_count
+FROM admissions a WHERE discharge_date IS NOT NULL)""")

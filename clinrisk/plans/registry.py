@@ -130,6 +130,10 @@ def _features(s: Star) -> DataFrame:
     return L.stored_features(s.spark, s.sf_dir)
 
 
+def _split(s: Star) -> DataFrame:
+    return L.stored_split(s.spark, s.sf_dir)
+
+
 def _scores(s: Star) -> DataFrame:
     return L.stored_rule_scores(s.spark, s.sf_dir)
 
@@ -213,18 +217,17 @@ def q_derived_features(s: Star) -> DataFrame:
 
 @query("stratified_split")
 def q_stratified_split(s: Star) -> DataFrame:
-    return PR.stratified_split(_features(s))
+    return _split(s)
 
 
 @query("impute_median")
 def q_impute_median(s: Star) -> DataFrame:
-    frame = PR.model_frame(_features(s))
-    return PR.medians(frame, PR.stratified_split(frame))
+    return PR.medians(PR.model_frame(_features(s)), _split(s))
 
 
 @query("class_weights")
 def q_class_weights(s: Star) -> DataFrame:
-    return PR.class_weights(PR.stratified_split(_features(s)))
+    return PR.class_weights(_split(s))
 
 
 def _rule_eval_rows(s: Star) -> DataFrame:
@@ -234,7 +237,7 @@ def _rule_eval_rows(s: Star) -> DataFrame:
     long = probs.select("feature_row_id", F.explode(F.array(*[
         F.struct(F.lit(n).alias("target"), F.col(f"p_{n}").alias("score")) for n in C.TARGETS])).alias("x"))
     rows = long.select("feature_row_id", "x.target", "x.score").where("score IS NOT NULL")
-    rows = rows.join(PR.stratified_split(feats).where("is_test"), ["feature_row_id", "target"])
+    rows = rows.join(_split(s).where("is_test"), ["feature_row_id", "target"])
     return rows.select("target", "label", "score", (F.col("score") > 0.5).cast("bigint").alias("prediction"))
 
 
@@ -457,6 +460,12 @@ def q_feature_frame_fanout(s: Star) -> DataFrame:
     return FT.feature_frame(FX.FannedStar(s))
 
 
+@query("distinct_counts_direct")
+def q_distinct_counts_direct(s: Star) -> DataFrame:
+    """F7 with repeated ids among the children."""
+    return FT.distinct_counts_direct(FX.RepeatedStar(s))
+
+
 def _damaged_tables(s: Star) -> dict[str, DataFrame]:
     return FX.damaged(_checked_tables(s), Q.PRIMARY_KEYS)
 
