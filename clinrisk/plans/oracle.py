@@ -723,3 +723,22 @@ SELECT admission_id,
        (SELECT count(DISTINCT number) FROM lines x WHERE x.admission_id = a.admission_id AND part % 3 <> 0) AS diagnosis_count,
        (SELECT count(DISTINCT number) FROM lines x WHERE x.admission_id = a.admission_id AND part % 4 <> 0) AS medication_count
 FROM admissions a WHERE discharge_date IS NOT NULL)""")
+
+# --- SQL text, several runs, failures ------------------------------------------------------
+ORACLE["sql_feature_frame"] = ORACLE["feature_frame"]
+ORACLE["sql_latest_vitals"] = ORACLE["latest_vitals"]
+ORACLE["sql_latest_risk"] = ORACLE["latest_risk"]
+ORACLE["sql_patient_risk_summary"] = ORACLE["patient_risk_summary"]
+ORACLE["score_compaction"] = ORACLE["merge_explanations"]
+ORACLE["merge_audit_failed"] = with_prompts("""
+SELECT CASE WHEN patient_id % 5 = 0 THEN 'failed' ELSE status END AS status, count(*) AS n FROM prompts GROUP BY 1""")
+ORACLE["alerts_two_runs"] = with_scores(f"""
+SELECT * FROM (WITH both_runs AS (
+  SELECT r.* REPLACE (score_id + k * (SELECT count(*) FROM risk_scores) AS score_id), k
+  FROM alert_rows r, (SELECT unnest([0, 1]) AS k) WHERE r.score_id IS NOT NULL
+  UNION ALL
+  SELECT *, admission_id % 2 FROM alert_rows WHERE score_id IS NULL
+)
+SELECT row_number() OVER (ORDER BY k, admission_id, type_ord, score_id NULLS FIRST) AS alert_id, patient_id, score_id, alert_type,
+       severity, message, false AS is_acknowledged, CAST(NULL AS VARCHAR) AS acknowledged_by, {AS_OF_T} AS created_at, k = 1 AS is_second
+FROM both_runs)""")

@@ -23,26 +23,28 @@ from clinrisk import config as C
 from clinrisk.operators import explain as EX
 from clinrisk.operators import model as M
 from clinrisk.operators import prepare as PR
-from clinrisk.operators.alerts import alerts
 from clinrisk.operators.features import feature_frame
 from clinrisk.operators.ids import dense_ids
 from clinrisk.operators.scoring import feature_row_order
+from clinrisk.operators.star import as_of_ts
 from clinrisk.plans.load import StoredStar, load_audit, load_star
 from clinrisk.session import build_session, remove_scratch, shared_dir
 from clinrisk.sources.csv_ingest import read_raw_csv
-from clinrisk.sources.sinks import ScoreStore, append_guarded, with_defaults
+from clinrisk.sources.guards import append_checked
+from clinrisk.sources.sinks import AlertStore, ScoreStore, append_guarded
 
 
 def run_load(spark: SparkSession, sf_dir: str, out: str, csv: str | None = None) -> StoredStar:
-    """Stage 1: encounters (driver tables, or a raw CSV) -> star schema.  The
-    three views of the admission base are appended under their keys' guard: a
-    second load of the same encounters adds nothing."""
-    if csv:
-        star = load_star(spark, sf_dir, out, enc=read_raw_csv(spark, csv))
-    else:
-        star = load_star(spark, sf_dir, out)
-    for name, key in (("admissions", "admission_id"), ("diagnoses", "diagnosis_id"), ("medications", "medication_id")):
-        append_guarded(star.tables()[name], f"{out}/{name}", key, "skip", table=name)
+    """Stage 1: encounters (driver tables, or a raw CSV) -> star schema, built
+    in the scratch folder and appended to ``out`` under every table's
+    constraints.  Rows whose key is there already are left out, so a second load of the same
+    encounters adds nothing; rows that a constraint refuses are put aside."""
+    built = load_star(spark, sf_dir, enc=read_raw_csv(spark, csv) if csv else None)
+    append_guarded(built.base, f"{out}/base", "admission_id", "skip")
+    for name, df in built.tables().items():
+        added, refused = append_checked(df, out, name, on_violation="quarantine", present="skip")
+        print(f"  {name}: {added} rows added, {refused} refused")
+    star = _stored(spark, out)
     for r in load_audit(star).collect():
         print(f"  {r.table_name}: {r.row_count} rows")
     return star
@@ -60,8 +62,11 @@ def run_score(spark: SparkSession, out: str, trees: int = C.FULL_NUM_TREES, as_o
               max_train_rows: int | None = None) -> int:
     """Stage 2: feature frame -> three forests -> evaluation -> a new run of
     the score store (with each row's top features) and its alerts."""
-    if as_of:
-        C.AS_OF = as_of
+    with C.run_as_of(as_of):
+        return _score(spark, out, trees, max_train_rows)
+
+
+def _score(spark: SparkSession, out: str, trees: int, max_train_rows: int | None) -> int:
     star, store = _stored(spark, out), ScoreStore(spark, f"{out}/scores")
     first = store.next_score_id()
     run = max(store.runs(), default=0) + 1
@@ -77,11 +82,11 @@ def run_score(spark: SparkSession, out: str, trees: int = C.FULL_NUM_TREES, as_o
         print(f"  {r.target}: AUC {'N/A' if r.auc is None else round(r.auc, 4)} "
               f"(positives {r.n_pos}, negatives {r.n_neg})")
     report.orderBy("target", "label").show(truncate=False)
-    now = F.lit(C.AS_OF.isoformat() + " 00:00:00").cast("timestamp_ntz")
+    now = as_of_ts()
     scores = M.risk_scores(rm, frame, scored_at=now, first_id=first, keep_row=True)
     store.add_run(M.with_top_features(scores, M.top_features(rm, frame)).drop("feature_row_id"))
     mine = store.current().where(F.col("run") == run).drop("run")
-    with_defaults(alerts(mine, star.labs), "alerts", now).write.mode("overwrite").parquet(f"{out}/alerts/run={run}")
+    AlertStore(spark, f"{out}/alerts").add_run(mine, star.labs, now)
     print(f"  run {run}: wrote {mine.count()} risk scores; {json.loads(M.describe(rm))['trained']}")
     return run
 
@@ -120,14 +125,13 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(a.master)
     out = a.out or f"{shared_dir(spark)}/clinrisk-pipeline"
     print(f"{a.stage}: {out}")
-    if a.as_of:
-        C.AS_OF = a.as_of
-    if a.stage == "load":
-        run_load(spark, a.sf_dir, out, a.csv)
-    elif a.stage == "score":
-        run_score(spark, out, a.trees, a.as_of, a.max_train_rows)
-    else:
-        run_explain(spark, out, a.responses)
+    with C.run_as_of(a.as_of):
+        if a.stage == "load":
+            run_load(spark, a.sf_dir, out, a.csv)
+        elif a.stage == "score":
+            run_score(spark, out, a.trees, a.as_of, a.max_train_rows)
+        else:
+            run_explain(spark, out, a.responses)
     remove_scratch(spark)
     spark.stop()
 

@@ -531,3 +531,65 @@ def q_append_fk(s: Star) -> DataFrame:
             taken[0] = P.stored(taken[0], "first-load")
             G.append_checked(s.patients, root, "patients", present="skip")
     return taken[0].union(taken[1])
+
+
+# --- SQL text over the schema -------------------------------------------------------------
+from clinrisk.plans.catalog import Catalog, feature_sql  # noqa: E402
+
+
+def _catalog(s: Star) -> Catalog:
+    return Catalog(_checked_tables(s))
+
+
+@query("sql_feature_frame")
+def q_sql_feature_frame(s: Star) -> DataFrame:
+    """A4/F: the feature frame from SQL text over the named tables."""
+    return _catalog(s).sql(feature_sql())
+
+
+@query("sql_latest_vitals")
+def q_sql_latest_vitals(s: Star) -> DataFrame:
+    return _catalog(s).sql("SELECT * FROM v_latest_vitals")
+
+
+@query("sql_latest_risk")
+def q_sql_latest_risk(s: Star) -> DataFrame:
+    return _catalog(s).sql("SELECT * FROM v_latest_risk")
+
+
+@query("sql_patient_risk_summary")
+def q_sql_summary(s: Star) -> DataFrame:
+    return _catalog(s).sql("SELECT * FROM v_patient_risk_summary")
+
+
+# --- Several runs: alerts, compaction, failed prompts ------------------------------------------
+from clinrisk.sources.sinks import AlertStore  # noqa: E402
+
+
+@query("alerts_two_runs")
+def q_alerts_two_runs(s: Star) -> DataFrame:
+    """D9 over two scoring runs, the first with the lab results of even admissions only: ids are keys over
+    both, and an admission's lab results raise one alert."""
+    store = AlertStore(s.spark, scratch_path(s.spark, "alert-store"))
+    store.add_run(_scores(s), s.labs.where("admission_id % 2 = 0"))
+    first = store.runs.next_id()
+    store.add_run(rule_scores(_features(s), first_id=L.stored_features(s.spark, s.sf_dir).count() + 1), s.labs)
+    return store.current().withColumn("is_second", F.col("alert_id") >= first)
+
+
+@query("score_compaction")
+def q_score_compaction(s: Star) -> DataFrame:
+    """A5: first answers are folded into a new version of the runs, then revisions arrive."""
+    store = _store(s)
+    answers = FX.simulated_responses(EX.prompts(_pending(s)))
+    store.add_answers(answers.where("seq = 1"))
+    store.compact()
+    store.add_answers(answers.where("seq = 2"))
+    return store.current().drop("run")
+
+
+@query("merge_audit_failed")
+def q_merge_audit_failed(s: Star) -> DataFrame:
+    """I7 where the birth date of every fifth patient is unknown: their prompts fail."""
+    known = s.patients.withColumn("date_of_birth", F.when(F.col("patient_id") % 5 != 0, F.col("date_of_birth")))
+    return EX.merge_audit(EX.prompts(EX.pending(_scores(s), known, s.admissions, s.vitals, s.diagnoses)))

@@ -111,6 +111,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in fs.listStatus(place) if f.isDirectory()) if fs.exists(place) else []
 
 
+def mark_done(spark: SparkSession, path: str) -> None:
+    """Put the commit marker of Spark's writers into a folder that it wrote as part of a larger one."""
+    fs, place = _file_system(spark, f"{path}/_SUCCESS")
+    fs.create(place, True).close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, place = _file_system(spark, path)
     fs.delete(place, True)
