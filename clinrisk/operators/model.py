@@ -14,8 +14,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -26,8 +29,10 @@ from pyspark.sql import functions as F
 from clinrisk import config as C
 from clinrisk.operators import evaluate as EV
 from clinrisk.operators import prepare as PR
+from clinrisk.operators.forest import Forest, tree_table
 from clinrisk.operators.prefix import stored
 from clinrisk.operators.scoring import RISKS, score_table
+from clinrisk.session import ship
 
 
 @dataclass
@@ -53,12 +58,15 @@ def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int =
     for r in PR.medians(frame, split).collect():
         med[r["target"]][r["feature"]] = r["median"]
     weights = {(r["target"], r["label"]): (r["weight"], r["n"]) for r in PR.class_weights(split).collect()}
-    models: dict[str, PipelineModel | None] = {}
     cols = {n: [c for c in C.FEATURE_COLUMNS if med[n].get(c) is not None] for n in C.TARGETS}
-    for name, label in C.TARGETS.items():
+
+    # The label codes and derived columns are worked out once; the targets' fits then run side by side.
+    frame = stored(frame, "model-frame")
+
+    def fit_one(name: str) -> PipelineModel | None:
+        label = C.TARGETS[name]
         if not {(name, 0), (name, 1)} <= set(weights):
-            models[name] = None
-            continue
+            return None
         rows = PR.impute(PR.training_rows(frame, split, name), med[name])
         n = weights[name, 0][1] + weights[name, 1][1]
         if max_train_rows and n > max_train_rows:
@@ -69,7 +77,9 @@ def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int =
                                     featureSubsetStrategy="sqrt", bootstrap=True,
                                     probabilityCol="prob", rawPredictionCol="raw", predictionCol="pred")
         assembler = VectorAssembler(inputCols=cols[name], outputCol="features", handleInvalid="keep")
-        models[name] = Pipeline(stages=[assembler, rf]).fit(rows.withColumn("w", w))
+        return Pipeline(stages=[assembler, rf]).fit(rows.withColumn("w", w))
+    with ThreadPoolExecutor(len(C.TARGETS)) as pool:
+        models = dict(zip(C.TARGETS, pool.map(fit_one, C.TARGETS)))
     return RiskModels(cols, med, models, split, mapping)
 
 
@@ -128,58 +138,38 @@ def degenerate_targets(frame: DataFrame) -> DataFrame:
                       F.when(F.col("n_classes") < 2, F.lit(0.0)).alias("constant_risk"))
 
 
-def _largest(k: int):
-    """Reduces the consecutive occlusions of one row to its ``k`` largest, in
-    the task that made them: nothing is shuffled."""
-    def run(frames: Iterator) -> Iterator:
-        import json
-        import pandas as pd
-        held: list = []
-
-        def close(rows: list) -> dict:
-            best = sorted(rows, key=lambda r: (-abs(r.delta), r.feature))[:k]
-            return {"feature_row_id": rows[0].feature_row_id, "admission_id": rows[0].admission_id,
-                    "top": json.dumps([{"feature": r.feature, "delta": r.delta} for r in best])}
-        for frame in frames:
-            out = []
-            for r in frame.itertuples(index=False):
-                if held and held[0].feature_row_id != r.feature_row_id:
-                    out.append(close(held))
-                    held = []
-                held.append(r)
-            yield pd.DataFrame(out, columns=["feature_row_id", "admission_id", "top"])
-        yield pd.DataFrame([close(held)] if held else [], columns=["feature_row_id", "admission_id", "top"])
-    return run
-
-
-def target_features(rm: RiskModels, frame: DataFrame, target: str, k: int = 5) -> DataFrame:
-    """(feature_row_id, admission_id, top): for each row, the ``k`` features of
-    the target's model with the largest change of probability when the
-    feature is replaced by its training median (occlusion; not SHAP)."""
-    keys = ["feature_row_id", "admission_id"]
-    if rm.models.get(target) is None:
-        return frame.select(*keys, F.lit("[]").alias("top"))
-    cols = rm.features[target]
-    scored = _positive(rm, target, PR.impute(frame, rm.medians[target]).select(*keys, *cols), "p0")
-    each = scored.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("fi"))
-    each = each.select(*keys, "p0", "fi", *[
-        F.when(F.col("fi") == i, F.lit(float(rm.medians[target][c]))).otherwise(F.col(c)).alias(c) for i, c in enumerate(cols)])
-    again = _positive(rm, target, each, "p1")
-    names = F.array(*[F.lit(c) for c in cols])
-    deltas = again.select(*keys, F.element_at(names, F.col("fi") + 1).alias("feature"), F.round(F.col("p0") - F.col("p1"), 6).alias("delta"))
-    return deltas.mapInPandas(_largest(k), "feature_row_id bigint, admission_id bigint, top string")
-
-
-def top_features(rm: RiskModels, frame: DataFrame, k: int = 5) -> DataFrame:
-    """H12 (ours): (feature_row_id, admission_id, top_features), a JSON object
-    with one list per target.  The score table stores it."""
-    out = None
-    for name in C.TARGETS:
-        part = target_features(rm, frame, name, k).withColumnRenamed("top", name)
-        out = part if out is None else out.join(part.drop("admission_id"), "feature_row_id")
-    text = F.concat(F.lit("{"), *[x for i, n in enumerate(C.TARGETS) for x in
-                                  (F.lit(f'{", " if i else ""}"{n}": '), F.col(n))], F.lit("}"))
-    return out.select("feature_row_id", "admission_id", text.alias("top_features"))
+def forests(rm: RiskModels) -> dict[str, Forest | None]:
+    """The targets' fitted trees; None where the model is a constant."""
+    return {n: None if m is None or m.stages[-1].numClasses < 2 else Forest(tree_table(m.stages[-1]).collect())      # trees * 2**(depth + 1) nodes at most
+            for n, m in rm.models.items()}
+
+
+def top_features(rm: RiskModels, frame: DataFrame, k: int = 5, exact: bool = False) -> DataFrame:
+    """H12 (ours): (feature_row_id, admission_id, top_features): a JSON object with a list per target, the ``k``
+    features that add or take most (ties by name), each with its contribution to the row's probability.
+
+    One pass over the rows: each batch is imputed with the targets' medians and
+    walks down their trees (``forest.attributions``; ``exact``: Shapley values)."""
+    sent = frame.sparkSession.sparkContext.broadcast({n: (f, rm.features[n], [float(rm.medians[n][c]) for c in rm.features[n]])
+                                                      for n, f in forests(rm).items() if f is not None})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sent.value
+        for batch in batches:
+            lists: dict[str, list] = {}
+            for name, (forest, cols, medians) in held.items():
+                x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols]) if batch.num_rows else np.zeros((0, len(cols)))
+                x = np.where(np.isnan(x), medians, x)
+                added = forest.shapley(x) if exact else forest.attributions(x)
+                by_name = np.argsort(cols)
+                order = by_name[np.argsort(-np.abs(added[:, by_name]).round(6), axis=1, kind="stable")][:, :k]
+                parts = np.take_along_axis(added, order, axis=1).round(6).tolist()
+                lists[name] = [[{"feature": cols[i], "contribution": v} for i, v in zip(row, part)] for row, part in zip(order.tolist(), parts)]
+            text = [json.dumps({n: lists[n][i] if n in lists else [] for n in C.TARGETS}) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column("feature_row_id"), batch.column("admission_id"), pa.array(text, pa.string())],
+                                             names=["feature_row_id", "admission_id", "top_features"])
+    ship(frame.sparkSession)
+    return frame.select("feature_row_id", "admission_id", *C.FEATURE_COLUMNS).mapInArrow(run, "feature_row_id bigint, admission_id bigint, top_features string")
 
 
 def with_top_features(scores: DataFrame, top: DataFrame) -> DataFrame:
@@ -194,4 +184,4 @@ def describe(rm: RiskModels) -> str:
 
 
 __all__ = ["RiskModels", "fit", "probabilities", "risk_scores", "evaluation", "evaluation_rows", "degenerate_targets",
-           "target_features", "top_features", "with_top_features", "RISKS"]
+           "forests", "top_features", "with_top_features", "RISKS"]

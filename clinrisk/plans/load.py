@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import threading
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinrisk.operators import star as S
@@ -28,24 +28,12 @@ def _write(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def observed_write(df: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
-    """Write ``df``; its row count (``rows``) and each column's nulls are
-    counted by the write itself, so that an audit reads nothing again."""
-    seen = Observation()
-    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]]
-    out = _write(df.observe(seen, *counts), path)
-    return out, dict(seen.get)
-
-
 class StoredStar(S.Star):
     """A ``Star`` whose tables were written once and are read back from files."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str, tables: dict[str, DataFrame],
-                 observed: dict[str, dict[str, int]] | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, tables: dict[str, DataFrame]):
         super().__init__(spark, sf_dir)
         self.root = root
-        #: Per table: what its write counted.  Views of the base have the base's rows.
-        self.observed = observed or {}
         self.__dict__["patients"] = tables["patients"]
         self.__dict__["base"] = tables["base"]
         self.__dict__["admissions"] = tables["admissions"]
@@ -63,20 +51,17 @@ def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
     lazy = S.Star(spark, sf_dir, enc=enc)
     # Read three times below (names, and the ranges and rows of the admission ids).
     enc = _write(lazy.encounters, f"{root}/encounters")
-    observed: dict[str, dict[str, int]] = {}
-    patients, observed["patients"] = observed_write(S.patients_dim(enc), f"{root}/patients")
-    base, observed["base"] = observed_write(S.admissions_base(enc, patients), f"{root}/base")
+    patients = _write(S.patients_dim(enc), f"{root}/patients")
+    base = _write(S.admissions_base(enc, patients), f"{root}/base")
     tables = {"patients": patients, "base": base}
     # Pure projections of the stored base stay views (a scan of the base with
     # column pruning); tables holding synthesised draws are written.
     tables["admissions"] = S.admissions_fact(base)
     tables["diagnoses"] = S.diagnoses_fact(base)
     tables["medications"] = S.medications_fact(base)
-    for name in ("admissions", "diagnoses", "medications"):
-        observed[name] = observed["base"]
-    tables["vitals"], observed["vitals"] = observed_write(S.vitals_fact(base), f"{root}/vitals")
-    tables["lab_results"], observed["lab_results"] = observed_write(S.labs_fact(base), f"{root}/lab_results")
-    return StoredStar(spark, sf_dir, root, tables, observed)
+    tables["vitals"] = _write(S.vitals_fact(base), f"{root}/vitals")
+    tables["lab_results"] = _write(S.labs_fact(base), f"{root}/lab_results")
+    return StoredStar(spark, sf_dir, root, tables)
 
 
 _LOCK = threading.RLock()
@@ -93,11 +78,10 @@ def stored_star(spark: SparkSession, sf_dir: str) -> StoredStar:
 
 
 def load_audit(star: S.Star) -> DataFrame:
-    """One row per table with its row count: what the write counted, or
-    (for tables that were not written here) one aggregate a table."""
-    counted = getattr(star, "observed", {})
-    if set(counted) >= set(star.tables()):
-        return star.spark.createDataFrame([(name, counted[name]["rows"]) for name in star.tables()], "table_name string, row_count bigint")
+    """One row per table with its row count.  No column is read: the counts
+    are those that the writes left in the files' footers.  (An ``Observation``
+    on the write would count too, but a session that holds one can no longer
+    send MLlib models to its tasks in this Spark version.)"""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
              for name, df in star.tables().items()]
     out = parts[0]

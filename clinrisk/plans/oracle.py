@@ -583,18 +583,13 @@ UNION ALL SELECT target, 'accuracy', NULL, NULL, round(accuracy, 10), total FROM
 UNION ALL SELECT target, 'macro avg', round(avg(p), 10), round(avg(r), 10), round(avg(f1), 10), CAST(sum(s) AS BIGINT) FROM f GROUP BY target
 UNION ALL SELECT target, 'weighted avg', round(sum(p * s) / sum(s), 10), round(sum(r * s) / sum(s), 10),
        round(sum(f1 * s) / sum(s), 10), CAST(sum(s) AS BIGINT) FROM f GROUP BY target)""")
-ORACLE["risk_model"] = with_scores("""
+ORACLE["risk_model_rows"] = with_scores("""
 SELECT target, count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg,
-       count(DISTINCT label) < 2 AS auc_is_null, true AS auc_in_range
+       count(DISTINCT label) < 2 AS one_class
 FROM split WHERE is_test GROUP BY target""")
-ORACLE["risk_scores"] = with_scores(f"""
+ORACLE["risk_score_rows"] = with_scores(f"""
 SELECT feature_row_id AS score_id, patient_id, admission_id, {AS_OF_T} AS scored_at, '{C.MODEL_VERSION}' AS model_version,
-       CAST(0.0 AS DOUBLE) AS mortality_risk, true AS in_range, true AS tiers_agree, true AS unexplained FROM feat""")
-ORACLE["top_features"] = with_scores("""
-SELECT feature_row_id, admission_id, target,
-       CAST(CASE WHEN (SELECT count(DISTINCT x.label) FROM labels x WHERE x.target = t.target) > 1 THEN 5 ELSE 0 END AS BIGINT) AS n_features,
-       true AS known, true AS distinct_and_ordered
-FROM feat, (SELECT DISTINCT target FROM labels) t""")
+       CAST(0.0 AS DOUBLE) AS mortality_risk, 'Low' AS mortality_tier, CAST(NULL AS VARCHAR) AS ai_explanation FROM feat""")
 ORACLE["risk_tiers"] = with_scores("""
 SELECT score_id, admission_id, readmission_risk, deterioration_risk, mortality_risk,
        readmission_tier, deterioration_tier, mortality_tier FROM risk_scores""")

@@ -274,44 +274,34 @@ def _model_frame(s: Star) -> DataFrame:
 
 @query("risk_model")
 def q_risk_model(s: Star) -> DataFrame:
-    """H4-H8: the forests on their held-out rows: classes, and whether the AUC is in its range."""
+    """H4-H8: the forests on their held-out rows: classes and AUC (no SQL: forests differ between engines)."""
+    return M.evaluation(_models(s), _model_frame(s))[0]
+
+
+@query("risk_model_rows")
+def q_risk_model_rows(s: Star) -> DataFrame:
+    """The part of ``risk_model`` that does not depend on the trees."""
     auc, _ = M.evaluation(_models(s), _model_frame(s))
-    return auc.select("target", "n_pos", "n_neg", F.col("auc").isNull().alias("auc_is_null"),
-                      F.coalesce(F.col("auc").between(0, 1), F.lit(True)).alias("auc_in_range"))
+    return auc.select("target", "n_pos", "n_neg", F.col("auc").isNull().alias("one_class"))
 
 
 @query("risk_scores")
 def q_risk_scores(s: Star) -> DataFrame:
-    """The forests' score rows by their contract: ids, version,
-    constant target, ranges, and tiers that agree with the risks."""
-    scores = M.risk_scores(_models(s), _model_frame(s))
-
-    def agrees(r):
-        # Tiers come from the unrounded probability: at a rounded boundary either side is right.
-        risk, tier = F.col(f"{r}_risk"), F.col(f"{r}_tier")
-        return (F.when(risk > C.TIER_HIGH, tier == "High").when(risk == C.TIER_HIGH, tier.isin("High", "Medium"))
-                .when(risk > C.TIER_MEDIUM, tier == "Medium").when(risk == C.TIER_MEDIUM, tier.isin("Medium", "Low"))
-                .otherwise(tier == "Low"))
-    ok = {r: F.col(f"{r}_risk").between(0, 1) for r in RISKS}
-    return scores.select("score_id", "patient_id", "admission_id", "scored_at", "model_version", "mortality_risk",
-                         (ok["readmission"] & ok["deterioration"] & ok["mortality"]).alias("in_range"),
-                         (agrees("readmission") & agrees("deterioration") & agrees("mortality")).alias("tiers_agree"),
-                         F.col("ai_explanation").isNull().alias("unexplained"))
+    """The forests' score rows, whole (no SQL: forests differ between engines)."""
+    return M.risk_scores(_models(s), _model_frame(s))
+
+
+@query("risk_score_rows")
+def q_risk_score_rows(s: Star) -> DataFrame:
+    """The part of ``risk_scores`` that does not depend on the trees: ids, version, the constant target."""
+    return M.risk_scores(_models(s), _model_frame(s)).select(
+        "score_id", "patient_id", "admission_id", "scored_at", "model_version", "mortality_risk", "mortality_tier", "ai_explanation")
 
 
 @query("top_features")
 def q_top_features(s: Star) -> DataFrame:
-    """H12 by its contract: per score row and target, how many distinct known features its list names."""
-    top = M.top_features(_models(s), _model_frame(s))
-    lists = F.from_json("top_features", "map<string, array<struct<feature string, delta double>>>")
-    each = top.select("feature_row_id", "admission_id", F.explode(lists).alias("target", "held"))
-    names = F.array_distinct(F.transform("held", lambda x: x["feature"]))
-    known = F.array(*[F.lit(c) for c in C.FEATURE_COLUMNS])
-    falling = F.forall(F.sequence(F.lit(1), F.greatest(F.size("held") - 1, F.lit(1))),
-                       lambda i: F.coalesce(F.abs(F.get("held", i - 1)["delta"]) >= F.abs(F.get("held", i)["delta"]), F.lit(True)))
-    return each.select("feature_row_id", "admission_id", "target", F.size("held").cast("bigint").alias("n_features"),
-                       (F.size(F.array_except(names, known)) == 0).alias("known"),
-                       ((F.size(names) == F.size("held")) & falling).alias("distinct_and_ordered"))
+    """Per score row, each target's five largest contributions (no SQL: forests differ between engines)."""
+    return M.top_features(_models(s), _model_frame(s))
 
 
 # --- I: explanation queue ------------------------------------------------------------

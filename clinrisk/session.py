@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -127,5 +128,25 @@ def remove_scratch(spark: SparkSession) -> None:
     remove_path(spark, _scratch_root(spark))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for those that do not have it on their path
+    (Spark serves the file from the driver)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="clinrisk-ship-"), "clinrisk.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", str(os.cpu_count() or 8)))
