@@ -4,7 +4,10 @@ import datetime as dt
 import random
 
 
+from pyspark.sql import functions as F
+
 from clinrisk.operators.features import feature_frame, readmission_flags
+from clinrisk.operators.prefix import prefix_scan
 
 T = dt.datetime
 
@@ -50,6 +53,24 @@ def test_readmission_matches_exists_on_random_histories(spark):
     assert got == expected
 
 
+def test_one_patient_day_spans_many_tasks(spark):
+    """Every row of one patient and one day: the minimum is carried over partitions."""
+    day = T(2020, 5, 5)
+    rows = [(i, 1, day + dt.timedelta(seconds=7 * i % 40_000), day + dt.timedelta(seconds=(7 * i % 40_000) + 1 + i % 5)) for i in range(4000)]
+    rows += [(5000, 1, day + dt.timedelta(days=20), None)]
+    adm = _adm(spark, rows)
+    got = {r.admission_id: r.readmitted_30d for r in readmission_flags(adm).collect()}
+    assert got == {i: 1 for i in range(4000)}
+    scanned = prefix_scan(adm.where("discharge_date IS NOT NULL"), ["patient_id"], ["admission_date", "admission_id"],
+                          {"last": ("max", F.col("admission_id")), "least": ("min", F.col("admission_id")), "n": ("sum", F.lit(1))})
+    parts = scanned.groupBy(F.spark_partition_id()).count().collect()
+    ordered = sorted(scanned.collect(), key=lambda r: (r.admission_date, r.admission_id))
+    assert len(parts) > 1 and [r.n for r in ordered] == list(range(4000))
+    ids = [r.admission_id for r in ordered]
+    assert ordered[0].last is None and [r.last for r in ordered[1:]] == [max(ids[:i]) for i in range(1, 4000)]
+    assert [r.least for r in ordered[1:]] == [min(ids[:i]) for i in range(1, 4000)]
+
+
 class _Star:
     def __init__(self, **tables):
         self.__dict__.update(tables)

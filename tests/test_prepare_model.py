@@ -1,5 +1,8 @@
 """Splits, medians, running sums, evaluation edge cases and the forests."""
 
+import itertools
+import json
+import math
 import random
 
 import numpy as np
@@ -10,6 +13,7 @@ from clinrisk import config as C
 from clinrisk.operators import evaluate as EV
 from clinrisk.operators import model as M
 from clinrisk.operators import prepare as PR
+from clinrisk.operators.forest import Forest, tree_table
 from clinrisk.operators.prefix import prefix_sums
 
 
@@ -138,3 +142,83 @@ def test_a_tie_at_one_half_is_class_zero(spark, monkeypatch):
     rm = M.fit(df, num_trees=2)
     monkeypatch.setattr(M, "probabilities", lambda rm, f: f.withColumns({f"p_{n}": F.lit(0.5) for n in C.TARGETS}))
     assert M.evaluation_rows(rm, PR.model_frame(df, rm.mapping)).agg(F.max("prediction")).first()[0] == 0
+
+
+# --- Trees as tables, attributions -------------------------------------------------------
+
+def _expected(forest, root, x, known):
+    """The tree's mean probability when only the features in ``known`` are given."""
+    if forest.leaf[root]:
+        return forest.value[root]
+    left, right = forest.left[root], forest.right[root]
+    if forest.feature[root] in known:
+        return _expected(forest, left if x[forest.feature[root]] <= forest.threshold[root] else right, x, known)
+    share = forest.weight[left] / forest.weight[root]
+    return share * _expected(forest, left, x, known) + (1 - share) * _expected(forest, right, x, known)
+
+
+def _small_forest(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 12, (400, 4)).astype(float)
+    y = ((x[:, 0] > 5) ^ (x[:, 1] > 7)).astype(float) * (x[:, 2] > 2)
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, d double, y double")
+    df = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="features").transform(df)
+    fitted = RandomForestClassifier(labelCol="y", numTrees=5, maxDepth=4, seed=1).fit(df)
+    return fitted, df, x
+
+
+def test_trees_read_as_a_table_give_the_fitted_probabilities(spark):
+    fitted, df, x = _small_forest(spark)
+    forest = Forest(tree_table(fitted).collect())
+    want = [r.probability[1] for r in fitted.transform(df).select("probability").collect()]
+    assert np.allclose(forest.probability(x), want, atol=1e-12)
+    assert np.allclose(forest.base + forest.shapley(x).sum(axis=1), want, atol=1e-12)
+
+
+def test_shapley_values_against_all_feature_subsets(spark):
+    fitted, _, x = _small_forest(spark)
+    forest = Forest(tree_table(fitted).collect())
+    got, n = forest.shapley(x[:12]), 4
+    for row, values in zip(x[:12], got):
+        def mean(known):
+            return np.mean([_expected(forest, r, row, known) for r in forest.roots])
+        for i in range(n):
+            others = [j for j in range(n) if j != i]
+            want = sum(math.factorial(len(s)) * math.factorial(n - len(s) - 1) / math.factorial(n) * (mean({*s, i}) - mean(set(s)))
+                       for k in range(n) for s in itertools.combinations(others, k))
+            assert values[i] == pytest.approx(want, abs=1e-12)
+
+
+def test_contributions_follow_the_path(spark):
+    fitted, _, x = _small_forest(spark)
+    forest = Forest(tree_table(fitted).collect())
+    for row, got in zip(x[:20], forest.attributions(x[:20])):
+        want = np.zeros(4)
+        for node in forest.roots:
+            while not forest.leaf[node]:
+                f = forest.feature[node]
+                child = forest.left[node] if row[f] <= forest.threshold[node] else forest.right[node]
+                want[f] += (forest.value[child] - forest.value[node]) / len(forest.roots)
+                node = child
+        assert np.allclose(got, want)
+
+
+def test_stored_lists_hold_the_largest_contributions(spark):
+    from clinrisk.plans import load as L
+    from small import SMALL
+    rm = L.fitted_models(spark, SMALL, 5)
+    frame = PR.model_frame(L.stored_features(spark, SMALL), rm.mapping)
+    probs = {r.feature_row_id: r for r in M.probabilities(rm, frame).collect()}
+    trees, cols = M.forests(rm)["readmission"], rm.features["readmission"]
+    x = np.array([[rm.medians["readmission"][c] if probs[i][c] is None else probs[i][c] for c in cols] for i in sorted(probs)])
+    added = trees.attributions(x)
+    assert np.allclose(trees.base + added.sum(axis=1), [probs[i].p_readmission for i in sorted(probs)], atol=1e-12)
+    rows = {r.feature_row_id: json.loads(r.top_features) for r in M.top_features(rm, frame).collect()}
+    assert len(rows) == len(probs) and all(v["mortality"] == [] for v in rows.values())
+    for i, values in zip(sorted(probs), added):
+        want = sorted(((-abs(round(v, 6)), c) for c, v in zip(cols, values)))[:5]
+        assert [(-abs(e["contribution"]), e["feature"]) for e in rows[i]["readmission"]] == want
+    exact = M.top_features(rm, frame.where("feature_row_id <= 3"), exact=True).collect()
+    assert len(exact) == 3
