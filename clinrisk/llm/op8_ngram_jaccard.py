@@ -28,7 +28,7 @@ partial counts are summed per pair.
    pair of classes is listed with its counts.  The groups are the components of the links.
 
 ``similarity_join`` returns the links and which row is of which class;
-``link_counts`` the links of every row.  Nothing but a few counts reaches the driver.
+``link_counts`` the number of every row's links, summed in the block pairs without listing them.  Nothing but a few counts reaches the driver.
 
 Defined cases: documents without words (null, empty) have the empty set, 0
 shingles, and are their own component; with fewer than four words the whole
@@ -382,8 +382,9 @@ def link_groups(ranked: DataFrame) -> DataFrame:
     return label if more.isEmpty() else components(links.union(more))
 
 
-def _link_block(group: pa.Table) -> pa.Table:
-    """All linked pairs of one block pair of a group: overlaps by fragment, summed."""
+def _overlaps(group: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of one block pair of a group: its columns, the places of both sides, the overlaps (by fragment, summed), the
+    sums of both sizes, and which pairs link (each pair of classes once)."""
     c = {k: group.column(k).to_numpy() for k in ("rep", "n", "salt", "i", "j")}
     first = np.flatnonzero(c["salt"] == c["i"][0])
     second = np.flatnonzero(c["salt"] == c["j"][0])
@@ -409,25 +410,52 @@ def _link_block(group: pa.Table) -> pa.Table:
     linked = (100 + PERCENT) * both >= PERCENT * total
     if c["i"][0] == c["j"][0]:
         linked &= c["rep"][first][:, None] < c["rep"][second][None, :]
+    return c, first, second, both, total, linked
+
+
+def _link_block(group: pa.Table) -> pa.Table:
+    """All linked pairs of one block pair."""
+    c, first, second, both, total, linked = _overlaps(group)
     x, y = np.nonzero(linked)
     a, b = c["rep"][first[x]], c["rep"][second[y]]
     return pa.table([pa.array(v.astype(np.int64)) for v in (np.minimum(a, b), np.maximum(a, b), both[x, y], total[x, y] - both[x, y])],
                     names=["a", "b", "shared", "total"])
 
 
-def all_links(ranked: DataFrame, groups: DataFrame) -> DataFrame:
-    """(a, b, shared, total): every linked pair of classes, with the n-grams of both and of either."""
-    held = ranked.select("rep", "n", "grams").join(groups.withColumnRenamed("node", "rep"), "rep")
+def _count_block(group: pa.Table) -> pa.Table:
+    """Per class of one block pair with a link there: the ids of the classes that it links to."""
+    c, first, second, _, _, linked = _overlaps(group)
+    ids = group.column("ids").to_numpy()
+    rep = np.concatenate([c["rep"][first], c["rep"][second]])
+    n = np.concatenate([linked @ ids[second], ids[first] @ linked]).astype(np.int64)
+    return pa.table([pa.array(rep[n > 0]), pa.array(n[n > 0])], names=["rep", "linked"])
+
+
+def _block_pairs(ranked: DataFrame, groups: DataFrame, *columns: str):
+    """The groups' classes in pairs of blocks, for ``applyInArrow``."""
+    held = ranked.select("rep", "n", "grams", *columns).join(groups.withColumnRenamed("node", "rep"), "rep")
     held = stored(held, "groups")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.size("grams")) / BLOCK_GRAMS)).alias("parts")
     held = held.join(stored(held.groupBy("label").agg(parts), "group-parts"), "label")
     held = (held.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("parts")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))))
-    held = held.select("label", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"), "salt", "rep", "n", "grams")
-    return held.groupBy("label", "i", "j").applyInArrow(_link_block, "a bigint, b bigint, shared bigint, total bigint")
+    held = held.select("label", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"), "salt", "rep", "n", "grams", *columns)
+    return held.groupBy("label", "i", "j")
+
+
+def all_links(ranked: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b, shared, total): every linked pair of classes, with the n-grams of both and of either."""
+    return _block_pairs(ranked, groups).applyInArrow(_link_block, "a bigint, b bigint, shared bigint, total bigint")
+
+
+def linked_ids(ranked: DataFrame, groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(rep, linked): per class, the ids (``sizes``: rep, ids) of all classes that it links to.  Every pair is
+    compared as in ``all_links``; what leaves a block pair is a number a class, not a row a link."""
+    counts = _block_pairs(ranked.join(sizes, "rep"), groups, "ids").applyInArrow(_count_block, "rep bigint, linked bigint")
+    return counts.groupBy("rep").agg(F.sum("linked").alias("linked"))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Every row's class and component, (id, th, n_shingles, rep, component_id);
     the classes that can have a link, as ``ranked_grams``; their groups."""
     sets = stored(shingle_sets(docs, id_col, text_col), "sets")
@@ -455,16 +483,15 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def link_counts(docs: DataFrame, **columns) -> DataFrame:
-    """(id, th, n_shingles, n_links) of every row: the other ids it links to."""
-    rows, links = similarity_join(docs, **columns)
+    """(id, th, n_shingles, component_id, n_links) of every row: the other ids it links to."""
+    rows, ranked, groups = _grouped(docs, **columns)
     rows = stored(rows, "class-rows")
     sizes = rows.where("rep IS NOT NULL AND n_shingles > 0").groupBy("rep").agg(F.countDistinct("id").alias("ids"))
     sizes = stored(sizes, "class-sizes")
-    ends = links.select("a", "b").union(links.select("b", "a"))
-    other = (ends.join(sizes.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("ids").alias("linked")))
+    other = linked_ids(ranked, groups, sizes)
     counts = sizes.join(other, "rep", "left").select(F.col("rep").alias("r"), (F.col("ids") - 1 + F.coalesce("linked", F.lit(0))).alias("n"))
     out = rows.join(counts, (F.col("rep") == F.col("r")) & (F.col("n_shingles") > 0), "left")
-    return out.select("id", "th", "n_shingles", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"))
+    return out.select("id", "th", "n_shingles", "component_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -489,8 +516,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, _ = similarity_join(table(spark, sf_dir, "documents"))
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+    return link_counts(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 
 ORACLE = rf"""
@@ -503,5 +529,6 @@ g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
 links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id
           GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= {PERCENT} * (x.n + y.n - count(*))),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-SELECT doc_id, len(grams)::BIGINT AS n_shingles, (SELECT min(b) FROM reach WHERE a = doc_id) AS component_id FROM s
+SELECT doc_id, len(grams)::BIGINT AS n_shingles, (SELECT min(b) FROM reach WHERE a = doc_id) AS component_id,
+       (SELECT count(*) FROM links WHERE a = doc_id) AS n_links FROM s
 """
