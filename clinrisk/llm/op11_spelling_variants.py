@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from clinrisk.llm.bytewords import mix
 from clinrisk.llm.common import ascii_lower, map_arrow, stored, table
+from clinrisk.llm.crc_sql import CRC, crc32
 
 LETTERS = r"A-Za-zÀ-ÿ"
 MIN_CHARS = 6
@@ -283,3 +284,27 @@ def with_roots(docs: DataFrame, groups: DataFrame, text_col: str = "text") -> Da
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(damaged(runs(table(spark, sf_dir, "documents"))))
+
+
+#: Near words by shared slots (a word with one place blanked) and by cuts (with one place gone).
+ORACLE = f"""
+WITH RECURSIVE {CRC},
+r AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[{LETTERS}]+')) AS run FROM documents),
+l AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM r),
+g AS (SELECT id, run, count(*) AS n FROM l WHERE length(run) >= {MIN_CHARS} GROUP BY id, run),
+h AS (SELECT run, n, {crc32("id || ':' || run")} AS h FROM g, crc),
+w AS (SELECT CASE WHEN h % {DAMAGE} = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= {MIN_CHARS} GROUP BY word HAVING sum(n) >= {MIN_COUNT}),
+s AS (SELECT DISTINCT word, n, unnest(list_transform(range(length(word)), lambda i: substr(word, 1, i::INT) || '*' || substr(word, i::INT + 2))) AS slot FROM v),
+d AS (SELECT DISTINCT word, n, unnest(list_transform(range(length(word)), lambda i: substr(word, 1, i::INT) || substr(word, i::INT + 2))) AS cut FROM v),
+p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM s a JOIN s b ON a.slot = b.slot AND a.word <> b.word
+      UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.cut = v.word
+      UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.cut = v.word),
+b AS (SELECT word, count(*) AS n_near, first({{w: near, n: near_n}} ORDER BY near_n DESC, near) AS best FROM p GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= {RATIO} * v.n THEN best.w END AS form,
+             CASE WHEN best.n >= {RATIO} * v.n THEN best.n END AS form_n FROM v LEFT JOIN b USING (word)),
+e AS (SELECT word, form, word AS root, 0 AS steps FROM f
+      UNION ALL SELECT e.word, f.form, f.word, steps + 1 FROM e JOIN f ON e.form = f.word)
+SELECT word, f.form, arg_max(e.root, e.steps) AS root, f.n, f.n_near, f.form_n FROM f JOIN e USING (word)
+GROUP BY word, f.form, f.n, f.n_near, f.form_n
+"""

@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinrisk.llm.common import WS, map_arrow, stored, table
+from clinrisk.llm.crc_sql import CRC, crc32
 from clinrisk.operators.prefix import prefix_sums
 
 SEGMENT = 128                   # rows that are searched at once
@@ -413,3 +414,53 @@ def repair_report(conversations: DataFrame, rows: DataFrame, segment: int = SEGM
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return repair_report(turns, damaged(turns))
+
+
+_SQL_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+#: The cheapest path row by row: of every state after a row, the least (cost, audit) stays.  More than two
+#: insertions in a row are never cheapest.
+ORACLE = f"""
+WITH RECURSIVE {CRC},
+q AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h FROM conversations, crc),
+m AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+             CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
+      FROM q WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, rtrim(text, {_SQL_WS}) AS body,
+             CASE WHEN role = '' THEN ' ' ELSE role[1] END AS c FROM m),
+k AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                     WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+             lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS step FROM o),
+a AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+             count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (step NOT IN ('su', 'ua', 'au')) AS illegal FROM k GROUP BY conv_id),
+j(old, inserts, mid) AS (VALUES ('', 0, ''), ('', 1, 'u'), ('', 2, 'a'), ('s', 0, 's'), ('s', 1, 'u'), ('s', 2, 'a'),
+                                ('u', 0, 'u'), ('u', 1, 'a'), ('u', 2, 'u'), ('a', 0, 'a'), ('a', 1, 'u'), ('a', 2, 'a')),
+x AS (SELECT conv_id, 0::BIGINT AS i, '' AS state, 0::BIGINT AS cost, '' AS audit, ''::VARCHAR AS lines FROM a
+      UNION ALL
+      SELECT conv_id, i, state, cost, audit, lines FROM (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS place FROM (
+          SELECT x.conv_id, k.i, e.state, x.cost + 2 * j.inserts + e.cost AS cost, x.audit || repeat('I', j.inserts) || e.letter AS audit,
+                 x.lines || CASE WHEN j.inserts = 0 THEN '' WHEN j.inserts = 2 THEN CASE WHEN j.mid = 'a' THEN 'user:' || chr(10) || 'assistant:' ELSE 'assistant:' || chr(10) || 'user:' END || chr(10)
+                                 WHEN j.mid = 'u' THEN 'user:' || chr(10) ELSE 'assistant:' || chr(10) END
+                 || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN k.role || ':' || k.text || chr(10)
+                         ELSE CASE e.state WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || k.text || chr(10) END AS lines
+          FROM x JOIN k ON k.conv_id IS NOT DISTINCT FROM x.conv_id AND k.i = x.i + 1 JOIN j ON j.old = x.state,
+               LATERAL (SELECT unnest([
+                 {{letter: 'D', state: j.mid, cost: 3, ok: true}},
+                 {{letter: 'K', state: k.c, cost: (k.fault = 'truncated')::INT, ok: k.fault NOT IN ('blank', 'duplicate') AND
+                   ((k.c = 's' AND j.mid = '') OR (k.c = 'u' AND j.mid <> 'u') OR (k.c = 'a' AND j.mid = 'u'))}},
+                 {{letter: 'R', state: CASE j.mid WHEN 'u' THEN 'a' ELSE 'u' END, cost: 2 + (k.fault = 'truncated')::INT,
+                   ok: k.fault NOT IN ('blank', 'duplicate')}}], max_depth := 2)) e
+          WHERE e.ok)) WHERE place = 1),
+z AS (SELECT x.conv_id, x.cost + 2 * j.inserts AS cost, x.audit || repeat('I', j.inserts) AS audit,
+             x.lines || CASE WHEN j.inserts = 0 THEN '' WHEN j.inserts = 2 THEN 'user:' || chr(10) || 'assistant:' || chr(10) ELSE 'assistant:' || chr(10) END AS lines
+      FROM x JOIN a ON a.conv_id IS NOT DISTINCT FROM x.conv_id AND x.i = a.n JOIN j ON j.old = x.state
+      WHERE j.mid = 'a' OR (x.state = '' AND j.inserts = 0)),
+y AS (SELECT conv_id, first({{cost: cost, audit: audit, lines: lines}} ORDER BY cost, audit) AS best FROM z GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(CASE WHEN coalesce(best.lines, '') = '' THEN '' ELSE left(best.lines, length(best.lines) - 1) END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+     LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
