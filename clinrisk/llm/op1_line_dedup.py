@@ -8,18 +8,19 @@ least ``min_docs`` documents lose all their lines except in the largest
 How it runs (DataFrame functions only):
 
 1. every long line becomes (128-bit key hash, doc_id, position), written once;
-2. the hashes are range-partitioned by (hash, doc_id) and sorted with the
-   document descending and the position as secondary sort, so a hash held by a third of all
-   lines spans many tasks; each task streams its slice, the first row of a
-   (hash, document) run being its first occurrence, and sends one partial row
-   per hash;
-3. occurrences of repeated hashes that are not the keeper's set bits of
-   64-line words.  Only words with a dropped line are kept (all-ones words are
+2. the hashes are range-partitioned by (hash, document, position), the largest
+   document first, so a hash held by a third of all lines spans many tasks.  A
+   scan in that order (``prefix_scan``: what a task must know of the slices
+   before its own is carried into it) tells every row which documents its hash
+   has shown so far: the first row of a document is its first occurrence, and
+   the rows of the first document of all are the keeper's;
+3. first occurrences are counted per hash.  Occurrences of repeated hashes that
+   are not the keeper's set bits of 64-line words.  Only words with a dropped line are kept (all-ones words are
    implied), one short array per document: the compressed keep bitmap;
 4. ``apply_bitmaps`` cuts the texts, one join by document.
 
 Defined cases: a null or empty text is one empty line; a null ``doc_id`` is
-one id below all others; rows repeated with the same id count as one document
+one id below all others (ids are integers); rows repeated with the same id count as one document
 and each is returned; rows sharing an id but not the text have bitmaps of
 their own (the text's hash is part of the row key); an empty table gives no
 rows; other columns are carried untouched whatever their names.
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinrisk.llm.common import WS, ascii_lower, bit, stored, table
+from clinrisk.operators.prefix import prefix_scan
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -56,15 +58,15 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     and ``keep``, the words of the bitmap that are not all ones as
     array<struct<word, bits>>: bit i of word w is line 64 w + i."""
     occ = stored(line_occurrences(docs, min_chars, id_col, text_col), "line-hashes")
-    ranged = (occ.repartitionByRange("h1", "h2", F.col("id").desc())
-              .sortWithinPartitions("h1", "h2", F.col("id").desc(), "pos"))
-    # The range already keeps a (hash, document) run in one task: no further exchange here.
-    runs = ranged.groupBy("h1", "h2", "id").agg(F.first("pos").alias("first_pos"))
-    keys = (runs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keeper"))
-            .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"))
+    doc = F.coalesce(F.col("id").cast("bigint"), F.lit(-(1 << 63)))
+    seen = prefix_scan(occ, ["h1", "h2"], [doc.desc(), "th", "pos"], {"last": ("min", doc), "top": ("max", doc)}, once=False)
+    first = F.col("last").isNull() | (doc < F.col("last"))
+    keeper = F.col("top").isNull() | (doc == F.col("top"))
+    seen = stored(seen.select("id", "th", "pos", "h1", "h2", first.alias("first"), keeper.alias("keeper")), "line-runs")
+    repeated = seen.where("first").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= min_docs)
     # Both sides of the join are stored tables: a hash that a third of all lines share is split as a skewed join.
-    keys = stored(keys, "repeated-lines")
-    dropped = occ.join(keys, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
+    repeated = stored(repeated.select("h1", "h2"), "repeated-lines")
+    dropped = seen.where("NOT keeper").join(repeated, ["h1", "h2"], "left_semi")
     words = (dropped.groupBy("id", "th", F.floor(F.col("pos") / 64).cast("int").alias("word"))
              .agg(F.bit_or(bit(F.col("pos") % 64)).alias("gone")))
     return (words.groupBy("id", "th")

@@ -211,3 +211,15 @@ def test_license_scan_on_edge_rows(edge, empty):
 def test_stored_tables_lie_in_the_shared_folder(spark, documents):
     path = stored(documents.select("doc_id"), "probe").inputFiles()[0]
     assert spark.conf.get("spark.checkpoint.dir") in path
+
+
+def test_a_hot_line_is_scanned_in_slices(spark, docs, monkeypatch):
+    """The sorted scan decides the keeper, across the slices of one line."""
+    line = "x" * 50
+    df = docs(*[f"{line}\n{line}\nown {i}" for i in range(600)], ids=[(7 * i) % 600 for i in range(600)])
+    seen = []
+    monkeypatch.setattr(line_dedup, "stored", lambda f, name: seen.append((name, stored(f, name))) or seen[-1][1])
+    got = {r.id: r.n_dropped for r in line_dedup.keep_bitmaps(df).collect()}
+    assert got == {i: 2 for i in range(599)}
+    runs = dict(seen)["line-runs"]
+    assert {r.id for r in runs.where("keeper").collect()} == {599} and runs.where("first").count() == 600
