@@ -43,6 +43,23 @@ def label_encode(features: DataFrame, columns=C.CATEGORICAL_FEATURES, mapping: D
     return encoded
 
 
+def code_table(rows: DataFrame, column: str) -> DataFrame:
+    """G2 for a column with any number of values: (value, code), the code being
+    the value's rank in code-point order, NULL counting as 'Unknown'.  Ranks
+    are running counts over range partitions; nothing passes the driver."""
+    values = rows.select(F.coalesce(F.col(column), F.lit(UNKNOWN)).alias("value")).distinct()
+    return prefix_sums(values, [], ["value"], {"code": F.lit(1).cast("bigint")})
+
+
+def encode_by_join(rows: DataFrame, column: str, codes: DataFrame) -> DataFrame:
+    """``column`` replaced by its code.  A value that ``codes`` lacks gets the
+    code of 'Unknown', or else the next free one.  A value that most rows hold is one row of ``codes``: Spark splits it as a skewed join."""
+    other = codes.agg(F.coalesce(F.max(F.when(F.col("value") == UNKNOWN, F.col("code"))), F.max("code") + 1, F.lit(0))).first()[0]
+    held = codes.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+    joined = rows.join(held, F.coalesce(F.col(column), F.lit(UNKNOWN)) == F.col("__value"), "left")
+    return joined.withColumn(column, F.coalesce("__code", F.lit(other)).cast("bigint")).drop("__value", "__code")
+
+
 def derived_features(encoded: DataFrame) -> DataFrame:
     """Pulse pressure, shock index (SBP 0 -> missing), age over 65."""
     return encoded.select(

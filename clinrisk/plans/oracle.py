@@ -737,3 +737,6 @@ SELECT * FROM (WITH both_runs AS (
 SELECT row_number() OVER (ORDER BY k, admission_id, type_ord, score_id NULLS FIRST) AS alert_id, patient_id, score_id, alert_type,
        severity, message, false AS is_acknowledged, CAST(NULL AS VARCHAR) AS acknowledged_by, {AS_OF_T} AS created_at, k = 1 AS is_second
 FROM both_runs)""")
+
+ORACLE["label_encode_wide"] = with_star("""
+SELECT admission_id, CAST(dense_rank() OVER (ORDER BY coalesce(notes, 'Unknown')) - 1 AS BIGINT) AS notes FROM admissions""")

@@ -583,3 +583,10 @@ def q_merge_audit_failed(s: Star) -> DataFrame:
     """I7 where the birth date of every fifth patient is unknown: their prompts fail."""
     known = s.patients.withColumn("date_of_birth", F.when(F.col("patient_id") % 5 != 0, F.col("date_of_birth")))
     return EX.merge_audit(EX.prompts(EX.pending(_scores(s), known, s.admissions, s.vitals, s.diagnoses)))
+
+
+@query("label_encode_wide")
+def q_label_encode_wide(s: Star) -> DataFrame:
+    """G2 over a column with about as many values as rows: the admissions' notes."""
+    rows = s.admissions.select("admission_id", "notes")
+    return PR.encode_by_join(rows, "notes", P.stored(PR.code_table(rows, "notes"), "note-codes"))

@@ -102,6 +102,16 @@ def test_unknown_categories_and_a_later_batch_get_the_stored_codes(spark):
     assert got == [(1, 1), (2, 1), (2, 1)]
 
 
+def test_codes_of_a_wide_column(spark):
+    rows = [(i, None if i % 50 == 0 else f"v{(i * 7919) % 2000:05}" if i % 3 else "common") for i in range(6000)]
+    df = spark.createDataFrame(rows, "k long, c string")
+    codes = PR.code_table(df, "c")
+    order = {v: i for i, v in enumerate(sorted({v or "Unknown" for _, v in rows}))}
+    assert {r.value: r.code for r in codes.collect()} == order
+    later = spark.createDataFrame([(1, "common"), (2, None), (3, "never seen")], "k long, c string")
+    assert {r.k: r.c for r in PR.encode_by_join(later, "c", codes).collect()} == {1: order["common"], 2: order["Unknown"], 3: order["Unknown"]}
+
+
 def test_zero_pressure_height_and_missing_bounds(spark):
     df = spark.createDataFrame(feature_rows(2, systolic_bp=lambda i: [0.0, 100.0][i]), FEATURES)
     assert [r.shock_index for r in PR.derived_features(PR.label_encode(df)).orderBy("feature_row_id").collect()] == [None, 0.8]
