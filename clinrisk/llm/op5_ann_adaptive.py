@@ -89,6 +89,11 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, which changes no digit: squares of huge or tiny components stay in range."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None])
+
+
 def _firsts(ids: np.ndarray) -> np.ndarray:
     """The places where an id stands first, ascending."""
     return np.sort(np.unique(ids, return_index=True)[1])
@@ -201,11 +206,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
         out: tuple[list, list, list] = ([], [], [])
         if c.num_rows and q.num_rows:
             c = c.sort_by("id")
-            ids, x = c.column("id").to_numpy(), _matrix(c.column("v"), index.dim)
+            ids, x = c.column("id").to_numpy(), _scaled(_matrix(c.column("v"), index.dim))
             turned = unit(x) @ index.rotation
             blocks = [np.ascontiguousarray(turned[:, a:a + COLUMNS]) for a in range(0, index.dim, COLUMNS)]
             norms = np.sqrt((x * x).sum(axis=1))
-            qx = _matrix(q.column("v"), index.dim)
+            qx = _scaled(_matrix(q.column("v"), index.dim))
             for qid, vec, spin in zip(q.column("id").to_pylist(), qx, unit(qx) @ index.rotation):
                 found, _ = adaptive_scan(spin, blocks, k + 1, ids=ids, own=qid)         # one more than asked, for the tests' error
                 cosine = (x[found] * vec).sum(axis=1) / (norms[found] * np.sqrt((vec * vec).sum()))

@@ -171,6 +171,17 @@ def test_vectors_that_take_no_part_ties_and_blocks(spark, monkeypatch):
     assert [(r.query_id, r.vec_id) for r in few] == [(50, 51)]
 
 
+def test_huge_and_tiny_components(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(60, 8))
+    rows = [(i, (v * 10.0 ** (200 * (i % 3 - 1))).tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.nearest(df, F.col("id") % 20 == 0).collect()
+    for i in (0, 20, 40):
+        mine = sorted((r for r in got if r.query_id == i), key=lambda r: r.rank)
+        assert [r.vec_id for r in mine] == brute_nearest(np.arange(60), x, i) and all(-1 <= r.score <= 1 for r in mine)
+
+
 @pytest.mark.parametrize("times", [2, 6])
 def test_repeated_rows_take_no_places(spark, times):
     rng = np.random.default_rng(4)
