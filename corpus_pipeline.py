@@ -12,6 +12,13 @@ predecessor kept, each by one operator of ``clinrisk.llm``:
 All but the last return the columns of ``documents``.  ``run`` writes each
 stage's rows as Parquet in the shared folder and reads them again for the
 next one, so a lost executor never sends the work back more than one stage.
+
+Defined cases, by stage: a null or empty text is scored as padding, has no long line, is no near duplicate of
+anything, and has no words, so ``mixing`` leaves it out; a null ``doc_id`` keeps its row up to the packed pieces;
+a null ``source`` is a source, last in order; rows repeated with one id and text are one near-duplicate class, of which one
+row stays; rows sharing an id but not the text are judged each by its own text; texts of any length and any run of
+blanks are packed whole; further columns are carried up to ``mixing``, whatever their names; without labels every document is
+kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
