@@ -23,7 +23,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinrisk import config as C
@@ -35,6 +35,10 @@ from clinrisk.operators.scoring import RISKS, score_table
 from clinrisk.session import ship
 
 
+#: Rows of a fit's partition at most, and below which a further one does not pay.
+FIT_ROWS, SMALL_ROWS = 500_000, 20_000
+
+
 @dataclass
 class RiskModels:
     """Per target: its features, medians and fitted pipeline (None: constant 0);
@@ -60,8 +64,11 @@ def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int =
     weights = {(r["target"], r["label"]): (r["weight"], r["n"]) for r in PR.class_weights(split).collect()}
     cols = {n: [c for c in C.FEATURE_COLUMNS if med[n].get(c) is not None] for n in C.TARGETS}
 
-    # The label codes and derived columns are worked out once; the targets' fits then run side by side.
+    # The label codes and derived columns are worked out once.  The targets' fits run side by side while the rows are
+    # few; each holds its rows with a count for every tree, so larger ones follow one another.
     frame = stored(frame, "model-frame")
+    spark = frame.sparkSession
+    most = max([weights[n, 0][1] + weights[n, 1][1] for n in C.TARGETS if {(n, 0), (n, 1)} <= set(weights)], default=0)
 
     def fit_one(name: str) -> PipelineModel | None:
         label = C.TARGETS[name]
@@ -75,14 +82,25 @@ def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int =
         rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="w",
                                     numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                     featureSubsetStrategy="sqrt", bootstrap=True,
+                                    # Each row's node is kept from level to level; the trees are the same.
+                                    cacheNodeIds=True, checkpointInterval=-1,
                                     probabilityCol="prob", rawPredictionCol="raw", predictionCol="pred")
         assembler = VectorAssembler(inputCols=cols[name], outputCol="features", handleInvalid="keep")
-        return Pipeline(stages=[assembler, rf]).fit(rows.withColumn("w", w))
-    with ThreadPoolExecutor(len(C.TARGETS)) as pool:
+        # A fit reads its rows several times, and every partition sends the statistics of all open nodes: the rows are
+        # joined and imputed once, into partitions of many rows.
+        held = rows.select("feature_row_id", label, w.alias("w"), *cols[name])
+        held = stored(held.repartition(_fit_partitions(n, spark), "feature_row_id").sortWithinPartitions("feature_row_id"), "fit-rows")
+        return Pipeline(stages=[assembler, rf]).fit(held)
+    with ThreadPoolExecutor(len(C.TARGETS) if most <= FIT_ROWS else 1) as pool:
         models = dict(zip(C.TARGETS, pool.map(fit_one, C.TARGETS)))
     return RiskModels(cols, med, models, split, mapping)
 
 
+def _fit_partitions(rows: int, spark: SparkSession) -> int:
+    """Partitions of a fit's rows: the cores while they have work, and more only past ``FIT_ROWS`` rows each."""
+    return max(min(spark.sparkContext.defaultParallelism, -(-rows // SMALL_ROWS)), -(-rows // FIT_ROWS), 1)
+
+
 def _positive(rm: RiskModels, target: str, frame: DataFrame, column: str) -> DataFrame:
     """``frame`` (imputed for the target) with the positive class's
     probability; 0 without a model or where a fit saw no positive row."""
@@ -112,10 +130,11 @@ def risk_scores(rm: RiskModels, frame: DataFrame, **run) -> DataFrame:
 def evaluation_rows(rm: RiskModels, frame: DataFrame) -> DataFrame:
     """(target, label, score, prediction) of every target's held-out rows.  The
     score is the raw probability; a tie goes to class 0, the first of equals."""
-    probs = probabilities(rm, frame)
+    held = rm.split.where("is_test")
+    probs = probabilities(rm, frame.join(held.select("feature_row_id").distinct(), "feature_row_id", "left_semi"))
     long = probs.select("feature_row_id", F.explode(F.array(*[
         F.struct(F.lit(n).alias("target"), F.col(f"p_{n}").alias("score")) for n in C.TARGETS])).alias("x"))
-    rows = long.select("feature_row_id", "x.target", "x.score").join(rm.split.where("is_test"), ["feature_row_id", "target"])
+    rows = long.select("feature_row_id", "x.target", "x.score").join(held, ["feature_row_id", "target"])
     return rows.select("target", "label", "score", (F.col("score") > 0.5).cast("bigint").alias("prediction"))
 
 
