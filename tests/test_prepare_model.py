@@ -14,7 +14,8 @@ from clinrisk.operators import evaluate as EV
 from clinrisk.operators import model as M
 from clinrisk.operators import prepare as PR
 from clinrisk.operators.forest import Forest, tree_table
-from clinrisk.operators.prefix import prefix_sums
+from clinrisk.operators import prefix as P
+from clinrisk.operators.prefix import prefix_sums, running_count
 
 
 def test_running_sums_split_a_hot_group(spark):
@@ -27,6 +28,36 @@ def test_running_sums_split_a_hot_group(spark):
         sums[g] += v
 
 
+def test_running_count_over_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(P, "ROWS_A_PARTITION", 100)
+    assert P.partitions_for(1001, spark) == 11              # more rows, more partitions
+    df = spark.createDataFrame([(i * 7919 % 1001, i % 3) for i in range(1001)], "k int, v int").repartition(5)
+    assert {r.k: r.n for r in running_count(df, ["k"], "n").collect()} == {k: k for k in range(1001)}
+    made = running_count(df, [F.col("k").desc()], "n", expand=lambda rows: rows.select("k", F.explode(F.sequence(F.lit(0), F.col("v"))).alias("e"))).collect()
+    assert [(r.k, r.e) for r in sorted(made, key=lambda r: r.n)] == [(k, e) for k in range(1000, -1, -1) for e in range({i * 7919 % 1001: i % 3 for i in range(1001)}[k] + 1)]
+    assert sorted(r.n for r in made) == list(range(len(made)))
+    assert running_count(df.limit(0), ["k"], "n").count() == 0
+
+
+def test_split_ranks_one_cell_only(spark, monkeypatch):
+    ranked = []
+    monkeypatch.setattr(PR, "SPLIT_CELLS", 16)
+    monkeypatch.setattr(PR, "prefix_sums", lambda df, *a, **k: ranked.append(df.count()) or prefix_sums(df, *a, **k))
+    df = spark.createDataFrame([(i, int(i % 9 == 0), int(i % 2 == 0), None) for i in range(1, 901)],
+                               "feature_row_id bigint, readmitted_30d bigint, deteriorated bigint, mortality bigint")
+    draws = {r[0]: r[1] for r in df.select("feature_row_id", PR.uniform("split", F.col("feature_row_id"), 0)).collect()}
+    got = {(r.target, r.feature_row_id): r.is_test for r in PR.stratified_split(df).collect()}
+    assert len(got) == 1800 and ranked[0] < 400
+    for target, of in (("readmission", lambda i: i % 9 == 0), ("deterioration", lambda i: i % 2 == 0)):
+        for cls in (True, False):
+            order = sorted((i for i in range(1, 901) if of(i) == cls), key=lambda i: (draws[i], i))
+            assert [i for i in order if got[target, i]] == order[:math.floor(0.2 * len(order) + 0.5)]
+
+
+def test_partitions_of_a_fit(spark):
+    assert M._fit_partitions(10, spark) == 1 and M._fit_partitions(100_000, spark) == 4 and M._fit_partitions(5_000_000, spark) == 10
+
+
 def test_auc_of_many_distinct_raw_scores(spark):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     rng = random.Random(5)
