@@ -10,7 +10,7 @@ from clinrisk.plans.catalog import Catalog, feature_sql
 from clinrisk.session import path_exists, scratch_path
 from clinrisk.sources import guards as G
 from clinrisk.sources import keyfilter as K
-from clinrisk.sources.sinks import AlertStore, ScoreStore
+from clinrisk.sources.sinks import AlertStore, ScoreStore, append_guarded
 
 PATIENTS = "patient_id bigint, full_name string, date_of_birth date, gender string, blood_type string, contact_number string, email string, emergency_contact string"
 ADMISSIONS = ("admission_id bigint, patient_id bigint, admission_date timestamp_ntz, admission_type string, discharge_status string, "
@@ -197,3 +197,28 @@ def test_catalogs_do_not_disturb_each_other(spark):
     assert frame.count() == L.stored_features(spark, SMALL).count()
     # Children are summed up before the join: no plan node multiplies them.
     assert "CartesianProduct" not in frame._jdf.queryExecution().toString()
+
+
+def test_whole_rows_meet_the_key_bits_in_one_join(spark, monkeypatch):
+    root, joined, frames = scratch_path(spark, "guarded"), [], type(spark.range(0))
+    G.append_checked(patients(spark, (1, "A", BORN), (2, "B", BORN)), root, "patients")
+    rows = admissions(spark, (1, 1, NOW), (2, 9, NOW), (3, 2, NOW), (3, 1, NOW), (None, 9, NOW))
+    plain = frames.join
+    monkeypatch.setattr(frames, "join", lambda self, *a, **k: joined.append("attending_doctor" in self.columns) or plain(self, *a, **k))
+    assert G.append_checked(rows, root, "admissions", on_violation="quarantine") == (1, 4)
+    assert sum(joined) == 1
+    assert put_aside(spark, root, "admissions") == sorted([(2, "fk_patient_id"), (3, "key_repeated"), (3, "key_repeated"), (None, "fk_patient_id,key_null")], key=str)
+
+
+def test_a_batch_of_new_keys_is_appended_without_a_join_of_whole_rows(spark, monkeypatch):
+    frames = type(spark.range(0))
+    path, joined, plain = scratch_path(spark, "table"), [], frames.join
+
+    def rows(*keys):
+        return spark.createDataFrame([(k, f"v{k}") for k in keys], "k bigint, v string")
+    assert append_guarded(rows(1, 2), path, "k", on_conflict="skip") == 2
+    monkeypatch.setattr(frames, "join", lambda self, *a, **k: joined.append("v" in self.columns) or plain(self, *a, **k))
+    assert append_guarded(rows(3, 4), path, "k", on_conflict="skip") == 2 and not any(joined)
+    assert append_guarded(rows(4, 5), path, "k", on_conflict="skip") == 1 and sum(joined) == 1
+    assert append_guarded(rows(4, 5), path, "k", on_conflict="skip") == 0
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
