@@ -2,11 +2,15 @@
 
 ``Catalog`` registers a set of tables as temporary views of the session, and
 the three views as SQL text over them, so that ``sql`` turns any query into a
-DataFrame that the optimizer plans as a whole.
+DataFrame that the optimizer plans as a whole.  A table may be given by the
+function that builds it: it is built once a text, or a view of it, names it.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clinrisk import config as C
@@ -68,17 +72,28 @@ class Catalog:
     text is read: a second catalog of the session does not change what an
     earlier one's DataFrames read."""
 
-    def __init__(self, tables: dict[str, DataFrame]):
+    def __init__(self, tables: dict[str, DataFrame | Callable[[], DataFrame]]):
         self.tables = dict(tables)
-        self.spark: SparkSession = next(iter(tables.values())).sparkSession
+        self.spark: SparkSession = next(df for df in tables.values() if isinstance(df, DataFrame)).sparkSession
+
+    def _named(self, text: str) -> set[str]:
+        """The tables and views that ``text`` names, or a view that it names."""
+        for _ in VIEWS:                                             # a view may read a view
+            text = " ".join([text, *(v for n, v in VIEWS.items() if re.search(rf"\b{n}\b", text, re.IGNORECASE))])
+        return {n for n in [*self.tables, *VIEWS] if re.search(rf"\b{n}\b", text, re.IGNORECASE)}
 
-    def register(self) -> None:
-        """Bind the names in the session."""
+    def register(self, text: str | None = None) -> None:
+        """Bind the names in the session: all, or those that ``text`` reads and the tables that need no building."""
+        names = {*self.tables, *VIEWS} if text is None else self._named(text)
         for name, df in self.tables.items():
-            df.createOrReplaceTempView(name)
-        for name, text in VIEWS.items():
-            self.spark.sql(text).createOrReplaceTempView(name)
+            if name in names and not isinstance(df, DataFrame):
+                self.tables[name] = df = df()
+            if isinstance(df, DataFrame):
+                df.createOrReplaceTempView(name)
+        for name, view in VIEWS.items():
+            if name in names:
+                self.spark.sql(view).createOrReplaceTempView(name)
 
     def sql(self, text: str) -> DataFrame:
-        self.register()
+        self.register(text)
         return self.spark.sql(text)

@@ -199,6 +199,26 @@ def test_catalogs_do_not_disturb_each_other(spark):
     assert "CartesianProduct" not in frame._jdf.queryExecution().toString()
 
 
+def test_a_table_is_built_for_the_texts_that_name_it(spark):
+    built = []
+    def scores():
+        built.append("scores")
+        return spark.sql("SELECT 1L AS score_id, 1L AS patient_id, DATE '2002-01-01' AS scored_at")
+    held = Catalog({"vitals": spark.sql("SELECT 1L AS vital_id, 1L AS patient_id, DATE '2002-01-01' AS recorded_at"), "risk_scores": scores})
+    held.spark.sql("SELECT 7 AS score_id").createOrReplaceTempView("risk_scores")       # another's
+    assert held.sql("SELECT * FROM V_Latest_Vitals").count() == 1 and not built
+    assert held.sql("SELECT score_id FROM v_latest_risk").first().score_id == 1 and built == ["scores"]
+    assert held.sql("SELECT score_id FROM risk_scores").first().score_id == 1 and built == ["scores"]
+
+
+def test_the_sql_feature_frame_builds_no_scores(spark, monkeypatch):
+    from clinrisk.plans import load as L, registry as R
+    from small import SMALL
+    for name in ("stored_rule_scores", "stored_alerts", "stored_features"):
+        monkeypatch.setattr(L, name, lambda *a, name=name: pytest.fail(name))
+    assert R.QUERIES["sql_feature_frame"](spark, SMALL).count() == 1470
+
+
 def test_whole_rows_meet_the_key_bits_in_one_join(spark, monkeypatch):
     root, joined, frames = scratch_path(spark, "guarded"), [], type(spark.range(0))
     G.append_checked(patients(spark, (1, "A", BORN), (2, "B", BORN)), root, "patients")
