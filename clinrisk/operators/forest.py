@@ -57,23 +57,30 @@ class Forest:
         self.right = np.where(leaf, here, at + np.array([r.right for r in rows]))
         self.value = np.array([r.value for r in rows])
         self.weight = np.array([r.weight for r in rows])
+        #: A node's children, right and left; the change of the value on the step to a node.
+        self.child = np.column_stack([self.right, self.left]).reshape(-1)
+        self.inner = ~leaf
+        self.added = np.zeros(len(rows))
+        for side in (self.left, self.right):
+            self.added[side[self.inner]] = self.value[side[self.inner]] - self.value[self.inner]
         #: Probability of a row about which nothing is known.
         self.base = float(self.value[self.roots].mean())
 
     def attributions(self, x: np.ndarray) -> np.ndarray:
         """(rows, features): what each feature adds to the row's probability over ``base``."""
-        out = np.zeros(x.shape)
-        rows = np.arange(len(x))
+        values, out = np.ascontiguousarray(x).reshape(-1), np.zeros(x.size)
+        start = np.arange(len(x)) * x.shape[1]
         for root in self.roots.tolist():
-            node = np.full(len(x), root)
-            going = rows
-            while len(going):
-                f = self.feature[node]
-                child = np.where(x[going, f] <= self.threshold[node], self.left[node], self.right[node])
-                out[going, f] += self.value[child] - self.value[node]
-                more = ~self.leaf[child]
-                going, node = going[more], child[more]
-        return out / len(self.roots)
+            if self.leaf[root]:
+                continue
+            node, row = np.full(len(x), root), start
+            while len(row):
+                cell = row + self.feature.take(node)
+                child = self.child.take(2 * node + (values.take(cell) <= self.threshold.take(node)))
+                out[cell] += self.added.take(child)                 # a row has one cell in a step
+                more = np.flatnonzero(self.inner.take(child))
+                row, node = row.take(more), child.take(more)
+        return out.reshape(x.shape) / len(self.roots)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return self.base + self.attributions(x).sum(axis=1)

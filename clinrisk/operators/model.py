@@ -89,7 +89,7 @@ def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int =
         # A fit reads its rows several times, and every partition sends the statistics of all open nodes: the rows are
         # joined and imputed once, into partitions of many rows.
         held = rows.select("feature_row_id", label, w.alias("w"), *cols[name])
-        held = stored(held.repartition(_fit_partitions(n, spark), "feature_row_id").sortWithinPartitions("feature_row_id"), "fit-rows")
+        held = stored(held.repartition(_whole_rounds(_fit_partitions(n, spark), spark), "feature_row_id").sortWithinPartitions("feature_row_id"), "fit-rows")
         return Pipeline(stages=[assembler, rf]).fit(held)
     with ThreadPoolExecutor(len(C.TARGETS) if most <= FIT_ROWS else 1) as pool:
         models = dict(zip(C.TARGETS, pool.map(fit_one, C.TARGETS)))
@@ -101,6 +101,13 @@ def _fit_partitions(rows: int, spark: SparkSession) -> int:
     return max(min(spark.sparkContext.defaultParallelism, -(-rows // SMALL_ROWS)), -(-rows // FIT_ROWS), 1)
 
 
+def _whole_rounds(partitions: int, spark: SparkSession) -> int:
+    """So many partitions, or as many more as keep every core at work in the last round of tasks too: a fit waits for
+    the last task of every level."""
+    cores = spark.sparkContext.defaultParallelism
+    return partitions if partitions <= cores else -(-partitions // cores) * cores
+
+
 def _positive(rm: RiskModels, target: str, frame: DataFrame, column: str) -> DataFrame:
     """``frame`` (imputed for the target) with the positive class's
     probability; 0 without a model or where a fit saw no positive row."""

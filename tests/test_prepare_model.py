@@ -58,6 +58,28 @@ def test_partitions_of_a_fit(spark):
     assert M._fit_partitions(10, spark) == 1 and M._fit_partitions(100_000, spark) == 4 and M._fit_partitions(5_000_000, spark) == 10
 
 
+def test_the_last_round_of_a_fits_tasks_is_full(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for rows in (10, 100_000, 700_000, 5_000_000, 7_056_000):
+        few = M._fit_partitions(rows, spark)
+        n = M._whole_rounds(few, spark)
+        assert n == few if few <= cores else few <= n < few + cores and n % cores == 0
+
+
+def test_a_fits_rows_are_dealt_in_whole_rounds(spark, monkeypatch):
+    monkeypatch.setattr(M, "FIT_ROWS", 300)
+    dealt, plain = [], type(spark.range(0)).repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda self, n, *c: dealt.append(n) or plain(self, n, *c))
+    from clinrisk.plans import load as L
+    from small import SMALL
+    M.fit(L.stored_features(spark, SMALL), num_trees=1, max_depth=2)
+    assert dealt.count(4) == 2                  # 1,176 rows: 4 parts of 300 on 4 cores
+    dealt.clear()
+    monkeypatch.setattr(M, "FIT_ROWS", 200)
+    M.fit(L.stored_features(spark, SMALL), num_trees=1, max_depth=2)
+    assert dealt.count(8) == 2 and 6 not in dealt
+
+
 def test_auc_of_many_distinct_raw_scores(spark):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     rng = random.Random(5)
@@ -263,3 +285,16 @@ def test_stored_lists_hold_the_largest_contributions(spark):
         assert [(-abs(e["contribution"]), e["feature"]) for e in rows[i]["readmission"]] == want
     exact = M.top_features(rm, frame.where("feature_row_id <= 3"), exact=True).collect()
     assert len(exact) == 3
+
+
+def test_a_walk_down_trees_that_are_a_leaf(spark):
+    from collections import namedtuple
+    Node = namedtuple("Node", "tree node feature threshold left right value weight")
+    leaf = Node(0, 0, -1, None, -1, -1, 0.25, 3.0)
+    split = [Node(1, 0, 1, 0.5, 1, 2, 0.5, 4.0), Node(1, 1, -1, None, -1, -1, 0.125, 2.0), Node(1, 2, -1, None, -1, -1, 0.875, 2.0)]
+    x = np.array([[9.0, 0.5], [9.0, 0.75]])
+    assert Forest([leaf]).attributions(x).tolist() == [[0, 0], [0, 0]]
+    assert Forest([leaf, *split]).attributions(x).tolist() == [[0, -0.1875], [0, 0.1875]]
+    # A node's step is one table look-up: the children lie in one array, the changes of the value in another.
+    assert Forest([leaf, *split]).added.tolist() == [0, 0, -0.375, 0.375]
+    assert Forest([leaf, *split]).attributions(x[:0]).shape == (0, 2)
