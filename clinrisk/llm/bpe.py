@@ -12,10 +12,11 @@ recursion.  Special tokens in a text are cut out first, as the library does.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-import numpy as np
 import public_tokenizers
 
 #: White space of the splitting pattern (Python's \\s has \x1c-\x1f besides), and letters that need no table.
@@ -27,7 +28,7 @@ _LETTERS = re.compile(f" ?[{_L}]+")
 _CUT = re.compile(f"(?<=[^{_B}])[{_B}]")
 
 WINDOW = 1 << 18            # characters whose runs are held at once
-CACHED = 400_000            # runs that are remembered
+CACHED = 800_000            # runs that are remembered
 LONGEST = 64                # characters of such a run
 
 
@@ -52,14 +53,21 @@ class Encoder:
         self.missed = 0
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        packed = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _learn(self, new: set[str]) -> dict[str, bytes]:
         found = {}
         model = self.tokenizer.model
         other = []
         for run in new:
-            if len(run) <= LONGEST and _LETTERS.fullmatch(run):         # one word of the splitting pattern
+            if len(run) > LONGEST:
+                other.append(run)
+            elif run.isascii() and run[run[0] == " ":].isalpha():      # one word of the splitting pattern, only its space is renamed
+                found[run] = self._packed([t.id for t in model.tokenize(run.replace(" ", self.names[32]))])
+            elif _LETTERS.fullmatch(run):                               # such a word
                 found[run] = self._packed([t.id for t in model.tokenize(run.encode().decode("latin-1").translate(self.names))])
             else:
                 other.append(run)

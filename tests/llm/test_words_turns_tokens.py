@@ -322,3 +322,14 @@ def test_token_output_on_edge_rows(spark, edge, empty):
     path = scratch_path(spark, "tokens")
     output.write_tokens(empty, path)
     assert output.documents(spark, path).collect() == []
+
+
+def test_half_a_million_words_are_encoded_once():
+    words = [" " + "".join(chr(97 + i // 26 ** k % 26) for k in range(5)) for i in range(500_000)]
+    e, learned = bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    plain = e._learn
+    e._learn = lambda new: learned.append(len(new)) or plain(new)
+    first = list(e.encode("".join(words[i:i + 10_000]) for i in range(0, len(words), 10_000)))
+    assert sum(learned) == len(words)
+    learned.clear()
+    assert list(e.encode("".join(words[i:i + 10_000]) for i in range(0, len(words), 10_000))) == first and not learned
