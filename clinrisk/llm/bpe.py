@@ -15,10 +15,11 @@ import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import public_tokenizers
 
+from clinrisk.llm.common import kept
+
 #: White space of the splitting pattern (Python's \\s has \x1c-\x1f besides), and letters that need no table.
 _B = "\t-\r \x85\xa0  -     　"
 _L = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -28,7 +29,7 @@ _LETTERS = re.compile(f" ?[{_L}]+")
 _CUT = re.compile(f"(?<=[^{_B}])[{_B}]")
 
 WINDOW = 1 << 18            # characters whose runs are held at once
-CACHED = 800_000            # runs that are remembered
+CACHED = 800_000            # runs that are remembered, some 200 MB
 LONGEST = 64                # characters of such a run
 
 
@@ -42,8 +43,9 @@ def _byte_names() -> dict[int, str]:
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian bytes, ``width`` bytes an id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int | None = None):
         from tokenizers import Tokenizer
+        self.cached = CACHED if cached is None else cached
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.names = _byte_names()
@@ -73,11 +75,11 @@ class Encoder:
                 other.append(run)
         for run, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             found[run] = self._packed(e.ids)
-        if len(self.known) < CACHED:
+        if len(self.known) < self.cached:
             self.known.update((run, ids) for run, ids in found.items() if len(run) <= LONGEST)
         else:
             self.missed += len(found)
-            if self.missed > 4 * CACHED:            # other texts than those it was filled from
+            if self.missed > 4 * self.cached:            # other texts than those it was filled from
                 self.known, self.missed = {}, 0
         return found
 
@@ -128,7 +130,6 @@ class Encoder:
         yield from flush()
 
 
-@lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> Encoder:
-    """The encoder of ``<vocabulary>.json``, one a worker."""
-    return Encoder(public_tokenizers.path(f"{vocabulary}.json"))
+def encoder(vocabulary: str, cached: int | None = None) -> Encoder:
+    """The encoder of ``<vocabulary>.json``, one a worker while tasks with ``keep`` follow each other."""
+    return kept(("encoder", vocabulary, cached), lambda: Encoder(public_tokenizers.path(f"{vocabulary}.json"), cached))

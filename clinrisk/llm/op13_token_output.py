@@ -151,7 +151,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_i
                     doc_ids, held, size, seq = [], [], 0, seq + 1
         if held:
             yield close()
-    made = map_arrow(ranged, write, "segment binary")
+    made = map_arrow(ranged, write, "segment binary", keep=True)
     # The text writer adds the tail to a row's bytes, and changes nothing in them.
     made.select(F.col("segment").cast("string").alias("value")).write.option("lineSep", _TAIL).option("compression", "none") \
         .option("maxRecordsPerFile", SEGMENTS_A_FILE).text(path)
@@ -179,7 +179,7 @@ def token_rows(spark: SparkSession, path: str) -> DataFrame:
                         pa.array([name] * n, pa.string()), pa.array(np.full(n, s.part, np.int64)), pa.array(np.full(n, s.seq, np.int64)),
                         pa.array(np.arange(n)), pa.array(keys, mask=np.arange(n) < s.nulls), pa.array(begins), pa.array(ends - begins),
                         pa.array(crcs, pa.int64())], names=[c.split()[0] for c in schema.split(", ")])
-    return map_arrow(_files(spark, path), read, schema)
+    return map_arrow(_files(spark, path), read, schema, keep=True)
 
 
 def manifest(rows: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def read_documents(spark: SparkSession, listed: DataFrame, doc_ids: list[int]) -
                     found = [(d, s.ids[slice(*s.span(i))].tolist()) for d in sorted(set(doc_ids)) for i in s.find(d)]
                     yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.int64()))],
                                                      names=["doc_id", "ids"])
-    return map_arrow(_files(spark, paths), read, schema)
+    return map_arrow(_files(spark, paths), read, schema, keep=True)
 
 
 def op13_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

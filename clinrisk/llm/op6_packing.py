@@ -104,10 +104,11 @@ class Bins:
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_bpe_50k",
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: which ids of which document lie where in which sequence."""
+         id_col: str = "doc_id", text_col: str = "text", cached: int | None = None) -> DataFrame:
+    """One row per piece: which ids of which document lie where in which sequence.
+    ``cached``: runs that a worker remembers (it changes time and memory only)."""
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(vocabulary)
+        bpe = encoder(vocabulary, cached)
         end = np.array([END_ID], f"<u{bpe.width}").tobytes()
         bins = Bins(TaskContext.get().partitionId(), capacity)
         for batch in batches:
@@ -118,7 +119,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_bpe_
                     yield bins.flush()
         bins.finish()
         yield bins.flush()
-    return map_arrow(docs.select(id_col, text_col), worker, OUT)
+    return map_arrow(docs.select(id_col, text_col), worker, OUT, keep=True)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

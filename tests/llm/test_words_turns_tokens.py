@@ -9,10 +9,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from clinrisk.llm import bpe
+from clinrisk.llm import bpe, common
+from clinrisk.llm import op6_packing as packing
 from clinrisk.llm import op11_spelling_variants as spelling
 from clinrisk.llm import op12_conversation_repair as repair
 from clinrisk.llm import op13_token_output as output
@@ -333,3 +335,31 @@ def test_half_a_million_words_are_encoded_once():
     assert sum(learned) == len(words)
     learned.clear()
     assert list(e.encode("".join(words[i:i + 10_000]) for i in range(0, len(words), 10_000))) == first and not learned
+
+
+def test_an_encoder_goes_when_another_operator_begins(spark):
+    """Workers are used again: packing's next tasks find the encoder, tasks of other operators none beside them."""
+    rows = spark.range(0, 160, 1, 16)
+
+    def found(keep, make):
+        def run(batches):
+            n = len(common._KEPT)
+            if make:
+                bpe.encoder("byte_bpe_50k", make)
+            yield from (pa.RecordBatch.from_arrays([pa.array([n] * b.num_rows)], names=["n"]) for b in batches)
+        return {r.n for r in common.map_arrow(rows, run, "n bigint", keep=keep).collect()}
+    assert 1 in found(True, 100)
+    assert found(True, 200) <= {0, 1}           # the last one only
+    assert found(False, None) == {0}
+
+
+def test_packing_does_not_depend_on_the_runs_remembered(docs):
+    df = docs(*[f"some words {i} and {i * 7} more of them" for i in range(300)]).coalesce(1)
+    assert sorted(packing.pack(df, cached=20).collect()) == sorted(packing.pack(df).collect())
+
+
+def test_an_encoder_remembers_no_more_than_asked():
+    few = bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 1000)
+    for k in range(20):
+        list(few.encode(f"word{i} " for i in range(k * 500, k * 500 + 500)))
+    assert 1000 <= len(few.known) < 2000
