@@ -83,7 +83,21 @@ class Forest:
         return out.reshape(x.shape) / len(self.roots)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return self.base + self.attributions(x).sum(axis=1)
+        """The mean over the trees of the share in the row's leaf."""
+        values, out = np.ascontiguousarray(x).reshape(-1), np.zeros(len(x))
+        start = np.arange(len(x)) * x.shape[1]
+        for root in self.roots.tolist():
+            node, row = np.full(len(x), root), np.arange(len(x))
+            while len(row) and not self.leaf[root]:
+                cell = start.take(row) + self.feature.take(node)
+                node = self.child.take(2 * node + (values.take(cell) <= self.threshold.take(node)))
+                ended = self.leaf.take(node)
+                if ended.any():
+                    out[row[ended]] += self.value.take(node[ended])
+                    row, node = row[~ended], node[~ended]
+            if self.leaf[root]:
+                out += self.value[root]
+        return out / len(self.roots)
 
     def _paths(self):
         """Per leaf: its value, and (feature, low, high, share) for each feature on its path: the

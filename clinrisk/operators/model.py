@@ -1,12 +1,12 @@
-"""Risk models: class-balanced random forests with MLlib.
+"""Risk models: class-balanced random forests.
 
 Per target: an exact stratified 80/20 split, median imputation fitted on the
 target's training rows, balanced class weights, a forest (``numTrees``, depth
 10, sqrt feature subsets, bootstrap, seed 42), evaluation on the held-out rows,
 then every row -- training rows included -- is scored.  A target whose
 training rows have a single class gets a constant 0 model (the original's
-fallback also yields probability 0 for the only class).  Training and scoring
-are distributed MLlib jobs; only the medians, the label codes, the class
+fallback also yields probability 0 for the only class).  Training (``grow``) and scoring
+are distributed; only the medians, the label codes, the class
 weights and the fitted trees live on the driver.
 """
 
@@ -19,20 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinrisk import config as C
 from clinrisk.operators import evaluate as EV
 from clinrisk.operators import prepare as PR
-from clinrisk.operators.forest import Forest, tree_table
+from clinrisk.operators.forest import Forest
+from clinrisk.operators.grow import grow
 from clinrisk.operators.prefix import stored
 from clinrisk.operators.scoring import RISKS, score_table
-from clinrisk.session import ship
+from clinrisk.session import remove_path, scratch_path, ship
 
 
 #: Rows of a fit's partition at most, and below which a further one does not pay.
@@ -41,11 +38,11 @@ FIT_ROWS, SMALL_ROWS = 500_000, 20_000
 
 @dataclass
 class RiskModels:
-    """Per target: its features, medians and fitted pipeline (None: constant 0);
+    """Per target: its features, medians and fitted forest (None: constant 0);
     the stored split and label codes that a later batch uses again."""
     features: dict[str, list[str]]
     medians: dict[str, dict[str, float | None]]
-    models: dict[str, PipelineModel | None]
+    models: dict[str, Forest | None]
     split: DataFrame
     mapping: DataFrame
 
@@ -70,7 +67,7 @@ def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int =
     spark = frame.sparkSession
     most = max([weights[n, 0][1] + weights[n, 1][1] for n in C.TARGETS if {(n, 0), (n, 1)} <= set(weights)], default=0)
 
-    def fit_one(name: str) -> PipelineModel | None:
+    def fit_one(name: str) -> Forest | None:
         label = C.TARGETS[name]
         if not {(name, 0), (name, 1)} <= set(weights):
             return None
@@ -78,19 +75,13 @@ def fit(features: DataFrame, num_trees: int = C.FULL_NUM_TREES, max_depth: int =
         n = weights[name, 0][1] + weights[name, 1][1]
         if max_train_rows and n > max_train_rows:
             rows = rows.sample(max_train_rows / n, seed=seed)
-        w = F.when(F.col(label) == 1, weights[name, 1][0]).otherwise(weights[name, 0][0])
-        rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="w",
-                                    numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                                    featureSubsetStrategy="sqrt", bootstrap=True,
-                                    # Each row's node is kept from level to level; the trees are the same.
-                                    cacheNodeIds=True, checkpointInterval=-1,
-                                    probabilityCol="prob", rawPredictionCol="raw", predictionCol="pred")
-        assembler = VectorAssembler(inputCols=cols[name], outputCol="features", handleInvalid="keep")
-        # A fit reads its rows several times, and every partition sends the statistics of all open nodes: the rows are
-        # joined and imputed once, into partitions of many rows.
-        held = rows.select("feature_row_id", label, w.alias("w"), *cols[name])
-        held = stored(held.repartition(_whole_rounds(_fit_partitions(n, spark), spark), "feature_row_id").sortWithinPartitions("feature_row_id"), "fit-rows")
-        return Pipeline(stages=[assembler, rf]).fit(held)
+        # A fit reads its rows twice (split candidates, bins): they are joined and imputed once.
+        held = rows.select("feature_row_id", F.col(label).cast("int").alias(label), *cols[name])
+        path = scratch_path(spark, "fit-rows")
+        held.repartition(_whole_rounds(_fit_partitions(n, spark), spark), "feature_row_id").write.parquet(path)
+        forest = grow(spark.read.parquet(path), cols[name], label, (weights[name, 0][0], weights[name, 1][0]), num_trees, max_depth, seed)
+        remove_path(spark, path)
+        return forest
     with ThreadPoolExecutor(len(C.TARGETS) if most <= FIT_ROWS else 1) as pool:
         models = dict(zip(C.TARGETS, pool.map(fit_one, C.TARGETS)))
     return RiskModels(cols, med, models, split, mapping)
@@ -108,25 +99,25 @@ def _whole_rounds(partitions: int, spark: SparkSession) -> int:
     return partitions if partitions <= cores else -(-partitions // cores) * cores
 
 
-def _positive(rm: RiskModels, target: str, frame: DataFrame, column: str) -> DataFrame:
-    """``frame`` (imputed for the target) with the positive class's
-    probability; 0 without a model or where a fit saw no positive row."""
-    model = rm.models[target]
-    if model is None or model.stages[-1].numClasses < 2:
-        return frame.withColumn(column, F.lit(0.0))
-    return (model.transform(frame).withColumn(column, vector_to_array(F.col("prob"))[1])
-            .drop("features", "prob", "raw", "pred"))
+def probabilities(rm: RiskModels, frame: DataFrame) -> DataFrame:
+    """H6/H9: positive-class probability of every target for every row; 0 without a model or where a fit saw no
+    positive row.  Each target fills missing values with its own medians."""
+    spark, out = frame.sparkSession, {}
+    for name, forest in forests(rm).items():
+        cols, med = rm.features[name], rm.medians[name]
+        filled = [F.coalesce(F.col(c).cast("double"), F.lit(float(med[c]))) for c in cols]
+        out[f"p_{name}"] = F.lit(0.0) if forest is None else _scorer(spark, forest, len(cols))(F.array(*filled))
+    return frame.withColumns(out)
 
 
-def probabilities(rm: RiskModels, frame: DataFrame) -> DataFrame:
-    """H6/H9: positive-class probability of every target for every row.  The
-    targets' medians differ, so each imputes its own copy of the columns."""
-    out = frame
-    for name in C.TARGETS:
-        held = [F.col(c).alias(f"__{c}") for c in C.FEATURE_COLUMNS]
-        out = _positive(rm, name, PR.impute(out.select("*", *held), rm.medians[name]), f"p_{name}")
-        out = out.withColumns({c: F.col(f"__{c}") for c in C.FEATURE_COLUMNS}).drop(*[f"__{c}" for c in C.FEATURE_COLUMNS])
-    return out
+def _scorer(spark: SparkSession, forest: Forest, width: int):
+    """A column function: the forest's probability of a row of features."""
+    ship(spark)
+    sent = spark.sparkContext.broadcast(forest)
+
+    def score(rows: pa.Array) -> pa.Array:
+        return pa.array(sent.value.probability(rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)))
+    return F.arrow_udf(score, "double")
 
 
 def risk_scores(rm: RiskModels, frame: DataFrame, **run) -> DataFrame:
@@ -166,8 +157,7 @@ def degenerate_targets(frame: DataFrame) -> DataFrame:
 
 def forests(rm: RiskModels) -> dict[str, Forest | None]:
     """The targets' fitted trees; None where the model is a constant."""
-    return {n: None if m is None or m.stages[-1].numClasses < 2 else Forest(tree_table(m.stages[-1]).collect())      # trees * 2**(depth + 1) nodes at most
-            for n, m in rm.models.items()}
+    return {n: m if m is not None and m.value[m.roots].any() else None for n, m in rm.models.items()}
 
 
 def top_features(rm: RiskModels, frame: DataFrame, k: int = 5, exact: bool = False) -> DataFrame:
