@@ -242,3 +242,46 @@ def test_a_batch_of_new_keys_is_appended_without_a_join_of_whole_rows(spark, mon
     assert append_guarded(rows(4, 5), path, "k", on_conflict="skip") == 1 and sum(joined) == 1
     assert append_guarded(rows(4, 5), path, "k", on_conflict="skip") == 0
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_an_append_leaves_no_scratch(spark, tmp_path):
+    from clinrisk.session import _scratch_root, folders
+    root = str(tmp_path / "guarded")
+    before = folders(spark, _scratch_root(spark))
+    G.append_checked(patients(spark, (1, "A", BORN), (2, None, BORN)), root, "patients", on_violation="quarantine")
+    G.append_checked(admissions(spark, (1, 1, NOW), (2, 9, NOW)), root, "admissions", on_violation="quarantine")
+    with pytest.raises(G.ConstraintViolation):
+        G.append_checked(patients(spark, (3, None, BORN)), root, "patients")
+    assert folders(spark, _scratch_root(spark)) == before
+    assert held(spark, root, "patients") == [1] and put_aside(spark, root, "admissions") == [(2, "fk_patient_id")]
+
+
+def test_what_lasts_stays_within_a_short_lived_block(spark):
+    from clinrisk.session import lasting, short_lived
+    with pytest.raises(KeyError), short_lived(spark):
+        gone = scratch_path(spark, "gone")
+        with lasting():
+            stays = scratch_path(spark, "stays")
+        with short_lived(spark):
+            inner = scratch_path(spark, "inner")
+            spark.range(1).write.parquet(inner)
+        assert not path_exists(spark, inner)
+        for path in (gone, stays):
+            spark.range(1).write.parquet(path)
+        raise KeyError
+    assert not path_exists(spark, gone) and path_exists(spark, stays)
+
+
+def test_a_filters_words_are_the_bits_of_its_keys(spark):
+    f = K.KeyFilter(spark, scratch_path(spark, "filter"))
+    keys = spark.range(100).withColumnRenamed("id", "k")
+    f.add(keys)
+    ((folder, blocks),) = f.layers()
+    got = {r.block: [r[f"w{i}"] & (2**64 - 1) for i in range(K.WORDS)] for r in spark.read.parquet(f"{f.root}/{folder}").collect()}
+    want = {}
+    for r in keys.select(F.pmod(F.xxhash64("k"), F.lit(blocks)).alias("block"), F.xxhash64(F.lit(1), "k").alias("h")).collect():
+        words = want.setdefault(r.block, [0] * K.WORDS)
+        for j in range(K.HASHES):
+            place = ((r.h & (2**64 - 1)) >> 9 * j) & 511
+            words[place >> 6] |= 1 << (place & 63)
+    assert got == want
